@@ -51,19 +51,20 @@ def shuffle_rows(df: DataFrame, seed: int) -> DataFrame:
     return df.orderBy(F.rand(seed))
 
 
-def first_per_group(
-    df: DataFrame, group: str, order: Sequence[str | Column], k: int, fan: Sequence[int] = (256, 16)
-) -> DataFrame:
+def first_per_group(df: DataFrame, group: str, order: Sequence[str | Column], k: int) -> DataFrame:
     """The first ``k`` rows of every group, exact, without sorting a whole group in one task.
 
-    Each round cuts every group by row hash into the given number of slices and keeps ``k`` rows per
-    slice; the last round sees at most ``k`` times the last fan-out, whatever the group's size.
+    ``order`` has to tell all rows apart. Each round cuts every group by row hash into slices and
+    keeps ``k`` rows per slice, with 32 times fewer slices in the next round: the first round spreads
+    a group over all shuffle partitions, the others see about ``32 * k`` rows per slice.
     """
-    hashed = df.withColumn("_slice", row_hash(df))
-    for parts in (*fan, 1):
-        window = Window.partitionBy(group, F.pmod("_slice", F.lit(parts))).orderBy(*order)
-        hashed = hashed.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= k).drop("_rank")
-    return hashed.drop("_slice")
+    slices = max(32, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    df = df.withColumn("_slice", row_hash(df))
+    while slices:
+        window = Window.partitionBy(group, F.pmod("_slice", F.lit(slices))).orderBy(*order)
+        df = df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= k).drop("_rank")
+        slices = 0 if slices == 1 else max(1, slices // 32)
+    return df.drop("_slice")
 
 
 def balance(
@@ -72,11 +73,36 @@ def balance(
 ) -> DataFrame:
     """At most ``cap`` rows of every class (of ``classes`` only, if given), in one frame.
 
-    ``order`` (unique columns) fixes which rows; otherwise the row hash decides.
+    With ``order`` (columns that tell all rows apart) the first rows are kept. Without it the rows
+    with the smallest hash are, which is cheaper: the class sizes tell which hashes can matter, and
+    all other rows are dropped in the scan.
     """
     if classes is not None:
         df = df.where(F.col(label).isin(list(classes)))
-    return first_per_group(df, label, order or [row_hash(df)], cap)
+    if order is not None:
+        return first_per_group(df, label, order, cap)
+    return _smallest_hashes(df, label, cap)
+
+
+def _smallest_hashes(df: DataFrame, label: str, cap: int) -> DataFrame:
+    hashed = df.withColumn("_hash", F.pmod(row_hash(df), F.lit(UNIT)))
+    sizes = {row[label]: row["count"] for row in df.groupBy(label).count().collect()}
+    share, short = {c: 1.1 * cap / n for c, n in sizes.items() if n > cap}, True
+    while short:
+        # Copies of one row share a hash, so a share can yield too few rows; then it is doubled.
+        limits = [F.when(F.col(label) == c, int(min(1.0, part) * UNIT)) for c, part in share.items()]
+        near = hashed.where(F.col("_hash") < F.coalesce(*limits, F.lit(UNIT))) if limits else hashed
+        found = {row[label]: row["count"] for row in near.groupBy(label).count().collect()}
+        short = [c for c in share if found.get(c, 0) < cap]
+        share.update({c: 2 * share[c] for c in short})
+    copies = near.groupBy(*df.columns, "_hash").agg(F.count("*").alias("_copies"))
+    kept = first_per_group(copies, label, ["_hash", *df.columns], cap)
+    before = F.sum("_copies").over(
+        Window.partitionBy(label).orderBy("_hash", *df.columns).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    room = F.lit(cap) - F.coalesce("_before", F.lit(0))
+    capped = kept.withColumn("_before", before).withColumn("_take", F.least("_copies", room)).where("_take > 0")
+    return capped.select(*df.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_take")))).select(*df.columns)
 
 
 def balance_any(df: DataFrame, label: str, cap: int, classes: Sequence) -> DataFrame:

@@ -51,6 +51,16 @@ def prune(
     return df
 
 
+def bucket_count(spark: SparkSession, path: str, target_bytes: int = 1 << 30, least: int = 16) -> int:
+    """Number of buckets that makes each about ``target_bytes`` of the parquet files at ``path``.
+
+    A bucket is written and read by one task, so the number has to grow with the table.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("length")
+    size = files.agg(F.sum("length")).first()[0] or 0
+    return max(least, -(-size // target_bytes))
+
+
 def write_bucketed(
     df: DataFrame, table: str, key: str, n: int = 16, salt: int = 1, path: str | None = None,
     sort: Sequence[str] = (),

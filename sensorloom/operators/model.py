@@ -47,13 +47,15 @@ def train(
 ) -> Trained:
     """Grid search over tree depth by cross validation, refit on all rows.
 
-    Rows without a label are left out. The training frame is read once and kept on the executors'
-    disks; a lost executor only costs recomputing its part.
+    Rows without a label are left out. Folds go by the hash of the features, so they are the same in
+    every run and equal rows never sit on both sides. The training frame is read once and kept on the
+    executors; a lost executor only costs recomputing its part.
     """
     labelled, names = label_index(df.select(*cols, label), label, positive=positive)
     labelled = labelled.where("label IS NOT NULL")
     stages = feature_stages(cols, handle_invalid=handle_invalid).fit(labelled)
-    data = stages.transform(labelled).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    fold = F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(folds)).cast("int").alias("fold")
+    data = stages.transform(labelled).select("features", "label", fold).persist(StorageLevel.MEMORY_AND_DISK)
     gbt = GBTClassifier(labelCol="label", featuresCol="features", maxIter=iters, seed=seed)
     if metric.startswith("areaUnder"):
         evaluator = BinaryClassificationEvaluator(metricName=metric)
@@ -62,7 +64,7 @@ def train(
     search = CrossValidator(
         estimator=gbt,
         estimatorParamMaps=ParamGridBuilder().addGrid(gbt.maxDepth, list(depths)).build(),
-        evaluator=evaluator, numFolds=folds, seed=seed, parallelism=parallelism,
+        evaluator=evaluator, numFolds=folds, foldCol="fold", seed=seed, parallelism=parallelism,
     )
     try:
         found = search.fit(data)

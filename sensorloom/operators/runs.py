@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sensorloom.session import path_exists
+from sensorloom.session import append_row, path_exists
 
 RUNS = (
     "run_id STRING, model STRING, status STRING, metrics MAP<STRING, DOUBLE>, path STRING, source STRING, "
@@ -27,9 +27,11 @@ def log(
     if scorer is not None:
         path = path or f"{root}/models/{model}/{run_id}"
         scorer.write().save(path)
-    row = (run_id, model, status, {k: float(v) for k, v in metrics.items()}, path, source,
-           dt.datetime.now(dt.timezone.utc))
-    spark.createDataFrame([row], RUNS).coalesce(1).write.mode("append").parquet(f"{root}/runs")
+    append_row(spark, f"{root}/runs", {
+        "run_id": run_id, "model": model, "status": status, "path": path, "source": source,
+        "metrics": {k: float(v) for k, v in metrics.items()},
+        "finished_at": dt.datetime.now(dt.timezone.utc),
+    }, RUNS)
     return run_id
 
 

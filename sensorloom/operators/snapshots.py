@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from sensorloom.functions.predicates import as_column, is_true
 from sensorloom.operators import corrections
-from sensorloom.session import path_exists
+from sensorloom.session import append_row, path_exists
 
 SEGMENT = "_segment"
 COMMIT = (
@@ -60,15 +60,16 @@ def delete_where(spark: SparkSession, root: str, predicate: str | Column,
     """
     before = _required(spark, root)
     stored = _read_folders(spark, root, before, before["folders"])
+    per_file = stored.where(as_column(predicate)).groupBy("_metadata.file_path").agg(F.count("*").alias("n"))
     hits = (
-        stored.where(as_column(predicate))
-        .groupBy(_folder(_unescaped(F.col("_metadata.file_path"))).alias("folder")).count().collect()
+        per_file.groupBy(_folder(_unescaped(F.col("file_path"))).alias("folder"))
+        .agg(F.sum("n").alias("n")).collect()
     )
     touched = sorted(row["folder"] for row in hits)
     kept = _read_folders(spark, root, before, touched).drop(SEGMENT).where(~is_true(predicate))
     added = _segment(spark, root, kept, before["partition_by"]) if touched else []
     return _commit(spark, root, before, "DELETE", {"predicate": str(predicate)}, _schema(before), added,
-                   touched, before["partition_by"], at, removed=sum(row["count"] for row in hits), moved=True)
+                   touched, before["partition_by"], at, removed=sum(row["n"] for row in hits), moved=True)
 
 
 def merge_insert(spark: SparkSession, root: str, source: DataFrame, on: Sequence[str],
@@ -224,8 +225,7 @@ def _count(spark, root, schema, folders) -> int:
 
 def _append_commit(spark, root, row, at) -> int:
     row = {**row, "committed_at": at or dt.datetime.now(dt.timezone.utc)}
-    frame = spark.createDataFrame([row], COMMIT)
-    frame.coalesce(1).write.mode("append").parquet(f"{root}/commits")
+    append_row(spark, f"{root}/commits", row, COMMIT)
     return row["version"]
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import tempfile
 import uuid
+from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SCALE_CONF = {
     # Let the engine size and split partitions from what it measures at run time.
@@ -74,3 +78,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
             return False
         raise
     return True
+
+
+def append_row(spark: SparkSession, path: str, row: dict[str, Any], ddl: str) -> None:
+    """Add one bookkeeping row to a small parquet table."""
+    text = json.dumps(row, default=lambda v: v.isoformat() if isinstance(v, dt.datetime) else str(v))
+    frame: DataFrame = spark.range(1).select(F.from_json(F.lit(text), ddl).alias("row")).select("row.*")
+    frame.coalesce(1).write.mode("append").parquet(path)

@@ -6,6 +6,8 @@ payload's schema and stays valid when the schema grows.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -13,10 +15,11 @@ from pyspark.sql import types as T
 from sensorloom.operators.evolution import (
     decode_rescued, observed_schema, schema_with_hints, unknown_fields, widen,
 )
-from sensorloom.session import path_exists
+from sensorloom.session import append_row, path_exists
 from sensorloom.streaming.writers import BATCH
 
 MARKER = "UnknownFields"
+NOTE = "step BIGINT, schema STRING, side STRING"
 
 
 class UnknownFields(RuntimeError):
@@ -35,19 +38,21 @@ def run_evolving(
 ) -> int:
     """Load the JSON lines below ``path`` that are not loaded yet. Returns the number of restarts.
 
-    Starts from the schema already stored at ``out`` (from the hints alone the first time). A batch
+    Starts from the schema last used for ``out`` (from the hints alone the first time). A batch
     with unknown fields stops the stream before anything of it is written; the schema is widened by
     those fields and the stream restarts with the same checkpoint, which replays the batch. Every
     restart adds at least one field, and any other error is raised.
     """
-    known = _stored_schema(spark, out, side)
-    known = schema_with_hints(known, hints)
+    known = schema_with_hints(stored_schema(spark, out), hints)
+    if not path_exists(spark, f"{out}/_schemas"):
+        _remember(spark, out, known, side)
     restarts = 0
     while True:
         found = _run_once(spark, path, out, known, checkpoint, side, max_files, fields_only)
         if found is None:
             return restarts
         known = schema_with_hints(widen(known, found), hints)
+        _remember(spark, out, known, side)
         restarts += 1
 
 
@@ -79,18 +84,31 @@ def _run_once(spark, path, out, known, checkpoint, side, max_files, fields_only)
     return None
 
 
-def _stored_schema(spark, out, side) -> T.StructType:
-    if not path_exists(spark, out):
-        return T.StructType()
-    stored = spark.read.option("mergeSchema", "true").parquet(out).schema
-    return T.StructType([f for f in stored.fields if f.name not in (side, BATCH)])
+def _remember(spark: SparkSession, out: str, schema: T.StructType, side: str) -> None:
+    """Note a schema beside the data. Readers of ``out`` skip folders that start with ``_``."""
+    row = {"step": len(_noted(spark, out)), "schema": schema.json(), "side": side}
+    append_row(spark, f"{out}/_schemas", row, NOTE)
+
+
+def _noted(spark: SparkSession, out: str) -> list:
+    if not path_exists(spark, f"{out}/_schemas"):
+        return []
+    return spark.read.schema(NOTE).parquet(f"{out}/_schemas").orderBy("step").collect()
+
+
+def stored_schema(spark: SparkSession, out: str) -> T.StructType:
+    """The widest schema used so far for the rows at ``out``, without the side column."""
+    noted = _noted(spark, out)
+    return T.StructType.fromJson(json.loads(noted[-1]["schema"])) if noted else T.StructType()
 
 
-def read_evolved(spark: SparkSession, out: str, schema: T.StructType | None = None) -> DataFrame:
+def read_evolved(spark: SparkSession, out: str) -> DataFrame:
     """All loaded rows with the widest schema; rows from before a field appeared have NULL there.
 
-    Without ``schema`` the footers of all files are merged in a distributed job.
+    The schema comes from the notes, so no file footer is merged.
     """
-    if schema is not None:
-        return spark.read.schema(schema).parquet(out)
-    return spark.read.option("mergeSchema", "true").parquet(out).drop(BATCH)
+    noted = _noted(spark, out)
+    if not noted:
+        raise ValueError(f"nothing was loaded to {out}")
+    side = T.StructField(noted[-1]["side"], T.StringType())
+    return spark.read.schema(T.StructType(stored_schema(spark, out).fields + [side])).parquet(out)

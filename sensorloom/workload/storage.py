@@ -35,8 +35,9 @@ def partition_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.prune(dated, "ts", lower="2024-01-19 15:17:05", strict=True).select("event_id", "ts")
 
 
-def bucketed_pair(spark: SparkSession, sf_dir: str, salt: int, n: int = 16) -> tuple[DataFrame, DataFrame]:
+def bucketed_pair(spark: SparkSession, sf_dir: str, salt: int) -> tuple[DataFrame, DataFrame]:
     data, status = _name("readings_bucketed"), _name("status_bucketed")
+    n = layout.bucket_count(spark, f"{sf_dir}/events.parquet")
     readings = frames.readings(frames.events(spark, sf_dir)).withColumnRenamed("ID", "id")
     layout.write_bucketed(readings, data, "id", n, salt, scratch(spark, data))
     layout.write_replicated(frames.status(spark, sf_dir), status, "id", n, salt, scratch(spark, status))
