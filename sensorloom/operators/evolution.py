@@ -12,19 +12,20 @@ from pyspark.sql import types as T
 def observed_schema(lines: DataFrame, col: str = "value") -> T.StructType:
     """Schema of the JSON texts in ``col``, from one distributed aggregation.
 
-    Numbers become BIGINT or DOUBLE, a field with mixed types becomes STRING. Rows that are no JSON
-    object are ignored.
+    Whole numbers become BIGINT and other numbers DOUBLE; a field with mixed types, or with NULLs
+    only, becomes STRING. Rows that are no JSON object are ignored.
     """
-    text = lines.select(F.schema_of_variant_agg(F.try_parse_json(F.col(col))).alias("s")).first()["s"]
-    if not text or not text.startswith("OBJECT<"):
+    objects = lines.where(F.col(col).rlike(r"^\s*\{"))
+    text = objects.select(F.schema_of_variant_agg(F.try_parse_json(F.col(col))).alias("s")).first()["s"]
+    if not text.startswith("OBJECT<"):
         return T.StructType()
     return T.StructType.fromDDL(f"root {_to_ddl(text)}").fields[0].dataType
 
 
 def _to_ddl(variant_type: str) -> str:
+    """Type names of variants to column types. A number such as 347.0 is seen as DECIMAL(3,0)."""
     ddl = variant_type.replace("OBJECT<", "STRUCT<")
-    ddl = re.sub(r"DECIMAL\(\d+,\s*0\)", "BIGINT", ddl)
-    ddl = re.sub(r"DECIMAL\(\d+,\s*\d+\)", "DOUBLE", ddl)
+    ddl = re.sub(r"(?<=[:<] )DECIMAL\(\d+,\s*\d+\)|(?<=<)DECIMAL\(\d+,\s*\d+\)|FLOAT", "DOUBLE", ddl)
     return re.sub(r"(?<=[:<] )(VOID|VARIANT)\b|(?<=<)(VOID|VARIANT)\b", "STRING", ddl)
 
 

@@ -59,7 +59,7 @@ def leaves(spark: SparkSession, model: GBTClassificationModel, n_features: int)
             at, low, high, share = stack.pop()
             node = nodes[tree][at]
             if node["leftChild"] < 0:
-                out.append((2.0 * weight * node["prediction"], low, high, share))
+                out.append((weight * node["prediction"], low, high, share))
                 continue
             split = node["split"]
             if split["numCategories"] != -1:
@@ -167,8 +167,8 @@ def dependence(
     (``by_bin``), ``n``, ``mean_value``, ``mean_shap``. NULL values form the bin NULL.
     """
     names = {feature: "bin"} | ({by: "by_bin"} if by else {})
-    keys = [_bin(df, c, bins, how, accuracy).alias(alias) for c, alias in names.items()]
-    return df.groupBy(*keys).agg(
+    binned = df.select("*", *[_bin(df, c, bins, how, accuracy).alias(alias) for c, alias in names.items()])
+    return binned.groupBy(*names.values()).agg(
         F.count("*").alias("n"), F.avg(feature).alias("mean_value"),
         F.avg(F.col(f"{feature}{SUFFIX}").cast("double")).alias("mean_shap"),
     )
@@ -184,7 +184,7 @@ def _bin(df: DataFrame, col: str, bins: int, how: str, accuracy: int) -> Column:
     elif how == "width":
         low = df.select(F.min(col)).scalar()
         step = df.select((F.max(col) - F.min(col)) / bins).scalar()
-        number = F.coalesce(F.least(F.floor(F.try_divide(F.col(col) - low, step)), F.lit(bins - 1)), F.lit(0))
+        number = F.least(F.floor(F.coalesce(F.try_divide(F.col(col) - low, step), F.lit(0.0))), F.lit(bins - 1))
     else:
         raise ValueError(f"unknown kind of bins {how!r}")
     return F.when(F.col(col).isNotNull(), number.cast("int"))

@@ -34,7 +34,7 @@ def split(
     With ``key`` the parts are hash ranges, filters that need no shuffle or sort.
     """
     if key is None:
-        return df.randomSplit(list(fractions), seed)
+        return df.randomSplit([float(f) for f in fractions], seed)
     total, low, parts = sum(fractions), 0, []
     bucket = unit_bucket(key, seed, method)
     for i in range(len(fractions)):

@@ -56,9 +56,7 @@ def bucket_count(spark: SparkSession, path: str, target_bytes: int = 1 << 30, le
 
     A bucket is written and read by one task, so the number has to grow with the table.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("length")
-    size = files.agg(F.sum("length")).first()[0] or 0
-    return max(least, -(-size // target_bytes))
+    return max(least, -(-folder_bytes(spark, path) // target_bytes))
 
 
 def write_bucketed(
@@ -121,21 +119,32 @@ def count_bucketed(data: DataFrame, key: str) -> DataFrame:
     return counts.groupBy(key).agg(F.sum("n").alias("n")) if SALT in data.columns else counts
 
 
-def compact(
-    spark: SparkSession, source: str, target: str, target_files: int | None = None,
-    partition_by: Sequence[str] = (),
-) -> None:
-    """Rewrite a parquet folder to a new folder in fewer files with the same rows.
+def folder_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of the files below the folders, from their listing alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    return files.select("length").agg(F.sum("length")).first()[0] or 0
+
+
+def in_fewer_files(
+    df: DataFrame, size: int, target_files: int | None, target_bytes: int, partition_by: Sequence[str]
+) -> DataFrame:
+    """``df`` arranged for a compacting write of about ``size`` bytes.
 
-    By default nothing is exchanged: the reader packs small files into splits of
-    ``spark.sql.files.maxPartitionBytes`` and every split becomes one file. ``target_files`` asks for
-    a number instead. Partitioned data is rebalanced by partition.
+    Nothing is exchanged: neighbouring splits are read by one task until the number of tasks is right.
+    Partitioned data is rebalanced by partition instead.
     """
-    df = spark.read.parquet(source)
     if partition_by:
-        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    elif target_files is not None:
-        df = df.repartition(target_files)
+        return df.hint("rebalance", *[F.col(c) for c in partition_by])
+    return df.coalesce(target_files or max(1, -(-size // target_bytes)))
+
+
+def compact(
+    spark: SparkSession, source: str, target: str, target_files: int | None = None,
+    partition_by: Sequence[str] = (), target_bytes: int = 256 << 20,
+) -> None:
+    """Rewrite a parquet folder to a new folder with the same rows in at most ``target_files`` files,
+    by default in files of about ``target_bytes``."""
+    size = folder_bytes(spark, source)
+    df = in_fewer_files(spark.read.parquet(source), size, target_files, target_bytes, partition_by)
     writer = df.write.mode("errorifexists")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target)
-

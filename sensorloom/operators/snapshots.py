@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from sensorloom.functions.predicates import as_column, is_true
 from sensorloom.operators import corrections
+from sensorloom.operators.layout import in_fewer_files
 from sensorloom.session import append_row, path_exists
 
 SEGMENT = "_segment"
@@ -137,12 +138,12 @@ def clone(spark: SparkSession, root: str, target: str, version: int | None = Non
 
 
 def compact(spark: SparkSession, root: str, target_files: int | None = None,
-            at: dt.datetime | None = None) -> int:
+            at: dt.datetime | None = None, target_bytes: int = 256 << 20) -> int:
     """New version with the same rows in fewer files; see :func:`sensorloom.operators.layout.compact`."""
     before = _required(spark, root)
     df = _read_folders(spark, root, before, before["folders"]).drop(SEGMENT)
-    if target_files is not None and not before["partition_by"]:
-        df = df.repartition(target_files)
+    size = _files(spark, root, before["folders"]).agg(F.sum("length")).first()[0] or 0
+    df = in_fewer_files(df, size, target_files, target_bytes, before["partition_by"])
     added = _segment(spark, root, df, before["partition_by"])
     return _commit(spark, root, before, "COMPACT", {"target_files": target_files}, _schema(before), added,
                    before["folders"], before["partition_by"], at, moved=True)
