@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorloom.functions.predicates import is_true
+from sensorloom.functions.predicates import as_column
 
 
 def delete_where(df: DataFrame, predicate: str | Column) -> DataFrame:
     """Rows for which the predicate is not TRUE; a NULL predicate keeps the row."""
-    return df.where(~is_true(predicate))
+    predicate = as_column(predicate)
+    return df.where(~predicate | predicate.isNull())
 
 
 def new_rows(target: DataFrame, source: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -50,15 +53,20 @@ def row_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Dat
     surplus = (
         tagged.groupBy(*columns).agg(F.sum("_side").alias("_net")).where("_net <> 0")
     )
-    per_key = surplus.groupBy(*keys).agg(
+    names = [f"_key{i}" for i in range(len(keys))]
+    per_key = surplus.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(
         F.sum(F.when(F.col("_net") < 0, -F.col("_net"))).alias("_lost"),
         F.sum(F.when(F.col("_net") > 0, F.col("_net"))).alias("_won"),
     )
-    updated = per_key.where("_lost = 1 AND _won = 1").select(*keys, F.lit(True).alias("_paired"))
+    pairs = per_key.where("_lost = 1 AND _won = 1").select(*names, F.lit(True).alias("_paired"))
+    # A null-safe match filters neither side, so both sides are the same plan up to the exchange of
+    # the whole-row counts, and the engine runs it once.
+    matched = reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    update = F.coalesce("_paired", F.lit(False)) & reduce(and_, [F.col(k).isNotNull() for k in keys])
     change = (
-        F.when(F.col("_paired"), F.when(F.col("_net") < 0, "update_pre").otherwise("update_post"))
+        F.when(update, F.when(F.col("_net") < 0, "update_pre").otherwise("update_post"))
         .otherwise(F.when(F.col("_net") < 0, "delete").otherwise("insert"))
     )
-    return surplus.join(updated, list(keys), "left").select(
+    return surplus.join(pairs, matched, "left").select(
         *columns, change.alias("_change"), F.abs("_net").alias("_copies")
     )

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -78,22 +79,38 @@ def leaves(spark: SparkSession, model: GBTClassificationModel, n_features: int)
 
 
 def shapley_values(x: np.ndarray, table: Leaves) -> np.ndarray:
-    """Shapley values of the rows of ``x``: shape (rows, features)."""
-    depth = int(max(1, (np.isfinite(table.low) | np.isfinite(table.high)).sum(axis=1).max()))
-    points, weights = np.polynomial.legendre.leggauss((depth + 1) // 2)
+    """Shapley values of the rows of ``x``: shape (rows, features).
+
+    Only the features on a leaf's path count, so the work per row is leaves times path length.
+    """
+    used = np.isfinite(table.low) | np.isfinite(table.high)
+    length = max(1, int(used.sum(axis=1).max()))
+    on_path = np.argsort(~used, axis=1, kind="stable")[:, :length]
+    low, high, share = (np.take_along_axis(a, on_path, axis=1) for a in (table.low, table.high, table.share))
+    # Per path position: leaf value into the column of the feature at that position.
+    into = np.zeros((length, *table.low.shape))
+    for at in range(length):
+        into[at, np.arange(len(on_path)), on_path[:, at]] = table.value
+    points, weights = np.polynomial.legendre.leggauss((length + 1) // 2)
     points, weights = (points + 1) / 2, weights / 2
+
     out = np.zeros(x.shape)
-    step = max(1, 2_000_000 // table.low.size)
+    step = max(1, 200_000 // len(low))
     for start in range(0, len(x), step):
-        rows = x[start:start + step, None, :]
-        # A missing value (NaN) goes right at every split, as in the trees.
-        inside = ~(rows <= table.low) & ((rows <= table.high) | np.isinf(table.high))
-        gap = inside - table.share
-        total = np.zeros(gap.shape)
-        for t, w in zip(points, weights):
-            factor = t * inside + (1 - t) * table.share
-            total += w * factor.prod(axis=2, keepdims=True) / factor
-        out[start:start + step] = np.einsum("l,rlf->rf", table.value, gap * total)
+        rows = x[start:start + step]
+        inside = []
+        for at in range(length):
+            values = rows[:, on_path[:, at]]
+            # A missing value (NaN) goes right at every split, as in the trees.
+            inside.append(~(values <= low[:, at]) & ((values <= high[:, at]) | np.isinf(high[:, at])))
+        without = [np.zeros(inside[0].shape) for _ in range(length)]
+        for t, weight in zip(points, weights):
+            factors = [t * inside[at] + (1 - t) * share[:, at] for at in range(length)]
+            product = weight * reduce(np.multiply, factors)
+            for at in range(length):
+                without[at] += product / factors[at]
+        for at in range(length):
+            out[start:start + step] += ((inside[at] - share[:, at]) * without[at]) @ into[at]
     return out
 
 

@@ -38,6 +38,13 @@ class Rule:
     def passed(self) -> Column:
         return is_true(self.predicate, self.null_passes)
 
+    @property
+    def keeps(self) -> Column:
+        """``passed`` for use in a filter, where NULL drops the row anyway and a bare predicate can
+        reach the file scan."""
+        predicate = as_column(self.predicate)
+        return predicate | predicate.isNull() if self.null_passes else predicate
+
 
 def apply_rules(
     df: DataFrame, rules: Sequence[Rule], observation: Observation | str | None = "rules"
@@ -59,17 +66,19 @@ def apply_rules(
         df = df.observe(observation, *counts)
     for rule in sorted(rules, key=lambda r: r.action != "fail"):
         if rule.action == "fail":
-            df = df.where(_or_raise(rule, df))
+            df = df.where(_or_raise(rule))
         elif rule.action == "drop":
-            df = df.where(rule.passed)
+            df = df.where(rule.keeps)
     return df
 
 
-def _or_raise(rule: Rule, df: DataFrame) -> Column:
-    """TRUE or an error. It must sit in a filter: an unread projected column would be pruned."""
-    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns[:8]]))
-    message = F.concat(F.lit(f"rule {rule.name!r} failed: "), row)
-    return F.when(rule.passed, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+def _or_raise(rule: Rule) -> Column:
+    """TRUE or an error. It must sit in a filter: an unread projected column would be pruned.
+
+    The message names the rule only; quoting the row would make the scan read all its columns.
+    """
+    failed = F.raise_error(F.lit(f"rule {rule.name!r} failed")).cast("boolean")
+    return F.when(rule.passed, F.lit(True)).otherwise(failed)
 
 
 def expect(df, name, predicate, null_passes=False, observation=None) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorloom.functions.predicates import as_column, is_true
+from sensorloom.functions.predicates import as_column
 from sensorloom.operators import corrections
 from sensorloom.operators.layout import in_fewer_files
 from sensorloom.session import append_row, path_exists
@@ -67,7 +67,7 @@ def delete_where(spark: SparkSession, root: str, predicate: str | Column,
         .agg(F.sum("n").alias("n")).collect()
     )
     touched = sorted(row["folder"] for row in hits)
-    kept = _read_folders(spark, root, before, touched).drop(SEGMENT).where(~is_true(predicate))
+    kept = corrections.delete_where(_read_folders(spark, root, before, touched).drop(SEGMENT), predicate)
     added = _segment(spark, root, kept, before["partition_by"]) if touched else []
     return _commit(spark, root, before, "DELETE", {"predicate": str(predicate)}, _schema(before), added,
                    touched, before["partition_by"], at, removed=sum(row["n"] for row in hits), moved=True)
