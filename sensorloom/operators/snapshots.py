@@ -13,6 +13,8 @@ import datetime as dt
 import json
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,6 +82,23 @@ def merge_insert(spark: SparkSession, root: str, source: DataFrame, on: Sequence
     return append(spark, root, fresh, at, "MERGE", {"on": list(on)})
 
 
+def merge_version(spark: SparkSession, root: str, version: int, on: Sequence[str],
+                  at: dt.datetime | None = None) -> int:
+    """:func:`merge_insert` with an old version of the same table as source.
+
+    Rows of folders that the table still has match themselves, so of those only rows with a NULL key
+    (which never match) are read; the work grows with what was removed, not with the table.
+    """
+    now, old = _required(spark, root), _required(spark, root, version)
+    shared = set(now["folders"]) & set(old["folders"])
+    source = _read_folders(spark, root, old, [f for f in old["folders"] if f not in shared]).drop(SEGMENT)
+    if shared:
+        kept = _read_folders(spark, root, old, sorted(shared)).drop(SEGMENT)
+        source = source.unionByName(kept.where(reduce(or_, [F.col(c).isNull() for c in on])))
+    fresh = corrections.new_rows(read(spark, root), source, on)
+    return append(spark, root, fresh, at, "MERGE", {"on": list(on), "version": version})
+
+
 def read(spark: SparkSession, root: str, version: int | None = None,
          as_of: dt.datetime | None = None) -> DataFrame:
     """The newest version, a given one, or the newest committed at or before ``as_of``."""

@@ -63,6 +63,17 @@ def version_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.read(spark, _versioned(spark, sf_dir)).drop("day")
 
 
+@query("version_merge_restore", "SELECT * FROM events")
+def version_merge_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of an old version put back where the table lacks them, reading only the folders that went."""
+    root = scratch(spark, "versions")
+    rows = frames.events(spark, sf_dir).withColumn("day", F.col("ts").cast("date"))
+    snapshots.write(spark, root, rows, ["day"])
+    snapshots.delete_where(spark, root, f"ts < {CUTOFF}")
+    snapshots.merge_version(spark, root, 0, ["user_id", "ts"])
+    return snapshots.read(spark, root).drop("day")
+
+
 @query("version_history", f"""SELECT 0 AS version, 'WRITE' AS operation, count(*) AS rows_added, 0 AS rows_removed FROM events
     UNION ALL SELECT 1, 'DELETE', 0, count(*) FILTER (WHERE NOT {_KEPT}) FROM events
     UNION ALL SELECT 2, 'MERGE', count(*) FILTER (WHERE NOT {_KEPT}), 0 FROM events""")

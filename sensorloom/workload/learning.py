@@ -192,3 +192,29 @@ def shapley_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     trained = _trained(spark, sf_dir)
     scored = model.score(trained.scorer, frames.features(spark, sf_dir))
     return explain.shap(trained.classifier, scored, VIBRATION_COLUMNS, ["vec_id"])
+
+
+@query("shapley_additivity", "SELECT vec_id, CAST(0 AS DOUBLE) AS gap FROM embeddings")
+def shapley_additivity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base value plus the values of a row is its margin, for every row."""
+    trained = _trained(spark, sf_dir)
+    scored = model.score(trained.scorer, frames.features(spark, sf_dir))
+    base = explain.leaves(spark, trained.classifier, len(VIBRATION_COLUMNS)).base
+    values = explain.shap(trained.classifier, scored, VIBRATION_COLUMNS, ["vec_id", "rawPrediction"], dtype="double")
+    total = sum((F.col(f"{c}{explain.SUFFIX}") for c in VIBRATION_COLUMNS), F.lit(base))
+    margin = vector_to_array("rawPrediction")[1]
+    return values.select("vec_id", F.round(F.abs(total - margin), 6).alias("gap"))
+
+
+@query("stream_scores_agree", "SELECT vec_id, true AS same FROM embeddings")
+def stream_scores_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream is scored exactly like a batch."""
+    files, out = scratch(spark, "incoming"), scratch(spark, "scored")
+    rows = frames.features(spark, sf_dir)
+    rows.write.parquet(files)
+    scorer = _trained(spark, sf_dir).scorer
+    scored = model.score(scorer, streaming.file_stream(spark, files, rows.schema), ["vec_id"])
+    streaming.to_path(scored, out, scratch(spark, "checkpoint")).awaitTermination()
+    batch = model.score(scorer, rows, ["vec_id"]).withColumnRenamed("prediction", "expected")
+    both = batch.join(spark.read.schema(scored.schema).parquet(out), "vec_id", "left")
+    return both.select("vec_id", F.col("expected").eqNullSafe(F.col("prediction")).alias("same"))

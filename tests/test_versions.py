@@ -51,6 +51,19 @@ def test_delete_then_merge_restores_the_rows(spark, readings):
     assert [tuple(r) for r in history.collect()] == [(2, "MERGE", 240, 0), (1, "DELETE", 0, 240), (0, "WRITE", 300, 0)]
 
 
+def test_merge_of_an_old_version_equals_a_plain_merge(spark, readings):
+    holes = readings.withColumn("id", F.when(F.col("id") % 17 != 0, F.col("id")))
+    found = []
+    for merge in (lambda r: snapshots.merge_insert(spark, r, snapshots.read(spark, r, version=0), ["id", "ts"]),
+                  lambda r: snapshots.merge_version(spark, r, 0, ["id", "ts"])):
+        root = scratch(spark, "table")
+        snapshots.write(spark, root, holes, ["day"])
+        snapshots.delete_where(spark, root, "ts < timestamp_ntz'2024-01-02 00:00:00' AND v < 80")
+        merge(root)
+        found.append(rows(snapshots.read(spark, root)))
+    assert found[0] == found[1] and len(found[0]) > 300
+
+
 def test_delete_leaves_other_days_alone(spark, readings):
     root = scratch(spark, "table")
     snapshots.write(spark, root, readings, ["day"])
