@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The JSON writer cuts timestamps to milliseconds unless told otherwise.
-MICROS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+# The JSON writer cuts timestamps to milliseconds unless told otherwise. Instants are written in UTC,
+# so the text does not depend on the session's zone.
+MICROS = {"timeZone": "UTC",
+          "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
           "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sensorloom.functions.hashing import row_salt
 from sensorloom.functions.records import encode
 from sensorloom.operators.features import sample
 
@@ -29,19 +30,25 @@ def dedup(
     keys: Sequence[str],
     order: Sequence[str | Column] | None = None,
     within_watermark: bool = False,
+    salt: int = 1,
 ) -> DataFrame:
     """One row per key.
 
     With ``order`` it is the first row in that order; the engine keeps one row per key and task
     before the shuffle, so a hot key stays small. Without it the row is arbitrary. A stream keeps the
-    first row that arrives; after ``withWatermark``, ``within_watermark=True`` bounds its state.
+    first row that arrives; after ``withWatermark``, ``within_watermark=True`` bounds its state, and
+    ``salt`` thins out hot keys in that many tasks before the rest meets in one.
     """
     if df.isStreaming:
         if order is not None:
             raise ValueError("a stream keeps the first row that arrives; order is not possible")
-        if within_watermark:
-            return df.dropDuplicatesWithinWatermark(list(keys))
-        return df.dropDuplicates(list(keys))
+
+        def first(rows: DataFrame, cols: list[str]) -> DataFrame:
+            return rows.dropDuplicatesWithinWatermark(cols) if within_watermark else rows.dropDuplicates(cols)
+
+        if salt > 1:
+            df = first(df.withColumn("_salt", row_salt(df, salt)), [*keys, "_salt"]).drop("_salt")
+        return first(df, list(keys))
     if order is None:
         return df.dropDuplicates(list(keys))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

@@ -13,12 +13,14 @@ al., "From local explanations to global understanding with explainable AI for tr
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +31,9 @@ from sensorloom.session import scratch
 
 SUFFIX = "_shap_value"
 
+# Ship the code of this module with the tasks, so executors need numpy and pandas only.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @dataclass(frozen=True)
 class Leaves:
@@ -125,20 +130,21 @@ def shap(
     """
     spark = df.sparkSession
     table = leaves(spark, model, len(cols))
-    shared = spark.sparkContext.broadcast(table)
+    shared = spark.sparkContext.broadcast((table.value, table.low, table.high, table.share))
     names = [f"{c}{SUFFIX}" for c in cols]
     vector = vector_to_array(features)
     inputs = df.select(*keep, *[vector[i].alias(f"_x{i}") for i in range(len(cols))])
+    kind = {"float": T.FloatType(), "double": T.DoubleType()}[dtype]
     schema = T.StructType(
         [f for f in inputs.schema.fields if f.name in keep]
-        + [T.StructField(n, T._parse_datatype_string(dtype)) for n in names]
+        + [T.StructField(n, kind) for n in names]
     )
     kept = list(keep)
 
     def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             x = batch[[f"_x{i}" for i in range(len(names))]].to_numpy(dtype=float)
-            values = pd.DataFrame(shapley_values(x, shared.value), columns=names, index=batch.index)
+            values = pd.DataFrame(shapley_values(x, Leaves(*shared.value)), columns=names, index=batch.index)
             yield pd.concat([batch[kept], values], axis=1)
 
     return inputs.mapInPandas(compute, schema)

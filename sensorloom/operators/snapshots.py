@@ -121,10 +121,10 @@ def detail(spark: SparkSession, root: str) -> DataFrame:
     commit = _required(spark, root)
     files = _files(spark, root, commit["folders"])
     return files.agg(F.count("*").alias("num_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("size_in_bytes")).select(
-        F.lit(root).alias("location"), F.lit(commit["version"]).alias("version"),
+        F.lit(root).alias("location"), F.lit(commit["version"]).cast("bigint").alias("version"),
         F.lit(commit["committed_at"]).alias("last_modified"), "num_files", "size_in_bytes",
         F.array(*[F.lit(c) for c in commit["partition_by"]]).cast("array<string>").alias("partition_columns"),
-        F.lit(len(commit["folders"])).alias("folders"),
+        F.lit(len(commit["folders"])).cast("bigint").alias("folders"),
     )
 
 

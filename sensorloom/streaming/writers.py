@@ -116,6 +116,8 @@ def copy_into(
     """Load the files of a folder that were not loaded before. Returns the number of new rows.
 
     The checkpoint belongs to the table and remembers the files; a second call adds nothing.
+    ``max_files`` splits a large backlog into micro-batches; the number then covers the last 100 of
+    them, as far back as a query reports.
     """
     stream = file_stream(spark, path, schema, fmt, infer=schema is None, **options)
     query = to_table(stream, table, checkpoint, path=table_path)

@@ -74,7 +74,7 @@ def version_merge_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.read(spark, root).drop("day")
 
 
-@query("version_history", f"""SELECT 0 AS version, 'WRITE' AS operation, count(*) AS rows_added, 0 AS rows_removed FROM events
+@query("version_history", f"""SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, count(*) AS rows_added, 0 AS rows_removed FROM events
     UNION ALL SELECT 1, 'DELETE', 0, count(*) FILTER (WHERE NOT {_KEPT}) FROM events
     UNION ALL SELECT 2, 'MERGE', count(*) FILTER (WHERE NOT {_KEPT}), 0 FROM events""")
 def version_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +82,7 @@ def version_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.select("version", "operation", "rows_added", "rows_removed")
 
 
-@query("table_detail", """SELECT 2 AS version, 'day' AS partition_columns,
+@query("table_detail", """SELECT CAST(2 AS BIGINT) AS version, 'day' AS partition_columns,
     count(DISTINCT CAST(ts AS DATE)) AS folders FROM events""")
 def table_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     detail = snapshots.detail(spark, _versioned(spark, sf_dir))

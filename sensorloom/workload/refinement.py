@@ -192,7 +192,7 @@ def sample_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def message_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = frames.events(spark, sf_dir).select(F.col("event_id").alias("EVENT"), F.col("user_id").alias("ID"))
     return bronze.make_messages(rows, 0.01, 500, "ID", F.col("ID").cast("double"), order=["EVENT"],
-                                at=dt.datetime(2024, 2, 1, 12), method="md5")
+                                at=dt.datetime(2024, 2, 1, 12, tzinfo=dt.timezone.utc), method="md5")
 
 
 @query("shuffle_rows", "SELECT event_id FROM events")

@@ -138,6 +138,9 @@ def test_dedup_of_a_stream(spark):
     path = files_of(spark, [[(1, minute(1), 1.0), (2, minute(1), 1.0)], [(1, minute(2), 5.0)]])
     stream = streaming.file_stream(spark, path, DDL, max_files=1).withWatermark("ts", "1 hour")
     assert rows(land(bronze.dedup(stream, ["id"], within_watermark=True)).select("id")) == [(1,), (2,)]
+    salted = bronze.dedup(streaming.file_stream(spark, path, DDL, max_files=1).withWatermark("ts", "1 hour"), ["id"],
+                          within_watermark=True, salt=4)
+    assert rows(land(salted).select("id")) == [(1,), (2,)]
     with pytest.raises(ValueError):
         bronze.dedup(stream, ["id"], ["ts"])
 
@@ -172,3 +175,14 @@ def test_connectors_are_named(spark):
         streaming.connect(spark, "kafka", "middle")
     rate = streaming.connect(spark, "rate", rowsPerSecond=1)
     assert rate.isStreaming and rate.columns == ["timestamp", "value"]
+
+
+def test_tables_may_be_folders_of_files(spark, sf_dir):
+    """On a cluster each table is a folder; the streams of the named queries read that too."""
+    from sensorloom.workload import QUERIES
+
+    copy = scratch(spark, "sf")
+    for name in ("events", "supplier"):
+        frames.table(spark, sf_dir, name).repartition(3).write.parquet(f"{copy}/{name}.parquet")
+    for query in ("stream_label_join", "stream_window_complete", "layered_flow", "bucketed_join"):
+        assert rows(QUERIES[query](spark, copy)) == rows(QUERIES[query](spark, sf_dir)), query

@@ -7,7 +7,7 @@ import pytest
 from conftest import SF
 
 import __spark_entry__ as driver
-from tools.check_queries import rows_of
+from tools.check_queries import rows_of, type_names
 
 QUERIES, SQL = driver.queries(), driver.oracle_sql()
 
@@ -30,7 +30,8 @@ def test_query_equals_sql(spark, duck, name):
     df = QUERIES[name](spark, SF)
     cursor = duck.execute(SQL[name])
     columns = [c[0] for c in cursor.description]
-    assert sorted(df.columns) == sorted(columns)
+    types, expected = type_names(df, cursor)
+    assert types == expected
     assert rows_of(df.columns, df.collect()) == rows_of(columns, cursor.fetchall())
 
 
