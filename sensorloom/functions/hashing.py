@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UNIT = 1 << 32
 
@@ -27,9 +28,10 @@ def unit_bucket(key: str | Column, seed: int = 0, method: str = "xxhash64") -> C
 def row_hash(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     """Hash of a whole row, used to salt hot keys without random numbers.
 
-    A random salt would move rows when a lost task is run again.
+    A random salt would move rows when a lost task is run again. Maps have no hash and are left out.
     """
-    return F.xxhash64(*[F.col(f"`{c}`") for c in (columns or df.columns)])
+    usable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return F.xxhash64(*[F.col(f"`{c}`") for c in (columns or usable)])
 
 
 def row_salt(df: DataFrame, salt: int) -> Column:

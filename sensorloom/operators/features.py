@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorloom.functions.hashing import UNIT, row_hash, unit_bucket
+from sensorloom.session import scratch
 
 
 def sample(
@@ -85,16 +86,20 @@ def balance(
 
 
 def _smallest_hashes(df: DataFrame, label: str, cap: int) -> DataFrame:
+    spark, sizes = df.sparkSession, scratch(df.sparkSession, "class-sizes")
     hashed = df.withColumn("_hash", F.pmod(row_hash(df), F.lit(UNIT)))
-    sizes = {row[label]: row["count"] for row in df.groupBy(label).count().collect()}
-    share, short = {c: 1.1 * cap / n for c, n in sizes.items() if n > cap}, True
+    df.groupBy(label).agg(F.count("*").alias("_size")).where(F.col("_size") > cap).write.parquet(sizes)
+    # Read back as files, whose real size tells the engine whether a broadcast is fine.
+    large = spark.read.parquet(sizes)
+    slack, short = 1.1, True
     while short:
-        # Copies of one row share a hash, so a share can yield too few rows; then it is doubled.
-        limits = [F.when(F.col(label) == c, int(min(1.0, part) * UNIT)) for c, part in share.items()]
-        near = hashed.where(F.col("_hash") < F.coalesce(*limits, F.lit(UNIT))) if limits else hashed
-        found = {row[label]: row["count"] for row in near.groupBy(label).count().collect()}
-        short = [c for c in share if found.get(c, 0) < cap]
-        share.update({c: 2 * share[c] for c in short})
+        # Copies of one row share a hash, so a share of the hashes can hold too few rows; then widen it.
+        limit = F.least(F.lit(1.0), slack * cap / F.col("_size")) * UNIT
+        limited = hashed.join(large, label, "left")
+        near = limited.where(F.col("_size").isNull() | (F.col("_hash") < limit)).drop("_size")
+        kept = near.groupBy(label).agg(F.count("*").alias("_near"))
+        short = large.join(kept, label, "left").where(F.coalesce("_near", F.lit(0)) < cap).limit(1).count() > 0
+        slack *= 2
     copies = near.groupBy(*df.columns, "_hash").agg(F.count("*").alias("_copies"))
     kept = first_per_group(copies, label, ["_hash", *df.columns], cap)
     before = F.sum("_copies").over(
@@ -102,7 +107,8 @@ def _smallest_hashes(df: DataFrame, label: str, cap: int) -> DataFrame:
     )
     room = F.lit(cap) - F.coalesce("_before", F.lit(0))
     capped = kept.withColumn("_before", before).withColumn("_take", F.least("_copies", room)).where("_take > 0")
-    return capped.select(*df.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_take")))).select(*df.columns)
+    repeat = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_take"))).alias("_copy")
+    return capped.select(*df.columns, repeat).drop("_copy")
 
 
 def balance_any(df: DataFrame, label: str, cap: int, classes: Sequence) -> DataFrame:

@@ -41,7 +41,8 @@ def run_evolving(
     Starts from the schema last used for ``out`` (from the hints alone the first time). A batch
     with unknown fields stops the stream before anything of it is written; the schema is widened by
     those fields and the stream restarts with the same checkpoint, which replays the batch. Every
-    restart adds at least one field, and any other error is raised.
+    restart adds at least one field, and any other error is raised. Pass ``max_files`` for a large
+    backlog: a batch is read once for its fields and once to load it, and a stop repeats one batch only.
     """
     known = schema_with_hints(stored_schema(spark, out), hints)
     if not path_exists(spark, f"{out}/_schemas"):
