@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-import tempfile
 import uuid
 from typing import Any
 
@@ -27,8 +26,6 @@ SCALE_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-_local_roots: dict[str, str] = {}
-
 
 def build_session(
     app: str = "sensorloom", master: str | None = None, conf: dict[str, str] | None = None
@@ -49,20 +46,14 @@ def build_session(
 def scratch_root(spark: SparkSession) -> str:
     """Folder for intermediate tables that every executor can reach.
 
-    It is ``spark.checkpoint.dir``. Only a local session, where driver and executors are one
-    process, gets a temporary folder when the setting is missing; on a cluster that is an error.
+    It is ``spark.checkpoint.dir``; where that is not set, a folder below ``spark.sql.warehouse.dir``,
+    which is shared wherever tables are. No machine-local temporary folder is ever used.
     """
-    sc = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    shared = (spark.conf.get("spark.checkpoint.dir", None)
+              or spark.sparkContext.getConf().get("spark.checkpoint.dir"))
     if shared:
         return shared.rstrip("/")
-    app = sc.applicationId
-    if app not in _local_roots:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        _local_roots[app] = tempfile.mkdtemp(prefix="sensorloom-")
-        sc.setCheckpointDir(_local_roots[app])
-    return _local_roots[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch(spark: SparkSession, label: str) -> str:
