@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import arrow_file, packing
+from sensorloom.llm import arrow_file, packing, secrets
 from sensorloom.llm.common import table, vocabulary_path
 from sensorloom.session import scratch
 
@@ -29,3 +29,8 @@ def op10_arrow_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = arrow_file.write_sequences(
         table(spark, sf_dir, "documents"), scratch(spark, "sequences"), vocabulary_path())
     return arrow_file.read_documents(manifest)
+
+
+@query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text")))
