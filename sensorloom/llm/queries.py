@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import arrow_file, packing, secrets
+from sensorloom.llm import arrow_file, packing, quality, secrets
 from sensorloom.llm.common import table, vocabulary_path
 from sensorloom.session import scratch
 
@@ -34,3 +34,10 @@ def op10_arrow_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query
+def op2_quality_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, drawn = quality.resample(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                table(spark, sf_dir, "labels"))
+    return drawn.select("doc_id", "log_weight", "draw", "rank")
