@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import arrow_file, packing, quality, secrets
+from sensorloom.llm import arrow_file, packing, quality, secrets, shards
 from sensorloom.llm.common import table, vocabulary_path
 from sensorloom.session import scratch
 
@@ -41,3 +41,8 @@ def op2_quality_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, drawn = quality.resample(table(spark, sf_dir, "documents").select("doc_id", "text"),
                                 table(spark, sf_dir, "labels"))
     return drawn.select("doc_id", "log_weight", "draw", "rank")
+
+
+@query
+def op1_label_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.assign(table(spark, sf_dir, "documents"))
