@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import arrow_file, packing, quality, secrets, shards, toxicity
+from sensorloom.llm import arrow_file, decontaminate, packing, quality, secrets, shards, toxicity
 from sensorloom.llm.common import table, vocabulary_path
 from sensorloom.session import scratch
 
@@ -51,3 +51,8 @@ def op1_label_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
