@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import arrow_file, decontaminate, packing, quality, secrets, shards, toxicity
+from sensorloom.llm import arrow_file, decontaminate, packing, quality, repeats, secrets, shards, toxicity
 from sensorloom.llm.common import table, vocabulary_path
 from sensorloom.session import scratch
 
@@ -56,3 +56,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(table(spark, sf_dir, "documents"))
