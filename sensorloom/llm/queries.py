@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import arrow_file, decontaminate, packing, quality, repeats, secrets, shards, toxicity
+from sensorloom.llm import (
+    arrow_file, decontaminate, forest, packing, quality, repeats, secrets, shards, toxicity,
+)
 from sensorloom.llm.common import table, vocabulary_path
 from sensorloom.session import scratch
 
@@ -61,3 +63,9 @@ def op8_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.classes(table(spark, sf_dir, "documents").select("doc_id", "text")) \
+        .select("doc_id", "class_id", "n_links")
