@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sensorloom.llm import (
-    arrow_file, decontaminate, forest, packing, quality, repeats, secrets, shards, toxicity,
+    arrow_file, decontaminate, forest, packing, quality, repeats, secrets, shards, toxicity, vamana,
 )
 from sensorloom.llm.common import table, vocabulary_path
 from sensorloom.session import scratch
@@ -69,3 +69,8 @@ def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.classes(table(spark, sf_dir, "documents").select("doc_id", "text")) \
         .select("doc_id", "class_id", "n_links")
+
+
+@query
+def op3_vamana_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vamana.nearest(table(spark, sf_dir, "embeddings"))
