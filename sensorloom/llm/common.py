@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 import xxhash
@@ -40,6 +40,12 @@ def discard(df: DataFrame) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def shielded(docs: DataFrame, reserved: Sequence[str], run: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``run`` over ``docs`` while columns whose names it needs for itself have other names."""
+    away = {c: f"_own_{i}_" for i, c in enumerate(docs.columns) if c.lower() in reserved}
+    return run(docs.withColumnsRenamed(away)).withColumnsRenamed({v: k for k, v in away.items()})
+
+
 def running_start(totals: DataFrame, part: str, total: str) -> DataFrame:
     """Per part the sum of ``total`` over all earlier parts: ``(part, base)``.
 

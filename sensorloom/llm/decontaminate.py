@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import CACHE_WORDS
+from sensorloom.llm.common import CACHE_WORDS, shielded
 
 PASSAGE = 48  # words of a passage in the statistics
 CHUNK, CHUNKS = 12, 3  # a window is CHUNKS chunks; one starts at every chunk
@@ -286,7 +286,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     docs = docs.drop("leaks")
     names = docs.columns
     out = docs.withColumn("leaks", F.array().cast(LEAKS))
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + f", leaks {LEAKS}"
+    schema = out.schema
     items = _items(benchmark)
     for low in range(0, len(items), ITEMS):
         shared = docs.sparkSession.sparkContext.broadcast(fit(docs, items[low:low + ITEMS]))
@@ -302,7 +302,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                                            ("lcs", pa.float64()), ("answer", pa.float64())]))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, kind)], [*names, "leaks"])
 
-        out = out.mapInArrow(run, ddl)
+        out = out.mapInArrow(run, schema)
     return out
 
 
@@ -314,4 +314,5 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no item was found."""
-    return find_leaks(docs, benchmark).where(F.size("leaks") == 0).select(*docs.columns)
+    return shielded(docs, ("leaks",), lambda docs: find_leaks(docs, benchmark)
+                    .where(F.size("leaks") == 0).select(*docs.columns))

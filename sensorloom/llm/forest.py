@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import CACHE_WORDS, MIX, WordHashes, components, discard, shingles, stage
+from sensorloom.llm.common import CACHE_WORDS, MIX, WordHashes, components, discard, shielded, shingles, stage
 
 N, THRESHOLD, RECALL = 5, 0.8, 0.999
 TREES, DEPTH = 16, 8
@@ -65,7 +65,7 @@ def sign(docs: DataFrame) -> DataFrame:
 
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
-    return docs.withColumns({"doc_id": F.col("doc_id").cast("bigint"), "text": text, "h": F.xxhash64(text)})
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"))
 
 
 def _path(tree: Column, depth: int) -> Column:
@@ -243,6 +243,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     chosen = (found.where("class_no is not null").groupBy("class_no").agg(first).select("first.doc_id", "first.h")
               .unionByName(found.where("class_no is null").select("doc_id", "h").distinct())
               .select(F.col("doc_id").alias("_d"), F.col("h").alias("_h")))
+    return shielded(docs, ("_key", "_d", "_h"), lambda docs: _chosen_rows(docs, found, chosen))
+
+
+def _chosen_rows(docs: DataFrame, found: DataFrame, chosen: DataFrame) -> DataFrame:
     keyed = docs.withColumn("_key", F.xxhash64(F.col("text").cast("string")))
     left = keyed.join(chosen.hint("shuffle_hash"), F.col("doc_id").cast("bigint").eqNullSafe(F.col("_d"))
                       & (F.col("_key") == F.col("_h")), "left_semi")

@@ -18,13 +18,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sensorloom.llm.common import CACHE_WORDS, MIX, numbered, stage
+from sensorloom.llm.common import CACHE_WORDS, MIX, numbered, shielded, stage
 
 VIEW_BITS = 14  # buckets per view
 BUCKETS = 4 << VIEW_BITS
 #: Labelled rows of either class that the target model and the cut are fitted on, chosen by hash.
 MAX_LABELLED = 20_000
+PSEUDO = 5.0  # pseudo-count: a bucket seen a few times says little
 
 _FORM = [(re.compile(r"[^\W\d_a-zß-öø-ÿ]+"), "A"), (re.compile(r"[^\W\d_A]+"), "a"),
          (re.compile(r"\d+"), "0"), (re.compile(r"(.)\1\1+"), r"\1\1\1")]
@@ -120,10 +122,9 @@ def fit(docs: DataFrame, ids: dict[int, int]) -> Model:
     weights = np.zeros(BUCKETS)
     for view in range(4):
         part = slice(view << VIEW_BITS, (view + 1) << VIEW_BITS)
-        p = (raw[part] + 0.01) / (raw[part] + 0.01).sum()
-        strength = 200.0  # a rare bucket's target share leans to its raw share
-        q = (good[part] + strength * p) / (good[part].sum() + strength)
-        weights[part] = np.log(q) - np.log(p)
+        # The smoothed ratio of the models: a bucket's target count over what its raw share would give.
+        expected = raw[part] * (good[part].sum() / max(1.0, raw[part].sum()))
+        weights[part] = np.log(good[part] + PSEUDO) - np.log(expected + PSEUDO)
     return Model(weights, 0.0)
 
 
@@ -137,8 +138,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, values], [*batch.schema.names, "log_weight"])
 
     docs = docs.drop("log_weight")
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{ddl}, log_weight double")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("log_weight", T.DoubleType())]))
 
 
 def best_cut(scores: np.ndarray, good: np.ndarray) -> float:
@@ -169,12 +169,15 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int
     """
     ids = labelled_ids(labels, label)
     plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    model = fit(plain, ids)
+    # One half of the labels fits the model, the other half, new to it, sets the cut.
+    halves = [{k: y for k, y in ids.items() if (k * 2_654_435_761 >> 16) & 1 == side} for side in (0, 1)]
+    fitted, held = halves if all(1 in half.values() for half in halves) else (ids, ids)
+    model = fit(plain, fitted)
     uniform = (F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     scored = stage(score(docs.drop("draw"), model).withColumn("draw", F.col("log_weight") - F.log(-F.log(uniform))),
                    "scored")
     if k is None:
-        sample = _sample_scores(scored, ids)
+        sample = _sample_scores(scored, held)
         cut = best_cut(sample["log_weight"].to_numpy(), sample["y"].to_numpy() == 1) if len(sample) else -np.inf
         k = scored.where(F.col("log_weight") > F.lit(float(cut))).count()
     small = scored.select("doc_id", "log_weight", "draw", F.xxhash64("text").alias("_h"))
@@ -198,8 +201,11 @@ def _sample_scores(scored: DataFrame, ids: dict[int, int]) -> pd.DataFrame:
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The drawn documents with their own columns."""
-    scored, drawn = resample(docs, labels)
-    last = drawn.orderBy(F.col("rank").desc()).limit(1).select("draw").collect()
-    if not last:
-        return scored.select(*docs.columns).limit(0)
-    return scored.where(F.col("draw") >= F.lit(last[0].draw)).select(*docs.columns)
+    def run(docs: DataFrame) -> DataFrame:
+        scored, drawn = resample(docs, labels)
+        last = drawn.orderBy(F.col("rank").desc()).limit(1).select("draw").collect()
+        if not last:
+            return scored.select(*docs.columns).limit(0)
+        return scored.where(F.col("draw") >= F.lit(last[0].draw)).select(*docs.columns)
+
+    return shielded(docs, ("log_weight", "draw"), run)

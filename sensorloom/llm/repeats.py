@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import stage
+from sensorloom.llm.common import shielded, stage
 
 UNIT_WORDS = 5  # a sentence with fewer words is one unit with the next one of its line
 RUN_WORDS = 25  # repeated units in a row with fewer words together stay
@@ -114,6 +114,10 @@ def report(docs: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame) -> DataFrame:
     """All documents, repeated passages cut out of ``text``; other columns stay."""
+    return shielded(docs, ("row", "spans"), _cleaned)
+
+
+def _cleaned(docs: DataFrame) -> DataFrame:
     placed = stage(docs.withColumn("row", F.monotonically_increasing_id()), "documents")
     found = find_repeats(placed.select("row", F.col("doc_id").cast("bigint").alias("doc_id"), "text")).select("row", "spans")
 

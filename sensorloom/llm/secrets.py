@@ -16,6 +16,8 @@ from re import _parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorloom.llm.common import shielded
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -176,6 +178,10 @@ def report(spans: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
     """The documents with every span replaced by ``mark``; overlapping spans become one mark."""
+    return shielded(docs, ("spans", "_doc", "_rules"), lambda docs: _redacted(docs, rules, mark))
+
+
+def _redacted(docs: DataFrame, rules: tuple[Rule, ...], mark: str) -> DataFrame:
     def step(acc: Column, s: Column) -> Column:
         gap = F.col("text").substr(acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
         put = F.when(s["start"] < acc["at"], F.lit("")).otherwise(F.lit(mark))
@@ -185,4 +191,4 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
     clean = F.aggregate("spans", zero, step, lambda acc: F.concat(
         acc["out"], F.col("text").substr(acc["at"] + 1, F.length("text"))))
     return (find_spans(docs, rules).withColumn("text", F.when(F.size("spans") > 0, clean).otherwise(F.col("text")))
-            .drop("spans"))
+            .select(*docs.columns))
