@@ -22,7 +22,7 @@ def _cases(column: Column, values: dict[int, float]) -> Column:
     return F.coalesce(F.element_at(F.create_map(*pairs), column), F.lit(0).cast("double")) if pairs else F.lit(0.0)
 
 
-def propagate(docs: DataFrame, shards: int, rounds: int = 4, seed: int = 11) -> DataFrame:
+def propagate(docs: DataFrame, shards: int, rounds: int = 5, seed: int = 11) -> DataFrame:
     """``docs (row, hub, ...)`` with ``shard``: rows linked by equal ``hub`` drawn together, quotas kept.
 
     ``row`` is any number of the row; rows with a NULL hub have no link and stay where their hash put them.
@@ -31,13 +31,15 @@ def propagate(docs: DataFrame, shards: int, rounds: int = 4, seed: int = 11) ->
     state = stage(docs.withColumn("shard", spread("row")), "shards")
     quota = -(-state.count() // shards)
     sizes = state.groupBy("hub").agg(F.count(F.lit(1)).alias("hub_size")).where("hub is not null and hub_size > 1")
-    linked = stage(_salted_join(state, sizes).select("row", "hub", "shard"), "linked")
+    linked = stage(_salted_join(state, sizes).select("row", "hub", "shard", "hub_size"), "linked")
     first = linked
     # Linked rows claim room first; unlinked ones make way in the last pass.
     for turn in range(rounds):
-        load = {r.shard: r.n for r in linked.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
+        # Large hubs are placed before the others, so that they find whole shards.
+        asking = linked.where(F.col("hub_size") >= quota / 20) if turn == 0 else linked
+        load = {r.shard: r.n for r in asking.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
         room = {s: float(max(0, quota - load.get(s, 0))) for s in range(shards)}
-        members = linked.groupBy("hub", "shard").agg(F.count(F.lit(1)).alias("n"))
+        members = asking.groupBy("hub", "shard").agg(F.count(F.lit(1)).alias("n"))
         # Most members, then room, then an order of its own for each hub so that ties spread out.
         entry = F.struct(F.col("n"), (_cases(F.col("shard"), room) > 0).cast("int").alias("has_room"),
                          F.pmod(F.xxhash64("hub", "shard", F.lit(seed)), F.lit(1 << 20)).alias("tie"),
@@ -48,30 +50,39 @@ def propagate(docs: DataFrame, shards: int, rounds: int = 4, seed: int = 11) ->
 
         def take(acc: Column, x: Column) -> Column:
             more = F.struct((acc["sum"] + x["n"] + x["room"]).alias("sum"),
-                            F.concat(acc["picks"], F.array(x["shard"])).alias("picks"))
+                            F.concat(acc["picks"], F.array(F.struct(x["shard"].alias("shard"), x["room"].alias("room"))))
+                            .alias("picks"))
             return F.when(acc["sum"] >= F.col("all"), acc).otherwise(more)
 
-        zero = F.struct(F.lit(0.0).alias("sum"), F.array().cast("array<int>").alias("picks"))
-        wish = ranked.select("hub", F.aggregate("list", zero, take, lambda acc: acc["picks"]).alias("places"))
-        pick = F.pmod(F.xxhash64("row", F.lit(seed + 100 + turn)), F.size("places")).cast("int") + 1
-        to = F.when(F.array_contains("places", F.col("shard")), F.col("shard")).otherwise(F.element_at("places", pick))
-        asked = _salted_join(linked, wish).withColumn("to", to)
+        zero = F.struct(F.lit(0.0).alias("sum"), F.array().cast("array<struct<shard:int,room:double>>").alias("picks"))
+        places = F.aggregate("list", zero, take, lambda acc: acc["picks"])
+        wish = ranked.select("hub", F.transform(places, lambda p: p["shard"]).alias("places"), F.transform(
+            F.filter(places, lambda p: p["room"] > 0), lambda p: p["shard"]).alias("open"))
+        # Rows in none of the places ask for one that has room.
+        pick = F.pmod(F.xxhash64("row", F.lit(seed + 100 + turn)), F.size("open")).cast("int") + 1
+        stays = F.array_contains("places", F.col("shard")) | (F.size("open") == 0)
+        to = F.when(stays, F.col("shard")).otherwise(F.try_element_at("open", pick))
+        asked = _salted_join(asking, wish).withColumn("to", to)
         moving = F.col("to") != F.col("shard")
         wanted = {r["to"]: r.n for r in asked.where(moving).groupBy("to").agg(F.count(F.lit(1)).alias("n")).collect()}
+        if not wanted and turn == 0:
+            continue
         if not wanted:
             break
         # Each shard takes the share of its askers that it has room for, chosen by the row's hash.
         share = {s: min(1.0, room.get(s, 0.0) / n) for s, n in wanted.items()}
         luck = F.pmod(F.xxhash64("row", F.lit(seed + turn)), F.lit(1 << 30)) / float(1 << 30)
-        moved = stage(asked.select("row", "hub", F.when(moving & (luck < _cases(F.col("to"), share)), F.col("to"))
-                                   .otherwise(F.col("shard")).alias("shard")), "linked")
+        after = asked.select("row", "hub", F.when(moving & (luck < _cases(F.col("to"), share)), F.col("to"))
+                             .otherwise(F.col("shard")).alias("shard"), "hub_size")
+        waiting = linked.where(F.col("hub_size") < quota / 20).select(*after.columns) if turn == 0 else None
+        moved = stage(after if waiting is None else after.unionByName(waiting), "linked")
         if linked is not first:
             discard(linked)
         linked = moved
     extra = [c for c in docs.columns if c not in ("row", "hub")]
-    told = linked.select(F.col("row"), F.col("shard").alias("_to"))
+    told = linked.select("row", F.col("shard").alias("_to"), "hub_size")
     return (state.join(told, "row", "left")
-            .select("row", "hub", F.coalesce("_to", "shard").alias("shard"), F.col("_to").isNotNull().alias("linked"),
+            .select("row", "hub", F.coalesce("_to", "shard").alias("shard"), F.coalesce("hub_size", F.lit(0)).alias("hub_size"),
                     *extra))
 
 
@@ -85,9 +96,9 @@ def _salted_join(rows: DataFrame, hubs: DataFrame) -> DataFrame:
 def even_out(labelled: DataFrame, shards: int) -> DataFrame:
     """Row counts at most one apart: adds ``slot``, gapless from 0 in each shard, and moves what is over quota.
 
-    In each shard linked rows come first, hub by hub, so unlinked ones leave first.
+    In each shard the rows of large hubs come first, hub by hub, so unlinked ones leave first.
     """
-    order = [F.col("shard"), F.col("linked").desc(), F.col("hub"), F.col("row")]
+    order = [F.col("shard"), F.col("hub_size").desc(), F.col("hub"), F.col("row")]
     placed = stage(numbered(labelled, order, "_rank"), "placed")
     count = {r.shard: r.n for r in placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(count.values())
@@ -117,7 +128,7 @@ def even_out(labelled: DataFrame, shards: int) -> DataFrame:
     return stay.unionByName(filled.select(*stay.columns))
 
 
-def assign(docs: DataFrame, shards: int = 40, rounds: int = 4) -> DataFrame:
+def assign(docs: DataFrame, shards: int = 40, rounds: int = 5) -> DataFrame:
     """Every document's shard and slot: ``doc_id, size, text_crc32, law, shard, slot, grown_shard``.
 
     Neighbours are documents with equal texts. Law ``rows``: shard sizes are at most one row apart, so a group
