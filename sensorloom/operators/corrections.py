@@ -22,11 +22,13 @@ def delete_where(df: DataFrame, predicate: str | Column) -> DataFrame:
 def new_rows(target: DataFrame, source: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``source`` without a partner in ``target``.
 
-    NULL keys never match, so such rows are all new, and so are all copies of an unmatched row.
-    The target is reduced to its distinct keys before the shuffle; hot keys on the source side are
-    split at run time.
+    NULL keys never match, so such rows are all new, and so are all copies of an unmatched row. The
+    target is first cut to keys that the source has (where those are few, they are broadcast and the
+    target is not shuffled), then to distinct ones; hot keys are split at run time.
     """
-    return source.join(target.select(*on).distinct(), list(on), "left_anti").select(*source.columns)
+    asked = source.select(*on).distinct()
+    held = target.select(*on).join(asked, list(on), "left_semi").distinct()
+    return source.join(held, list(on), "left_anti").select(*source.columns)
 
 
 def merge_insert(target: DataFrame, source: DataFrame, on: Sequence[str]) -> DataFrame:

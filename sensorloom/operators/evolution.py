@@ -17,16 +17,36 @@ def observed_schema(lines: DataFrame, col: str = "value") -> T.StructType:
     """
     objects = lines.where(F.col(col).rlike(r"^\s*\{"))
     text = objects.select(F.schema_of_variant_agg(F.try_parse_json(F.col(col))).alias("s")).first()["s"]
-    if not text.startswith("OBJECT<"):
-        return T.StructType()
-    return T.StructType.fromDDL(f"root {_to_ddl(text)}").fields[0].dataType
+    kind, _ = _read_type(text, 0)
+    return kind if isinstance(kind, T.StructType) else T.StructType()
 
 
-def _to_ddl(variant_type: str) -> str:
-    """Type names of variants to column types. A number such as 347.0 is seen as DECIMAL(3,0)."""
-    ddl = variant_type.replace("OBJECT<", "STRUCT<")
-    ddl = re.sub(r"(?<=[:<] )DECIMAL\(\d+,\s*\d+\)|(?<=<)DECIMAL\(\d+,\s*\d+\)|FLOAT", "DOUBLE", ddl)
-    return re.sub(r"(?<=[:<] )(VOID|VARIANT)\b|(?<=<)(VOID|VARIANT)\b", "STRING", ddl)
+#: Variant type names and the column types they become; all others keep their name.
+_KINDS = {"BIGINT": T.LongType(), "BOOLEAN": T.BooleanType(), "DATE": T.DateType(), "TIMESTAMP": T.TimestampType(),
+          "TIMESTAMP_NTZ": T.TimestampNTZType(), "BINARY": T.BinaryType(), "STRING": T.StringType(),
+          "DOUBLE": T.DoubleType(), "FLOAT": T.DoubleType(), "VOID": T.StringType(), "VARIANT": T.StringType()}
+
+
+def _read_type(text: str, at: int) -> tuple[T.DataType, int]:
+    """The type written at ``at`` and the place after it. Names are never taken for types.
+
+    A number such as 347.0 is seen as DECIMAL(3,0) and becomes DOUBLE.
+    """
+    if text.startswith("ARRAY<", at):
+        inner, at = _read_type(text, at + len("ARRAY<"))
+        return T.ArrayType(inner), at + 1
+    if not text.startswith("OBJECT<", at):
+        word = re.compile(r"\w+(\(\d+,\s*\d+\))?").match(text, at)
+        name = word[0].split("(")[0]
+        return (T.DoubleType() if name == "DECIMAL" else _KINDS.get(name, T.StringType())), word.end()
+    at, fields = at + len("OBJECT<"), []
+    while text[at] != ">":
+        quoted = re.compile(r"`((?:[^`]|``)*)`: ").match(text, at)
+        name = quoted or re.compile(r"([^:`]+): ").match(text, at)
+        kind, at = _read_type(text, name.end())
+        fields.append(T.StructField(name[1].replace("``", "`") if quoted else name[1], kind))
+        at += 2 if text.startswith(", ", at) else 0
+    return T.StructType(fields), at + 1
 
 
 def schema_with_hints(inferred: T.StructType, hints: str | T.StructType) -> T.StructType:

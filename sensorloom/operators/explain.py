@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -181,28 +181,26 @@ def row(shap_df: DataFrame, id_col: str, value=None) -> DataFrame:
 
 def dependence(
     df: DataFrame, feature: str, by: str | None = None, bins: int = 10, how: str = "quantile",
-    accuracy: int = 10000,
 ) -> DataFrame:
     """Mean Shapley value of ``feature`` per bin of its value, and per bin of ``by`` if given.
 
-    ``df`` has the features and their ``_shap_value`` columns. Bins are ``quantile`` bins (from a
-    bounded sketch per task, exact up to ``accuracy`` rows) or of equal ``width``. Output: ``bin``
+    ``df`` has the features and their ``_shap_value`` columns. Bins are ``quantile`` bins
+    (exact at any size) or of equal ``width``. Output: ``bin``
     (``by_bin``), ``n``, ``mean_value``, ``mean_shap``. NULL values form the bin NULL.
     """
     names = {feature: "bin"} | ({by: "by_bin"} if by else {})
-    binned = df.select("*", *[_bin(df, c, bins, how, accuracy).alias(alias) for c, alias in names.items()])
+    binned = df.select("*", *[_bin(df, c, bins, how).alias(alias) for c, alias in names.items()])
     return binned.groupBy(*names.values()).agg(
         F.count("*").alias("n"), F.avg(feature).alias("mean_value"),
         F.avg(F.col(f"{feature}{SUFFIX}").cast("double")).alias("mean_shap"),
     )
 
 
-def _bin(df: DataFrame, col: str, bins: int, how: str, accuracy: int) -> Column:
-    """Bin number of ``col`` from edges that a scalar subquery takes from the whole frame."""
+def _bin(df: DataFrame, col: str, bins: int, how: str) -> Column:
+    """Bin number of ``col`` from edges taken from the whole frame."""
     if how == "quantile":
-        shares = [j / bins for j in range(1, bins)]
-        edges = df.select(F.percentile_approx(col, shares, accuracy)).scalar()
-        passed = [F.when(F.col(col) > edges[j], 1).otherwise(0) for j in range(bins - 1)]
+        edges = exact_quantiles(df, col, [(j, bins) for j in range(1, bins)])
+        passed = [F.when(F.col(col) > F.lit(edge), 1).otherwise(0) for edge in edges if edge is not None]
         number = sum(passed, F.lit(0))
     elif how == "width":
         low = df.select(F.min(col)).scalar()
@@ -211,3 +209,26 @@ def _bin(df: DataFrame, col: str, bins: int, how: str, accuracy: int) -> Column:
     else:
         raise ValueError(f"unknown kind of bins {how!r}")
     return F.when(F.col(col).isNotNull(), number.cast("int"))
+
+
+def exact_quantiles(df: DataFrame, col: str, shares: Sequence[tuple[int, int]]) -> list:
+    """For each share ``(part, of)`` the smallest value with at least that share of the rows up to it.
+
+    Rows are counted per value first; the values are range-partitioned and only running totals of the
+    partitions are ordered in one place, so no group is gathered.
+    """
+    spark, path = df.sparkSession, scratch(df.sparkSession, "value-counts")
+    counted = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count("*").alias("n"))
+    counted.repartitionByRange("v").sortWithinPartitions("v").withColumn("at", F.monotonically_increasing_id()) \
+        .withColumn("part", F.shiftright("at", 33)).write.parquet(path)
+    counts = spark.read.parquet(path)
+    total = counts.agg(F.sum("n")).first()[0]
+    if not total:
+        return [None for _ in shares]
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.groupBy("part").agg(F.sum("n").alias("m")).select(
+        "part", F.coalesce(F.sum("m").over(earlier), F.lit(0)).alias("base"))
+    upto = F.col("base") + F.sum("n").over(Window.partitionBy("part").orderBy("at"))
+    ranked = counts.join(base, "part").select("v", upto.alias("upto"))
+    least = [max(1, -(-part * total // of)) for part, of in shares]
+    return list(ranked.agg(*[F.min(F.when(F.col("upto") >= k, F.col("v"))).alias(f"q{i}") for i, k in enumerate(least)]).first())

@@ -90,15 +90,18 @@ def _smallest_hashes(df: DataFrame, label: str, cap: int) -> DataFrame:
     hashed = df.withColumn("_hash", F.pmod(row_hash(df), F.lit(UNIT)))
     df.groupBy(label).agg(F.count("*").alias("_size")).where(F.col("_size") > cap).write.parquet(sizes)
     # Read back as files, whose real size tells the engine whether a broadcast is fine.
-    large = spark.read.parquet(sizes)
+    large = spark.read.parquet(sizes).withColumnRenamed(label, "_class")
     slack, short = 1.1, True
+    # NULL labels, as a left join leaves them, are a class like any other.
     while short:
         # Copies of one row share a hash, so a share of the hashes can hold too few rows; then widen it.
         limit = F.least(F.lit(1.0), slack * cap / F.col("_size")) * UNIT
-        limited = hashed.join(large, label, "left")
-        near = limited.where(F.col("_size").isNull() | (F.col("_hash") < limit)).drop("_size")
+        limited = hashed.join(large, F.col(label).eqNullSafe(F.col("_class")), "left")
+        near = limited.where(F.col("_size").isNull() | (F.col("_hash") < limit)).drop("_size", "_class")
         kept = near.groupBy(label).agg(F.count("*").alias("_near"))
-        short = large.join(kept, label, "left").where(F.coalesce("_near", F.lit(0)) < cap).limit(1).count() > 0
+        found = large.join(kept, F.col(label).eqNullSafe(F.col("_class")), "left")
+        # Once a class's limit is the whole range of hashes, all its rows are in.
+        short = found.where((F.coalesce("_near", F.lit(0)) < cap) & (limit < UNIT)).limit(1).count() > 0
         slack *= 2
     copies = near.groupBy(*df.columns, "_hash").agg(F.count("*").alias("_copies"))
     kept = first_per_group(copies, label, ["_hash", *df.columns], cap)
@@ -113,7 +116,7 @@ def _smallest_hashes(df: DataFrame, label: str, cap: int) -> DataFrame:
 
 def balance_any(df: DataFrame, label: str, cap: int, classes: Sequence) -> DataFrame:
     """At most ``cap`` arbitrary rows of each class: the cheap form, with a plain limit per class."""
-    parts = [df.where(F.col(label) == value).limit(cap) for value in classes]
+    parts = [df.where(F.col(label).eqNullSafe(F.lit(value))).limit(cap) for value in classes]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

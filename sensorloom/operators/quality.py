@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sensorloom.functions.predicates import as_column, is_true
-from sensorloom.sources.writers import NOT_NULL_PROPERTY
+from sensorloom.sources.constraints import CHECK_PROPERTY, enforce, guard, set_properties
 
-CHECK_PROPERTY = "sensorloom.check."
+__all__ = ["ConstraintViolation", "Rule", "add_check", "apply_rules", "check", "enforce", "expect", "expect_or_drop",
+           "expect_or_fail", "not_null", "report", "violations"]
 
 
 class ConstraintViolation(ValueError):
@@ -66,21 +67,12 @@ def apply_rules(
         df = df.observe(observation, *counts)
     for rule in sorted(rules, key=lambda r: r.action != "fail"):
         if rule.action == "fail":
-            df = df.where(_or_raise(rule))
+            df = guard(df, rule.name, rule.predicate, rule.null_passes)
         elif rule.action == "drop":
             df = df.where(rule.keeps)
     return df
 
 
-def _or_raise(rule: Rule) -> Column:
-    """TRUE or an error. It must sit in a filter: an unread projected column would be pruned.
-
-    The message names the rule only; quoting the row would make the scan read all its columns.
-    """
-    failed = F.raise_error(F.lit(f"rule {rule.name!r} failed")).cast("boolean")
-    return F.when(rule.passed, F.lit(True)).otherwise(failed)
-
-
 def expect(df, name, predicate, null_passes=False, observation=None) -> DataFrame:
     """Keep every row and count the failures."""
     return apply_rules(df, [Rule(name, predicate, "warn", null_passes)], observation or name)
@@ -131,15 +123,4 @@ def add_check(spark: SparkSession, table: str, name: str, predicate: str) -> Non
     broken = violations(spark.read.table(table), predicate).first()[0]
     if broken:
         raise ConstraintViolation(f"{broken} rows of {table} break {name}: {predicate}")
-    escaped = predicate.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{CHECK_PROPERTY}{name}' = '{escaped}')")
-
-
-def enforce(df: DataFrame, table: str) -> DataFrame:
-    """Guard ``df`` with all constraints of the table it is about to be written to."""
-    for row in df.sparkSession.sql(f"SHOW TBLPROPERTIES {table}").collect():
-        if row["key"] == NOT_NULL_PROPERTY:
-            df = not_null(df, *row["value"].split(","))
-        elif row["key"].startswith(CHECK_PROPERTY):
-            df = check(df, row["key"].removeprefix(CHECK_PROPERTY), row["value"])
-    return df
+    set_properties(spark, table, {f"{CHECK_PROPERTY}{name}": predicate})

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sensorloom.sources.constraints import set_properties, sql_text
+
 
 
 def register(spark: SparkSession, db: str, name: str, path: str, fmt: str = "parquet") -> str:
@@ -39,11 +41,8 @@ def define_table(
         writer = writer.option("path", path)
     writer.saveAsTable(name)
     if comment:
-        escaped = comment.replace("'", "\\'")
-        spark.sql(f"COMMENT ON TABLE {name} IS '{escaped}'")
-    if props:
-        pairs = ", ".join(f"'{k}' = '{v}'" for k, v in props.items())
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
+        spark.sql(f"COMMENT ON TABLE {name} IS '{sql_text(comment)}'")
+    set_properties(spark, name, props or {})
     return spark.table(name)
 
 

@@ -38,6 +38,6 @@ def silver(
     return apply_rules(decode(raw, schema or reading_schema()), rules, observation)
 
 
-def gold(readings: DataFrame, status: DataFrame, on: str = "id", salt: int = 1) -> DataFrame:
+def gold(readings: DataFrame, status: DataFrame, on: str = "id", salt: int | None = None) -> DataFrame:
     """Readings with the status of their device."""
     return label(readings, status, on, salt)

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorloom.session import path_exists
-
-NOT_NULL_PROPERTY = "sensorloom.notnull"
+from sensorloom.sources.constraints import NOT_NULL_PROPERTY, constraints, enforce, set_properties, sql_text
 
 
 def create(
@@ -25,7 +25,7 @@ def create(
     """Create an empty parquet table if it is not there.
 
     File tables do not reject NULLs themselves. The NOT NULL columns are kept as a table property,
-    which :func:`sensorloom.operators.quality.enforce` reads before a write.
+    which the writers of this package apply to every row, in batches and streams.
     """
     required = [f.name for f in T.StructType.fromDDL(ddl).fields if not f.nullable]
     props = dict(props or {})
@@ -35,10 +35,9 @@ def create(
     if path:
         statement += f" LOCATION '{path}'"
     if comment:
-        escaped = comment.replace("'", "\\'")
-        statement += f" COMMENT '{escaped}'"
+        statement += f" COMMENT '{sql_text(comment)}'"
     if props:
-        pairs = ", ".join(f"'{k}' = '{v}'" for k, v in props.items())
+        pairs = ", ".join(f"'{sql_text(k)}' = '{sql_text(v)}'" for k, v in props.items())
         statement += f" TBLPROPERTIES ({pairs})"
     spark.sql(statement)
 
@@ -57,8 +56,12 @@ def write(
 
     ``n_files`` is for small results such as a sample: it makes that many tasks write everything.
     ``merge_schema`` lets an append bring new columns to a path; readers pass
-    ``mergeSchema=True`` and see NULL where old files lack them.
+    ``mergeSchema=True`` and see NULL where old files lack them. The constraints of a table hold for
+    the new rows and outlive an overwrite.
     """
+    held = {} if "/" in target else constraints(df.sparkSession, target)
+    if held:
+        df = enforce(df, target)
     if n_files is not None:
         df = df.repartition(n_files)
     writer = df.write.mode(mode).format(fmt).options(**options)
@@ -70,14 +73,25 @@ def write(
         writer.save(target)
     else:
         writer.saveAsTable(target)
+        if mode == "overwrite":
+            set_properties(df.sparkSession, target, held)
 
 
 def _same_columns(df: DataFrame, path: str, fmt: str) -> None:
     if fmt != "parquet" or not path_exists(df.sparkSession, path):
         return
-    new = set(df.columns) - set(df.sparkSession.read.parquet(path).columns)
-    if new:
+    try:
+        held = df.sparkSession.read.parquet(path).schema  # the footer of one file
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without files
+            return
+        raise
+    kinds = {f.name: f.dataType for f in held.fields}
+    if new := set(df.columns) - set(kinds):
         raise ValueError(f"columns {sorted(new)} are not in {path}; use merge_schema=True to add them")
+    other = [f.name for f in df.schema.fields if f.dataType != kinds[f.name]]
+    if other:
+        raise ValueError(f"columns {sorted(other)} have another type in {path}; cast them before the write")
 
 
 def insert(df: DataFrame, table: str, cols: Sequence[str]) -> None:
@@ -90,4 +104,4 @@ def insert(df: DataFrame, table: str, cols: Sequence[str]) -> None:
         F.col(f.name).cast(f.dataType) if f.name in cols else F.lit(None).cast(f.dataType).alias(f.name)
         for f in spark.read.table(table).schema.fields
     ]
-    df.select(*ordered).write.insertInto(table)
+    enforce(df.select(*ordered), table).write.insertInto(table)

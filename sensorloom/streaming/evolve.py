@@ -7,6 +7,7 @@ payload's schema and stays valid when the schema grows.
 from __future__ import annotations
 
 import json
+import zlib
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -67,7 +68,8 @@ def _run_once(spark, path, out, known, checkpoint, side, max_files, fields_only)
             found.append(seen)
             raise UnknownFields(f"{MARKER}: {', '.join(new)}")
         decoded = decode_rescued(batch, known, side=side, fields_only=fields_only)
-        decoded.write.mode("overwrite").parquet(f"{out}/{BATCH}={batch_id}")
+        # Batches of another checkpoint are other batches, whatever their number.
+        decoded.write.mode("overwrite").parquet(f"{out}/{BATCH}={zlib.crc32(checkpoint.encode())}-{batch_id}")
 
     reader = spark.readStream.format("text")
     if max_files is not None:
@@ -112,4 +114,6 @@ def read_evolved(spark: SparkSession, out: str) -> DataFrame:
     if not noted:
         raise ValueError(f"nothing was loaded to {out}")
     side = T.StructField(noted[-1]["side"], T.StringType())
-    return spark.read.schema(T.StructType(stored_schema(spark, out).fields + [side])).parquet(out)
+    # Folder names are no columns here: a field of the data may have any name.
+    reader = spark.read.schema(T.StructType(stored_schema(spark, out).fields + [side]))
+    return reader.option("recursiveFileLookup", "true").parquet(out)

@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from sensorloom.functions.records import try_number
 
-# How connectors spell the start position.
-START_OPTIONS = {"kafka": "startingOffsets", "kinesis": "initialPosition"}
+# Fixed value: how the connector that ships with Spark spells the start position.
+START_OPTIONS = {"kafka": "startingOffsets"}
 
 
 def file_stream(
@@ -39,7 +39,10 @@ def file_stream(
 
 
 def connect(spark: SparkSession, connector: str, start: str = "earliest", **options: Any) -> DataFrame:
-    """A message stream by connector name. The connector's jar comes from the cluster."""
+    """A message stream by connector name. The connector's jar comes from the cluster.
+
+    ``start`` is translated for connectors in :data:`START_OPTIONS`; others take it among ``options``.
+    """
     if start not in ("earliest", "latest"):
         raise ValueError("start is earliest or latest")
     if connector in START_OPTIONS:

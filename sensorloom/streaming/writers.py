@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
 from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
+from sensorloom.sources.constraints import enforce
 from sensorloom.streaming.readers import file_stream
 
 BATCH = "batch_id"
@@ -40,11 +43,12 @@ def to_table(
 
     ``trigger`` is ``available_now`` (process what is there, then stop), an interval such as
     ``10 seconds``, or None for back-to-back batches. File sources see new files only: if upstream
-    rows are rewritten (``source_is_append_only=False``), start a new stream on the new snapshot.
+    rows are rewritten (``source_is_append_only=False``), start a new stream on the new snapshot. The
+    constraints that the table has when the stream starts hold for every row: a bad one fails its batch.
     """
     if not source_is_append_only:
         raise ValueError("a file source cannot follow rewritten rows; start a stream on the new snapshot")
-    writer = _writer(df, "append", checkpoint, trigger, name).format("parquet")
+    writer = _writer(enforce(df, table), "append", checkpoint, trigger, name).format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if path:
@@ -116,13 +120,44 @@ def copy_into(
     """Load the files of a folder that were not loaded before. Returns the number of new rows.
 
     The checkpoint belongs to the table and remembers the files; a second call adds nothing.
-    ``max_files`` splits a large backlog into micro-batches; the number then covers the last 100 of
-    them, as far back as a query reports.
+    ``max_files`` splits a large backlog into micro-batches. A listener hears of every one of them, so
+    the number is complete however many there are.
     """
     stream = file_stream(spark, path, schema, fmt, infer=schema is None, **options)
-    query = to_table(stream, table, checkpoint, path=table_path)
-    query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    counter = _RowCounter()
+    spark.streams.addListener(counter)
+    try:
+        query = to_table(stream, table, checkpoint, path=table_path)
+        query.awaitTermination()
+        return counter.total(str(query.runId))
+    finally:
+        spark.streams.removeListener(counter)
+
+
+class _RowCounter(StreamingQueryListener):
+    """Rows read by each run of a stream, summed over all its micro-batches."""
+
+    def __init__(self) -> None:
+        self._rows: dict[str, int] = defaultdict(int)
+        self._ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        self._rows[str(event.progress.runId)] += event.progress.numInputRows
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self._ended[str(event.runId)].set()
+
+    def total(self, run: str, patience: float = 60) -> int:
+        """Events arrive in order and the end of the run is the last one."""
+        if not self._ended[run].wait(patience):
+            raise RuntimeError("the stream's last event did not arrive")
+        return self._rows[run]
 
 
 def configure(spark: SparkSession, root: str) -> None:

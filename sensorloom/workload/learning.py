@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from sensorloom import streaming
 from sensorloom.operators import explain, features, model, runs
 from sensorloom.schemas import VIBRATION_COLUMNS
+from sensorloom.operators.analytics import on_day
 from sensorloom.session import scratch
 from sensorloom.workload import frames
 from sensorloom.workload.registry import query
@@ -218,3 +221,19 @@ def stream_scores_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = model.score(scorer, rows, ["vec_id"]).withColumnRenamed("prediction", "expected")
     both = batch.join(spark.read.schema(scored.schema).parquet(out), "vec_id", "left")
     return both.select("vec_id", F.col("expected").eqNullSafe(F.col("prediction")).alias("same"))
+
+
+@query("stream_scores_today", "SELECT vec_id AS id, true AS same FROM embeddings WHERE vec_id % 5 = 2")
+def stream_scores_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of one day of a labelled stream with event time, scored as in a batch."""
+    files, out = scratch(spark, "incoming"), scratch(spark, "scored")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("vec_id", F.lit(5)).cast("int"))
+    rows = frames.features(spark, sf_dir).withColumn("ts", day.cast("timestamp"))
+    rows.write.option("maxRecordsPerFile", 100).parquet(files)
+    scorer = _trained(spark, sf_dir).scorer
+    today = on_day(streaming.file_stream(spark, files, rows.schema, max_files=8), "ts", dt.date(2024, 1, 3))
+    scored = model.score(scorer, today, ["vec_id", "ts"])
+    streaming.to_path(scored, out, scratch(spark, "checkpoint")).awaitTermination()
+    batch = model.score(scorer, rows, ["vec_id", "ts"]).withColumnRenamed("prediction", "expected")
+    both = spark.read.schema(scored.schema).parquet(out).join(batch, ["vec_id", "ts"], "left")
+    return both.select(F.col("vec_id").alias("id"), F.col("expected").eqNullSafe(F.col("prediction")).alias("same"))

@@ -98,3 +98,14 @@ def evolving_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows.select("event_id", "user_id", "event_type").write.mode("append").json(path)
     run_evolving(spark, path, out, "event_id BIGINT, user_id BIGINT", checkpoint)
     return read_evolved(spark, out).select("event_id", "user_id", "event_type")
+
+
+@query("evolving_odd_names", """SELECT event_id, value AS "FLOAT_VALUE", user_id AS "VOID OBJECT<x" FROM events""")
+def evolving_odd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Field names that look like types keep their values when the schema is inferred and widened."""
+    path, out, checkpoint = (scratch(spark, f"odd-{part}") for part in ("in", "out", "checkpoint"))
+    rows = frames.events(spark, sf_dir).select("event_id", F.col("value").alias("FLOAT_VALUE"),
+                                               F.col("user_id").alias("VOID OBJECT<x"))
+    rows.write.json(path)
+    run_evolving(spark, path, out, "event_id BIGINT", checkpoint)
+    return read_evolved(spark, out).select("event_id", "FLOAT_VALUE", "`VOID OBJECT<x`")

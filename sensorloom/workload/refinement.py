@@ -11,17 +11,12 @@ from sensorloom.functions import decode, json_field, to_date_col
 from sensorloom.operators import bronze, features
 from sensorloom.operators.analytics import on_day, top_k, window_mean
 from sensorloom.operators.gold import assert_unique, join_hinted, label
-from sensorloom.operators.quality import Rule
 from sensorloom.plans import medallion
 from sensorloom.streaming import message_stream
 from sensorloom.workload import frames
 from sensorloom.workload.registry import query
 
-FLOW_RULES = (
-    Rule("timestamp", "TIMESTAMP IS NOT NULL", "fail"),
-    Rule("speed", "SPEED >= 0", "warn"),
-    Rule("id", "ID > 0", "drop"),
-)
+FLOW_RULES = medallion.READING_RULES
 
 
 @query("layered_flow", f"""

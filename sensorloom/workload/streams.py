@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorloom import streaming
 from sensorloom.functions import decode
-from sensorloom.operators import analytics
+from sensorloom.operators import analytics, layout
+from sensorloom.operators.quality import add_check
 from sensorloom.plans import medallion
 from sensorloom.session import scratch
 from sensorloom.sources import create, table
@@ -33,7 +35,8 @@ def _land(df: DataFrame, label: str = "landed") -> DataFrame:
 @query("file_stream", "SELECT event_id, user_id, value FROM events")
 def file_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = scratch(spark, "incoming")
-    frames.events(spark, sf_dir).select("event_id", "user_id", "value").repartition(6).write.parquet(files)
+    frames.events(spark, sf_dir).select("event_id", "user_id", "value") \
+        .write.option("maxRecordsPerFile", 2000).parquet(files)
     return _land(streaming.file_stream(spark, files, "event_id BIGINT, user_id BIGINT, value DOUBLE", max_files=2))
 
 
@@ -98,7 +101,7 @@ def stream_to_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A handful of event types, so the result fits the driver at any input size."""
     name = _name("live_counts")
     counts = analytics.count_by(frames.events_stream(spark, sf_dir), "event_type")
-    streaming.to_memory(counts, name).awaitTermination()
+    streaming.to_memory(counts, name, checkpoint=scratch(spark, "checkpoint")).awaitTermination()
     return spark.table(name)
 
 
@@ -168,3 +171,40 @@ def stream_view_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "peaks")
     streaming.rewrite_each_batch(peaks, path, scratch(spark, "checkpoint")).awaitTermination()
     return streaming.latest_result(spark, path)
+
+
+@query("stream_into_checked_table", "SELECT event_id, value FROM events WHERE value >= 5")
+def stream_into_checked_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table with constraints takes the rows that hold them and refuses a stream with others."""
+    name = _name("checked")
+    create(spark, name, "event_id BIGINT NOT NULL, value DOUBLE", path=scratch(spark, name))
+    add_check(spark, name, "enough", "value >= 5")
+    stream = frames.events_stream(spark, sf_dir).select("event_id", "value")
+    try:
+        streaming.to_table(stream, name, scratch(spark, "checkpoint")).awaitTermination()
+        refused = False
+    except StreamingQueryException:
+        refused = True
+    if not refused:  # only a table without a bad row may pass
+        return table(spark, name)
+    streaming.to_table(stream.where("value >= 5"), name, scratch(spark, "checkpoint")).awaitTermination()
+    return table(spark, name)
+
+
+@query("declarative_stream", f"""SELECT CAST(e.user_id AS DOUBLE) AS id, e.event_id AS event, s.status
+    FROM events e LEFT JOIN {frames.STATUS_SQL} s ON e.user_id = s.id WHERE e.user_id > 0""")
+def declarative_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live messages and historical records, in different column order, through rules and the status join as one stream.
+
+    The sources have several files each and every micro-batch takes a few of them.
+    """
+    live, history = scratch(spark, "live"), scratch(spark, "history")
+    rows, size = frames.events(spark, sf_dir), {"maxRecordsPerFile": 1000}
+    frames.messages(rows.where("event_id % 2 = 0")).write.options(**size).parquet(live)
+    frames.raw(rows.where("event_id % 2 <> 0")).select("value", "key").write.options(**size).parquet(history)
+    files = max(2, layout.bucket_count(spark, f"{sf_dir}/events.parquet", least=2))
+    messages = streaming.message_stream(streaming.file_stream(spark, live, infer=True, max_files=files))
+    records = streaming.file_stream(spark, history, infer=True, max_files=files)
+    silver = medallion.silver(medallion.bronze(messages, records), frames.READING_DDL, FLOW_RULES)
+    gold = medallion.gold(silver.withColumnRenamed("ID", "id"), frames.status(spark, sf_dir))
+    return _land(gold.select("id", F.col("EVENT").alias("event"), "status"))

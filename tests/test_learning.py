@@ -191,3 +191,15 @@ def test_runs_versions_and_stages(spark, trained):
         runs.promote(spark, root, "gbt", 7)
     scorer = runs.load_production(spark, root, "gbt")
     assert rows(model.score(scorer, df, ["vec_id"])) == rows(model.score(fitted.scorer, df, ["vec_id"]))
+
+
+def test_balance_ends_on_null_labels(spark):
+    df = spark.range(200).withColumn("label", F.when(F.col("id") % 4 != 0, F.concat(F.lit("c"), (F.col("id") % 4).cast("string"))))
+    sizes = {r.label: r["count"] for r in features.balance(df, "label", 10).groupBy("label").count().collect()}
+    assert sizes == {None: 10, "c1": 10, "c2": 10, "c3": 10}
+
+
+def test_quantile_edges_are_exact(spark):
+    df = spark.range(30_001).select((F.col("id") * 7919 % 30_001).cast("double").alias("v"))
+    assert explain.exact_quantiles(df, "v", [(1, 4), (1, 2), (3, 4)]) == [7500.0, 15000.0, 22500.0]
+    assert explain.exact_quantiles(df.limit(0), "v", [(1, 2)]) == [None]

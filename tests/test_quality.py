@@ -95,3 +95,29 @@ def test_counts_reconcile_through_the_layers(edge, spark):
     labelled = gold(readings, status)
     assert labelled.count() == n
     assert rows(labelled.select("id", "status")) == [(1.0, "healthy"), (2.0, None)]
+
+
+def test_constraints_hold_on_every_writer(spark):
+    from pyspark.errors import StreamingQueryException
+
+    from sensorloom import streaming
+    from sensorloom.sources import create, insert, write
+
+    name, files = "held_rules", scratch(spark, "rows")
+    create(spark, name, "id BIGINT NOT NULL, v DOUBLE", path=scratch(spark, name))
+    quality.add_check(spark, name, "low", "v < 10")
+    good, bad, null = (spark.createDataFrame([r], "id BIGINT, v DOUBLE") for r in ((1, 2.0), (2, 20.0), (None, 1.0)))
+    insert(good, name, ["id", "v"])
+    write(good, name)
+    for rows in (bad, null):
+        for attempt in (lambda r: insert(r, name, ["id", "v"]), lambda r: write(r, name)):
+            with pytest.raises(Exception, match="rule"):
+                attempt(rows)
+    good.union(bad).write.parquet(files)
+    stream = streaming.file_stream(spark, files, "id BIGINT, v DOUBLE")
+    with pytest.raises(StreamingQueryException):
+        streaming.to_table(stream, name, scratch(spark, "checkpoint")).awaitTermination()
+    assert spark.table(name).count() == 2
+    write(good, name, mode="overwrite")
+    with pytest.raises(Exception, match="rule"):
+        insert(bad, name, ["id", "v"])

@@ -186,3 +186,15 @@ def test_tables_may_be_folders_of_files(spark, sf_dir):
         frames.table(spark, sf_dir, name).repartition(3).write.parquet(f"{copy}/{name}.parquet")
     for query in ("stream_label_join", "stream_window_complete", "layered_flow", "bucketed_join"):
         assert rows(QUERIES[query](spark, copy)) == rows(QUERIES[query](spark, sf_dir)), query
+
+
+def test_copy_into_counts_every_batch(spark):
+    files = scratch(spark, "many")
+    spark.range(60).repartition(6).write.parquet(files)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        loaded = streaming.copy_into(spark, "counted", files, scratch(spark, "checkpoint"), schema="id BIGINT",
+                                     table_path=scratch(spark, "counted"), max_files=1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert loaded == 60

@@ -7,10 +7,9 @@ import pytest
 from conftest import SF
 
 import __spark_entry__ as driver
+from sensorloom.workload import QUERIES, SQL
 from tools.check_queries import rows_of, type_names
 
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck():
@@ -35,6 +34,10 @@ def test_query_equals_sql(spark, duck, name):
     assert rows_of(df.columns, df.collect()) == rows_of(columns, cursor.fetchall())
 
 
+def test_the_entry_offers_all_of_them():
+    assert QUERIES.items() <= driver.queries().items() and SQL.items() <= driver.oracle_sql().items()
+
+
 def test_entry_has_rows(spark):
     assert driver.entry(spark).columns == ["id", "status", "window_start", "mean_velocity"]
     assert driver.entry(spark).count() > 0
