@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Sequence
+from pathlib import Path
 
 import numpy as np
 import xxhash
@@ -17,6 +19,11 @@ CACHE_WORDS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder. Python workers on this machine find the package where the driver found it;
+    on a cluster it is shipped with ``--py-files`` as usual."""
+    home, paths = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if home not in paths.get("PYTHONPATH", "").split(os.pathsep):
+        paths["PYTHONPATH"] = os.pathsep.join(filter(None, [home, paths.get("PYTHONPATH")]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
