@@ -199,6 +199,11 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECAL
     links and are their own class; so is everything in a table without pairs. NULL doc_ids are never a
     class_id if the class has another one; repeated rows are copies; other columns are ignored.
     """
+    return _classes(docs, threshold, recall)[0]
+
+
+def _classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[DataFrame, list[DataFrame]]:
+    """The classes, and the tables that they are read from."""
     signed = stage(sign(docs), "signed")
     reps = stage(signed.where("hi is not null").groupBy("hi", "lo").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "h")).alias("first"),
@@ -229,8 +234,10 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECAL
     told = told.join(named, "root").select(
         "hi", "lo", F.col("root").alias("class_no"), F.col("class_id").alias("_class"),
         (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("_links"))
-    return signed.join(told, ["hi", "lo"], "left").select(
-        "doc_id", "h", "class_no", F.coalesce("_class", "doc_id").alias("class_id"), F.coalesce("_links", F.lit(0)).cast("bigint").alias("n_links"))
+    out = signed.join(told, ["hi", "lo"], "left").select(
+        "doc_id", "h", "class_no", F.coalesce("_class", "doc_id").alias("class_id"),
+        F.coalesce("_links", F.lit(0)).cast("bigint").alias("n_links"))
+    return out, [signed, reps, *results]
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -238,7 +245,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Documents without words have no near copies and all stay; of rows with equal doc_id and text one stays.
     """
-    found = stage(classes(docs), "classes")
+    told, tables = _classes(docs)
+    found = stage(told, "classes")
+    for used in tables:
+        discard(used)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "h")).alias("first")
     chosen = (found.where("class_no is not null").groupBy("class_no").agg(first).select("first.doc_id", "first.h")
               .unionByName(found.where("class_no is null").select("doc_id", "h").distinct())
