@@ -45,7 +45,7 @@ def train(
     parallelism: int = 2,
     handle_invalid: str = "skip",
 ) -> Trained:
-    """Grid search over tree depth by cross validation, refit on all rows.
+    """Grid search over tree depth by cross validation, refit on all rows. ``folds=0`` fits the only depth.
 
     Rows without a label are left out. Folds go by the hash of the features, so they are the same in
     every run and equal rows never sit on both sides. The training frame is read once and kept on the
@@ -54,13 +54,20 @@ def train(
     labelled, names = label_index(df.select(*cols, label), label, positive=positive)
     labelled = labelled.where("label IS NOT NULL")
     stages = feature_stages(cols, handle_invalid=handle_invalid).fit(labelled)
-    fold = F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(folds)).cast("int").alias("fold")
+    fold = F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(max(1, folds))).cast("int").alias("fold")
     data = stages.transform(labelled).select("features", "label", fold).persist(StorageLevel.MEMORY_AND_DISK)
+    if not folds and len(depths) != 1:
+        raise ValueError("without folds there is one depth to fit")
     gbt = GBTClassifier(labelCol="label", featuresCol="features", maxIter=iters, seed=seed)
     if metric.startswith("areaUnder"):
         evaluator = BinaryClassificationEvaluator(metricName=metric)
     else:
         evaluator = MulticlassClassificationEvaluator(metricName=metric)
+    if not folds:
+        try:
+            return Trained(PipelineModel([*stages.stages, gbt.setMaxDepth(depths[0]).fit(data)]), names, {})
+        finally:
+            data.unpersist()
     search = CrossValidator(
         estimator=gbt,
         estimatorParamMaps=ParamGridBuilder().addGrid(gbt.maxDepth, list(depths)).build(),

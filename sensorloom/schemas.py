@@ -6,12 +6,6 @@ from pyspark.sql import types as T
 
 # Column names and types of the incoming device records.
 VIBRATION_COLUMNS = ["AN3", "AN4", "AN5", "AN6", "AN7", "AN8", "AN9", "AN10"]
-RAW_DDL = "key DOUBLE NOT NULL, value STRING"
-STATUS_DDL = "id INT, status STRING"
-POWER_DDL = (
-    "turbine_id BIGINT, date TIMESTAMP, power FLOAT, wind_speed FLOAT, "
-    "theoretical_power_curve FLOAT, wind_direction FLOAT"
-)
 EVOLVING_HINTS = "TIMESTAMP TIMESTAMP, infos STRUCT<wind_speed: FLOAT, wind_direction: STRING>"
 
 

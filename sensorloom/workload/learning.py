@@ -14,10 +14,9 @@ from sensorloom.schemas import VIBRATION_COLUMNS
 from sensorloom.operators.analytics import on_day
 from sensorloom.session import scratch
 from sensorloom.workload import frames
+from sensorloom.workload.registry import MD5_NUMBER as _MD5
 from sensorloom.workload.registry import query
 
-_MD5 = "CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{seed}'), 1, 8) AS BIGINT)"
-
 
 @query("split_keyed", f"""SELECT event_id, CASE WHEN {_MD5.format(key='event_id', seed=42)} < 3006477107
     THEN 'train' ELSE 'test' END AS part FROM events""")
@@ -148,9 +147,9 @@ def dependence_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({c: F.round(c, 6) for c in ("mean_value", "mean_shap")})
 
 
-def _trained(spark: SparkSession, sf_dir: str) -> model.Trained:
-    return model.train(frames.features(spark, sf_dir), VIBRATION_COLUMNS, "status", "damaged",
-                       depths=(3, 4), folds=2, iters=5)
+def _trained(spark: SparkSession, sf_dir: str, depths=(3,), folds: int = 0) -> model.Trained:
+    """One depth without a search: these queries show scores and explanations, not the choice of a depth."""
+    return model.train(frames.features(spark, sf_dir), VIBRATION_COLUMNS, "status", "damaged", depths=depths, folds=folds)
 
 
 @query("trained_metrics")
@@ -166,7 +165,7 @@ def trained_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("production_scores")
 def production_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train, log, register, promote, load, and score the whole table."""
-    root, trained = scratch(spark, "runs"), _trained(spark, sf_dir)
+    root, trained = scratch(spark, "runs"), _trained(spark, sf_dir, (3, 4), 2)
     runs.log(spark, root, "vibration", {"AUROC": max(trained.search.values())}, scorer=trained.scorer)
     version = runs.register(spark, root, runs.best(spark, root, "vibration", "AUROC").first())
     runs.promote(spark, root, "vibration", version)
@@ -190,6 +189,16 @@ def feature_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explain.importances(spark, _trained(spark, sf_dir).classifier, VIBRATION_COLUMNS)
 
 
+@query("importances_complete", """SELECT true AS complete, true AS none_negative, true AS sum_is_one, count(*) > 0 AS fitted
+    FROM embeddings""")
+def importances_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importances name every feature once, are not negative and add up to one."""
+    rows = explain.importances(spark, _trained(spark, sf_dir).classifier, VIBRATION_COLUMNS)
+    names = F.array_sort(F.collect_list("feature")) == F.array(*[F.lit(c) for c in sorted(VIBRATION_COLUMNS)])
+    return rows.agg(names.alias("complete"), (F.min("weight") >= 0).alias("none_negative"),
+                    (F.abs(F.sum("weight") - 1) < 1e-9).alias("sum_is_one"), (F.count("*") > 0).alias("fitted"))
+
+
 @query("shapley_values")
 def shapley_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     trained = _trained(spark, sf_dir)

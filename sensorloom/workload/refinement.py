@@ -14,6 +14,7 @@ from sensorloom.operators.gold import assert_unique, join_hinted, label
 from sensorloom.plans import medallion
 from sensorloom.streaming import message_stream
 from sensorloom.workload import frames
+from sensorloom.workload.registry import MD5_NUMBER as _MD5
 from sensorloom.workload.registry import query
 
 FLOW_RULES = medallion.READING_RULES
@@ -170,9 +171,6 @@ def dedup_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.dedup(frames.events(spark, sf_dir).select("user_id", "event_type"), ["user_id", "event_type"])
 
 
-_MD5 = "CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{seed}'), 1, 8) AS BIGINT)"
-
-
 @query("sample_keyed", f"SELECT event_id, value FROM events WHERE {_MD5.format(key='event_id', seed=7)} < 42949672")
 def sample_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.sample(frames.events(spark, sf_dir), 0.01, 7, "event_id", "md5").select("event_id", "value")

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: SQL of ``unit_bucket(key, seed, "md5")``.
+MD5_NUMBER = "CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{seed}'), 1, 8) AS BIGINT)"
+
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
