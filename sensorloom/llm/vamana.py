@@ -163,8 +163,11 @@ def search_index(index: DataFrame, queries: DataFrame, k: int = 5, beam: int = W
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of each query ``(vec_id, v)`` but itself."""
     blocks = (queries.withColumn("dim", F.size("v")).withColumn("block", F.floor(F.monotonically_increasing_id() / ROUND))
               .groupBy("dim", "block").agg(F.collect_list(F.struct("vec_id", "v")).alias("queries")))
-    # A query set in blocks meets every shard of its length.
-    met = index.join(blocks, "dim").select("n", "dim", "start", "vectors", "graph", "ids", "queries")
+    # A query set in blocks meets every shard of its length; shards are dealt to tasks of their own.
+    last = index.select(F.max("shard")).first()[0] or 0
+    spread = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(last))))
+    met = (index.repartition(last + 1, "dim", "shard").join(spread.repartition(last + 1, "dim", "shard"), ["dim", "shard"])
+           .select("n", "dim", "start", "vectors", "graph", "ids", "queries"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,7 +195,7 @@ def search_index(index: DataFrame, queries: DataFrame, k: int = 5, beam: int = W
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                     out, (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "vec_id", "score"])
 
-    found = met.repartition(F.xxhash64("graph", F.hash("queries"))).mapInArrow(run, "query_id bigint, vec_id bigint, score double")
+    found = met.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.distinct().withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
