@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterable, Sequence
 from pathlib import Path
+from typing import Any
 
 import numpy as np
 import xxhash
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from sensorloom.session import scratch
 
 # Words a Python worker keeps between batches; beyond that the store starts anew.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 700_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,6 +108,20 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+_stores: dict[str, Any] = {}
+
+
+def own_store(name: str, make: Callable[[], Any]) -> Any:
+    """What this Python worker keeps between tasks for operator ``name``.
+
+    Workers outlive an operator; the store of one that ran before is dropped, so stores never add up.
+    """
+    if name not in _stores:
+        _stores.clear()
+        _stores[name] = make()
+    return _stores[name]
+
+
 class WordHashes(dict):
     """Word to 64-bit hash, the same in every process; computed once per distinct word."""
 
@@ -224,14 +239,9 @@ class Encoder:
             return self.ids(text)
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """The encoder of this worker process for ``path``."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    return own_store(f"tokens:{path}", lambda: Encoder(path))
 
 
 def vocabulary_path() -> str:

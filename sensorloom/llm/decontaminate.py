@@ -9,6 +9,7 @@ the item's words and by a check of the item's last part, its answer.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import CACHE_WORDS, shielded
+from sensorloom.llm.common import CACHE_WORDS, own_store, shielded
 
 PASSAGE = 48  # words of a passage in the statistics
 CHUNK, CHUNKS = 12, 3  # a window is CHUNKS chunks; one starts at every chunk
@@ -36,11 +37,22 @@ def plain(word: str) -> str:
     return word.lower().strip(_EDGE)
 
 
-class Vocabulary(dict):
-    """Written word to its number: content words of the items from 0, other words -1, no content -2."""
+class _Numbers(dict):
+    """Written word to its number in a vocabulary."""
 
-    def __init__(self, items: list[tuple[int, list[str]]]) -> None:
+    def __init__(self, number: dict[str, int]) -> None:
         super().__init__()
+        self.number = number
+
+    def __missing__(self, word: str) -> int:
+        value = self[word] = self.number.get(plain(word), -1)
+        return value
+
+
+class Vocabulary:
+    """Word to its number: content words of the items from 0, other words -1, no content -2."""
+
+    def __init__(self, items: list[tuple[int, list[str]]]) -> None:
         held: dict[str, int] = {}
         for _, words in items:
             for w in set(words):
@@ -54,18 +66,16 @@ class Vocabulary(dict):
         self.number = {w: i for i, w in enumerate(self.words)}
         self.number.update((w, -2) for w in held if w not in content)
         self.number[""] = -2
-
-    def __missing__(self, word: str) -> int:
-        value = self[word] = self.number.get(plain(word), -1)
-        return value
+        self.mark = zlib.crc32("\n".join(self.words).encode())
 
     def of(self, texts: list[str | None]) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
         """Words of each text, their numbers put together, and the words per text."""
-        if len(self) > CACHE_WORDS:
-            self.clear()
+        store = own_store(f"benchmark:{self.mark}", lambda: _Numbers(self.number))
+        if len(store) > CACHE_WORDS:
+            store.clear()
         words = [(text or "").split() for text in texts]
         n = np.array([len(w) for w in words], np.int64)
-        return words, np.fromiter((x for ws in words for x in map(self.__getitem__, ws)), np.int32, int(n.sum())), n
+        return words, np.fromiter((x for ws in words for x in map(store.__getitem__, ws)), np.int32, int(n.sum())), n
 
 
 def _pieces(n: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

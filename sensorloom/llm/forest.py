@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import CACHE_WORDS, MIX, WordHashes, components, discard, shielded, shingles, stage
+from sensorloom.llm.common import MIX, WordHashes, components, discard, own_store, shielded, shingles, stage
 
 N, THRESHOLD, RECALL = 5, 0.8, 0.999
 TREES, DEPTH = 16, 8
@@ -27,14 +27,13 @@ BLOCK = 256  # members of a group compared at once
 _rng = np.random.default_rng(41)
 _FACTOR = _rng.integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) | np.uint64(1)
 _SHIFT = _rng.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64)
-_words = WordHashes()
 
 
 def ngrams(text: str | None) -> np.ndarray:
     """Sorted different hashes of the text's word n-grams, in lower case."""
-    if len(_words) > CACHE_WORDS:
-        _words.clear()
-    return np.unique(shingles(_words.of((text or "").lower().split()), N))
+    store = own_store("forest", WordHashes)
+    store.trim()
+    return np.unique(shingles(store.of((text or "").lower().split()), N))
 
 
 def signature(grams: np.ndarray) -> np.ndarray:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorloom.llm.common import CACHE_WORDS, MIX, numbered, shielded, stage
+from sensorloom.llm.common import CACHE_WORDS, MIX, numbered, own_store, shielded, stage
 
 VIEW_BITS = 14  # buckets per view
 BUCKETS = 4 << VIEW_BITS
@@ -45,17 +45,16 @@ class _Words(dict):
         return value
 
 
-_words = _Words()
-
 
 def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all n-grams of ``texts``, one text after the other, and how many each text has."""
-    if len(_words) > CACHE_WORDS:
-        _words.clear()
+    store = own_store("quality", _Words)
+    if len(store) > CACHE_WORDS:
+        store.clear()
     words = [(text or "").split() for text in texts]
     n = np.array([len(w) for w in words], np.int64)
     flat = [w for ws in words for w in ws]
-    codes = np.fromiter(map(_words.__getitem__, flat), np.uint64, len(flat))
+    codes = np.fromiter(map(store.__getitem__, flat), np.uint64, len(flat))
     owner = np.repeat(np.arange(len(texts)), n)
     word, form = codes >> np.uint64(16), codes & np.uint64(0xFFFF)
     inside = owner[1:] == owner[:-1]
