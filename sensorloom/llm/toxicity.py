@@ -29,6 +29,7 @@ WIDEST = 20  # characters compared at once; a longer word is scored in overlappi
 BITS = 6  # per character
 #: Bounds of the training sample: labelled documents of each class, landmarks, words of the clean class.
 MAX_DOCS, MAX_LANDMARKS, MAX_WORDS = 6_000, 250, 20_000
+OUTER = 10  # features of the logistic function
 LOW = -3.0  # margin of a word with fewer than three characters
 _SENTENCE = re.compile(r"[.!?]\s+|\n")
 _EDGE = "\"'.,;:!?()[]{}|*#$%&-_~<>/\\+="
@@ -250,7 +251,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column) -> Model:
     """
     ids = sample_ids(labels, usable)
     share = sum(ids.values()) / max(1, len(ids))
-    flat = Model(np.zeros(1 << (3 * BITS), np.float32), LOW, np.zeros(9))
+    flat = Model(np.zeros(1 << (3 * BITS), np.float32), LOW, np.zeros(OUTER))
     flat.outer[0] = np.log((share + 1e-9) / (1 - share + 1e-9))
     words = sentence_words(docs, ids).cache()
     total = words.agg(F.sum("toxic"), F.sum("clean")).first()
@@ -277,7 +278,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column) -> Model:
         y = np.array([1.0] * len(heads) + [-1.0] * len(clean))
         weight = np.sqrt(np.array([r.toxic for r in telling] + list(clean.values()), float))
         w, bias = _machine(land.kernel([*heads, *clean]) @ half, y, weight)
-        model = Model(land.fold(half @ w), bias, np.zeros(9))
+        model = Model(land.fold(half @ w), bias, np.zeros(OUTER))
         if turn < 2:  # clean words that the machine takes for insults join the sample; the worst become landmarks
             worst = _worst(ordinary, model, MAX_WORDS // 4)
             marks = list(dict.fromkeys([*marks, *[r.word for r in worst[:80] if r.margin > -0.5]]))
