@@ -2,9 +2,10 @@
 
 Passages of all documents are TF-IDF vectors over the benchmark's content words. One pass counts passage
 frequencies and sketches the passages' Gram matrix with a random test matrix; the sketch gives the leading
-singular vectors (randomised SVD, single pass). A second pass projects overlapping windows of every text,
-takes windows near an item by cosine as candidates, and settles each by the longest common subsequence with
-the item's words and by a check of the item's last part, its answer.
+singular vectors (randomised SVD, single pass); the items' directions outside them complete the latent space,
+so every item keeps its whole norm there. A second pass takes all overlapping windows of every text whose
+projection covers enough of an item as candidates, and settles each by the longest common subsequence with the
+item's words and by a check of the item's last part, its answer.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ PASSAGE = 48  # words of a passage in the statistics
 CHUNK, CHUNKS = 12, 3  # a window is CHUNKS chunks; one starts at every chunk
 RANK, SKETCH = 64, 80
 SEGMENT = 32  # words of an item looked for at once
-#: A candidate's least cosine, least share of its mass in the vocabulary, and least share of the item's mass.
-COSINE, COVER, SHARED = 0.5, 0.12, 0.4
+SHARED = 0.4  # a candidate's least share of the item's mass
+CELLS = 2_000_000  # of windows by item parts at once
 LCS, LCS_WITH_ANSWER, ANSWER = 0.7, 0.5, 0.8
 ITEMS = 1_000  # items a pass looks for; a larger benchmark takes several passes
 COMMON = 0.05  # a word in more than this share of the items is no content word
@@ -161,20 +162,24 @@ class Model:
         half = gram @ (vectors[:, good] / np.sqrt(values[good]))
         left, _, _ = np.linalg.svd(half, full_matrices=False)
         basis = left[:, :RANK]
-        self.project = (idf[:, None] * basis).astype(np.float32)
-        # By number: content words, and at the end -2 (nothing) and -1 (a usual content word).
-        self.mass = np.append(idf ** 2, [0.0, np.median(idf) ** 2]).astype(np.float64)
+        self.idf = idf
         # A long item is looked for by parts about as long as a window.
         parts = [(i, words[k:k + SEGMENT]) for i, (_, words) in enumerate(items)
                  for k in range(0, max(1, len(words) - SEGMENT // 2), SEGMENT)]
         self.item_of = [i for i, _ in parts]
-        rows = np.zeros((len(parts), self.project.shape[1]), np.float32)
-        self.shared = np.zeros((len(parts), width), np.float32)
+        rows = np.zeros((len(parts), width))
         for i, (_, words) in enumerate(parts):
             held = sorted({vocabulary.number[w] for w in words if vocabulary.number[w] >= 0})
-            rows[i] = self.project[held].sum(0)
-            self.shared[i, held] = idf[held] ** 2 / (idf[held] ** 2).sum()
-        self.rows = rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
+            rows[i, held] = idf[held]
+        self.size = np.linalg.norm(rows, axis=1)
+        # The sketch's directions alone keep little of an item of rare words; the rest of each item joins the space.
+        rest = rows - rows @ basis @ basis.T
+        own, kept, _ = np.linalg.svd(rest.T, full_matrices=False)
+        self.space = np.hstack([basis, own[:, kept > 1e-6 * max(1.0, kept.max(initial=0))]]).astype(np.float32)
+        # Item parts of each word one after the other, with the word's share of the part's mass.
+        number, self.part = np.nonzero(rows.T)
+        self.share = idf[number] ** 2 / self.size[self.part] ** 2
+        self.parts_of = np.searchsorted(number, np.arange(width + 1))
         self.masks = []
         for _, words in items:
             mask: dict[str, int] = {}
@@ -183,42 +188,35 @@ class Model:
             self.masks.append(mask)
 
     def candidates(self, numbers: np.ndarray, n: np.ndarray) -> list[tuple[int, int, int, float]]:
-        """``(text, first word, item, cosine)`` of all windows near an item."""
+        """``(text, first word, item, cosine)`` of all windows that cover enough of an item.
+
+        An item lies in the latent space, so a projected window has the window's own product with it: the share
+        of the item that the window covers is summed over their common words, and only candidates are projected.
+        """
         piece, owner = _pieces(n, CHUNK)
-        if not len(owner):
-            return []
-        full = np.bincount(piece, self.mass[numbers], len(owner))
-        at, number = _presence(numbers, piece, len(self.vocabulary.words))
-        inside = np.bincount(at, self.mass[number], len(owner))
-        rows = np.zeros((len(owner) + CHUNKS, self.project.shape[1]), np.float32)
-        if len(at):
-            starts = np.flatnonzero(np.diff(at, prepend=-1))
-            rows[at[starts]] = np.add.reduceat(self.project[number], starts)
-        window, most, held = rows[:len(owner)].copy(), full.copy(), inside.copy()
-        for k in range(1, CHUNKS):
-            same = np.zeros(len(owner), bool)
-            same[:-k or None] = owner[k:] == owner[:-k]
-            window += np.where(same[:, None], rows[k:len(owner) + k], 0)
-            most[same] += full[k:][same[:-k]]
-            held[same] += inside[k:][same[:-k]]
-        keep = np.flatnonzero(held >= np.maximum(COVER * most, 1e-9))
-        window = window[keep]
-        near = window @ self.rows.T / np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-12)
-        at_window, part = np.nonzero(near >= COSINE)
-        # Of these, windows that hold enough of the item's TF-IDF mass itself.
-        low = np.searchsorted(at, keep[at_window])
-        last = np.minimum(keep[at_window] + CHUNKS, np.searchsorted(owner, owner[keep[at_window]], "right"))
-        count = np.searchsorted(at, last) - low
-        hit = np.repeat(np.arange(len(low)), count)
-        place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
-        mass = np.bincount(hit, self.shared[part[hit], number[place]], len(low))
+        at, number = _presence(numbers, piece, len(self.idf))
         first = np.searchsorted(owner, np.arange(len(n)))
-        out = []
-        for k in np.flatnonzero(mass >= SHARED):
-            chunk = keep[at_window[k]]
-            text = int(owner[chunk])
-            out.append((text, int(chunk - first[text]) * CHUNK, self.item_of[part[k]],
-                        float(near[at_window[k], part[k]])))
+        stop, parts, out = np.searchsorted(owner, owner, "right"), len(self.size), []
+        step = max(CHUNKS, CELLS // max(1, parts))
+        for low in range(0, len(owner), step):
+            high = min(len(owner), low + step)
+            a, b = np.searchsorted(at, (low, min(len(owner), high + CHUNKS - 1)))
+            count = self.parts_of[number[a:b] + 1] - self.parts_of[number[a:b]]
+            if not count.sum():
+                continue
+            place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - self.parts_of[number[a:b]], count)
+            cell = np.repeat((at[a:b] - low) * parts, count) + self.part[place]
+            chunk = np.bincount(cell, self.share[place], (high - low + CHUNKS) * parts).reshape(-1, parts)
+            mass = chunk[:high - low].copy()
+            for k in range(1, CHUNKS):
+                same = np.arange(low, high) + k < stop[low:high]
+                mass += np.where(same[:, None], chunk[k:high - low + k], 0)
+            for window, part in np.argwhere(mass >= SHARED - 1e-9).tolist():
+                text = int(owner[low + window])
+                held = number[slice(*np.searchsorted(at, (low + window, min(low + window + CHUNKS, stop[low + window]))))]
+                size = np.linalg.norm(self.idf[held] @ self.space[held])
+                cosine = mass[window, part] * self.size[part] / max(size, 1e-12)
+                out.append((text, int(low + window - first[text]) * CHUNK, self.item_of[part], float(min(1.0, cosine))))
         return out
 
     def leaks(self, texts: list[str | None]) -> list[list[dict]]:

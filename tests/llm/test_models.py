@@ -170,3 +170,26 @@ def test_vamana_recall_ties_and_odd_vectors(spark):
 
 def test_words_are_words():
     assert len(words(random.Random(1), 5)) == 5
+
+
+def test_decontamination_finds_every_item_in_long_texts():
+    """Short and long items of rare words, verbatim and with replaced words, among many other passages."""
+    rng = random.Random(12)
+    pool = words(rng, 9000)
+    prose = lambda n: [rng.choice(pool[:6000] if rng.random() < 0.7 else pool) for _ in range(n)]
+    items = [(i, prose(rng.choice([4, 15, 16, 18, 40, 57]))) for i in range(400)]
+    vocabulary = decontaminate.Vocabulary(items)
+    sketch = decontaminate.Sketch(len(vocabulary.words))
+    for _ in range(20):
+        sketch.add(*vocabulary.of([" ".join(prose(2000)) for _ in range(5)])[1:])
+    model = decontaminate.Model(items, vocabulary, sketch)
+    for share in (0, 0.15):
+        texts = []
+        for _, item in items:
+            text, drop = prose(600), set(rng.sample(range(len(item)), int(share * len(item))))
+            at = rng.randrange(len(text))
+            text[at:at] = ["other" if k in drop else w for k, w in enumerate(item)]
+            texts.append(" ".join(text))
+        missed = [i for i, found in enumerate(model.leaks(texts)) if i not in {x["item_id"] for x in found}]
+        assert missed == []
+        assert all(0 < x["cosine"] <= 1 for found in model.leaks(texts[:20]) for x in found)
