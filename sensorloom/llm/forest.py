@@ -2,9 +2,9 @@
 
 Texts become sets of word n-grams; equal sets share one representative. A representative's signature has
 ``TREES`` prefixes of ``DEPTH`` values, each the path to a leaf of a sorted prefix trie. Representatives that
-share a path down to some depth are candidates; the depth is shortened step by step until the recall, as
-estimated from the verified pairs, reaches the target. Candidates are verified on the exact sets, in blocks,
-so a large group of near copies costs comparisons but never one row per pair.
+share a path down to some depth are candidates; the depth is the longest at which a pair just at the threshold
+is found with the target probability, whatever other pairs the table has. Candidates are verified on the exact
+sets, in blocks, so a large group of near copies costs comparisons but never one row per pair.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ from sensorloom.llm.common import MIX, WordHashes, components, discard, own_stor
 
 N, THRESHOLD, RECALL = 5, 0.8, 0.999
 TREES, DEPTH = 16, 8
-STEPS = (8, 6, 5, 4)  # depths, longest first; at the last one a pair at the threshold is missed once in 4,000
 BLOCK = 256  # members of a group compared at once
 _rng = np.random.default_rng(41)
 _FACTOR = _rng.integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) | np.uint64(1)
@@ -182,12 +181,23 @@ def verify(blocks: DataFrame, depth: int, done: int | None, threshold: float) ->
 
 
 def found_share(histogram: dict[int, int], depth: int) -> float:
-    """Estimated recall: found pairs over the number they stand for at this depth."""
+    """Estimated recall: found pairs over the number they stand for at this depth.
+
+    A figure over all pairs, in which many very similar ones outweigh the rest; no depth is chosen by it.
+    """
     missed = lambda s: (1 - (s / 100) ** depth) ** TREES
     return sum(histogram.values()) / max(1e-9, sum(n / (1 - missed(max(s, 1))) for s, n in histogram.items())) \
         if histogram else 1 - missed(100 * THRESHOLD)
 
 
+def search_depth(threshold: float, recall: float) -> int:
+    """The longest depth at which a pair at ``threshold`` is found with probability ``recall``; 1 if none is.
+
+    At 0.8 and 0.999 it is 4, where such a pair is missed once in 4,000.
+    """
+    return next((d for d in range(DEPTH, 1, -1) if 1 - (1 - threshold ** d) ** TREES >= recall), 1)
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """``doc_id, h, class_no, class_id, n_links``: one row per document.
 
@@ -210,21 +220,12 @@ def _classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECA
         .select("hi", "lo", "first.doc_id", "first.h", "copies", "sig")
         .withColumn("rep", F.monotonically_increasing_id()), "reps")
     texts = _keyed(docs).select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"), "text")
-    results, histogram, done = [], {}, None
-    for depth in STEPS:
-        groups = stage(candidate_groups(reps, depth), "groups")
-        members = _blocks(groups).join(reps.select("rep", "copies", "doc_id", "h"), "rep")
-        blocks = texts.join(members.hint("shuffle_hash"), F.col("_d").eqNullSafe(F.col("doc_id")) & (F.col("_h") == F.col("h")))
-        results.append(stage(verify(blocks, depth, done, threshold), "links"))
-        for row in results[-1].where("kind = 2").groupBy("a").agg(F.sum("b").alias("n")).collect():
-            histogram[row.a] = histogram.get(row.a, 0) + row.n
-        discard(groups)
-        if found_share(histogram, depth) >= recall:
-            break
-        done = depth
-    links = results[0]
-    for more in results[1:]:
-        links = links.unionByName(more)
+    depth = search_depth(threshold, recall)
+    groups = stage(candidate_groups(reps, depth), "groups")
+    members = _blocks(groups).join(reps.select("rep", "copies", "doc_id", "h"), "rep")
+    blocks = texts.join(members.hint("shuffle_hash"), F.col("_d").eqNullSafe(F.col("doc_id")) & (F.col("_h") == F.col("h")))
+    links = stage(verify(blocks, depth, None, threshold), "links")
+    discard(groups)
     roots = components(links.where("kind = 1").select("a", "b"))
     counts = links.where("kind = 0").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("others"))
     told = (reps.select("rep", "hi", "lo", "doc_id", "copies").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
@@ -236,7 +237,7 @@ def _classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECA
     out = signed.join(told, ["hi", "lo"], "left").select(
         "doc_id", "h", "class_no", F.coalesce("_class", "doc_id").alias("class_id"),
         F.coalesce("_links", F.lit(0)).cast("bigint").alias("n_links"))
-    return out, [signed, reps, *results]
+    return out, [signed, reps, links]
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

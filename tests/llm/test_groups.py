@@ -75,6 +75,32 @@ def test_recall_estimate():
     assert forest.found_share({}, 4) >= 0.999
 
 
+def test_forest_finds_far_pairs_beside_a_large_group(spark):
+    """Pairs at the threshold that meet at no long path, with 4,950 pairs of very similar texts beside them."""
+    rng = random.Random(21)
+    stem, rows, far = words(rng, 600), [], 0
+    for i in range(100):
+        rows.append((i, " ".join([*stem, f"end{i}"]), "en", "s", 1))
+    while far < 3:
+        text = words(rng, 120)
+        other = [*text[:107], *words(rng, 12)]
+        a, b = (forest.ngrams(" ".join(t)) for t in (text, other))
+        x, y = (forest.signature(g).reshape(forest.TREES, forest.DEPTH) for g in (a, b))
+        alike = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        if alike >= 0.8 and not (x == y).all(1).any() and (x[:, :4] == y[:, :4]).all(1).any():
+            rows += [(1000 + 2 * far, " ".join(text), "en", "s", 1), (1001 + 2 * far, " ".join(other), "en", "s", 1)]
+            far += 1
+    got = forest.classes(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: r.n_links for r in got} == {r[0]: 99 if r[0] < 1000 else 1 for r in rows}
+
+
+def test_search_depth_holds_at_the_threshold():
+    for threshold in (0.5, 0.8, 0.95):
+        depth = forest.search_depth(threshold, 0.999)
+        assert 1 - (1 - threshold ** depth) ** forest.TREES >= 0.999
+    assert forest.search_depth(0.8, 0.999) == 4
+
+
 def brute_repeats(rows):
     """Spans by one pass over all units in rank order."""
     seen, out = {}, {}
