@@ -141,6 +141,21 @@ def test_repeats_match_brute_force(spark):
             assert clean[r.doc_id] == left + text[r.doc_id][at:]
 
 
+def test_repeats_remove_short_lines_and_cut_passages(spark):
+    """Whole lines from five words on; of a passage that starts inside a sentence all but that sentence."""
+    rng = random.Random(14)
+    line, two, short = "the same short line again", "one two three four five. six seven eight nine ten.", "only four words here"
+    a, b = (" ".join(words(rng, n)) + "." for n in (30, 22))
+    texts = ["\n".join([sentences(rng, 20), line, sentences(rng, 20), two, sentences(rng, 20), short, f"begin {i} {a} {b} {sentences(rng, 20)}"])
+             for i in range(4)]
+    # The sentences of ``two`` alone, inside other lines, have too few words.
+    texts += [f"{sentences(rng, 12)} one two three four five. {sentences(rng, 12)}"]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    got = {r.doc_id: [texts[r.doc_id][s.start:s.stop].strip() for s in r.spans]
+           for r in repeats.report(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i: [line, two, b] for i in (1, 2, 3)}
+
+
 def test_repeats_edge_cases(none, odd):
     assert repeats.report(none).collect() == []
     assert repeats.clean(odd).columns == odd.columns
