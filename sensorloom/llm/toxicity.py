@@ -2,8 +2,8 @@
 
 The gap-weighted subsequence kernel compares words by all their ordered character triples, each worth less
 the wider it is spread, so an insult with gaps or inserted characters still meets its triples. Landmarks span
-a Nyström feature space in which a linear support vector machine is trained on sentences of labelled
-documents. As the kernel is a dot product over triples, the machine folds into one weight per triple; a
+a Nyström feature space in which a linear support vector machine is trained on single words, told apart by the
+labelled sentences that have them. As the kernel is a dot product over triples, the machine folds into one weight per triple; a
 word's margin then costs its own triples only, whatever the number of landmarks. A document's score is a
 logistic function of its strongest words and their number.
 """
