@@ -40,7 +40,7 @@ class _Words(dict):
         for pattern, mark in _FORM:
             form = pattern.sub(mark, form)
         stem = word.lower().strip("\"'.,;:!?()[]|*#$%&") or word
-        value = (xxhash.xxh64_intdigest(stem.encode()) >> 16 << 16) | (xxhash.xxh64_intdigest(form[:40].encode()) >> 48)
+        value = (xxhash.xxh64_intdigest(stem.encode()) >> 16 << 16) | (xxhash.xxh64_intdigest(form.encode()) >> 48)
         self[word] = value
         return value
 

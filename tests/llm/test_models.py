@@ -47,6 +47,12 @@ def test_gumbel_top_k_is_the_k_largest(labelled):
     assert [d for _, d in want] == [r.doc_id for r in drawn.orderBy("rank").collect()]
 
 
+def test_long_forms_differ_at_their_end():
+    store = quality._Words()
+    one, other = (store["x1" * 30 + end] & 0xFFFF for end in ("-x", "+x"))
+    assert one != other
+
+
 def test_quality_edge_cases(spark, odd, none, labelled):
     _, labels = labelled
     kept = quality.keep(odd, labels)
