@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sensorloom.llm import (
-    arrow_file, decontaminate, forest, packing, quality, repeats, secrets, shards, toxicity, vamana,
+    arrow_file, decontaminate, forest, mixing, negatives, packing, periods, quality, repeats, secrets, shards, toxicity, vamana,
 )
 from sensorloom.llm.common import table, vocabulary_path
 from sensorloom.session import scratch
@@ -74,3 +75,47 @@ def op4_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_vamana_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vamana.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def relabelled(column: str = "label") -> Column:
+    """The label, one further (of ten) where vec_id is divisible by 7: noise that makes some positives wrong."""
+    return F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col(column) + 1) % 10).otherwise(F.col(column))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = negatives.whole_rows(table(spark, sf_dir, "embeddings"), relabelled())
+    return negatives.mine(rows, F.pmod("vec_id", F.lit(100)) == 0)
+
+
+SQL["op11_hard_negatives"] = """
+    WITH numbers AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+               CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+        FROM numbers a JOIN numbers r ON len(a.v) = len(r.v) AND a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+    ranked AS (
+        SELECT p.anchor_id, p.positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+        FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+         AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5"""
+
+
+@query
+def op12_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing.score(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1)
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.report(periods.plant(table(spark, sf_dir, "documents")))

@@ -50,3 +50,9 @@ def odd(spark):
 @pytest.fixture(scope="module")
 def none(spark):
     return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def small():
+    """The smallest folder of shared tables."""
+    return "/root/testdata/sf0.001"
