@@ -52,9 +52,12 @@ def row_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Dat
     """
     columns = list(before.columns)
     tagged = before.withColumn("_side", F.lit(-1)).unionByName(after.withColumn("_side", F.lit(1)))
-    surplus = (
-        tagged.groupBy(*columns).agg(F.sum("_side").alias("_net")).where("_net <> 0")
-    )
+    return classify(tagged, "_side", columns, keys)
+
+
+def classify(tagged: DataFrame, side: str, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """:func:`row_changes` of rows tagged -1 (lost) and 1 (won) in the column ``side``."""
+    surplus = tagged.groupBy(*columns).agg(F.sum(side).alias("_net")).where("_net <> 0")
     names = [f"_key{i}" for i in range(len(keys))]
     per_key = surplus.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(
         F.sum(F.when(F.col("_net") < 0, -F.col("_net"))).alias("_lost"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from sensorloom.sources.constraints import set_properties, sql_text
-
+from sensorloom.sources.writers import write
 
 
 def register(spark: SparkSession, db: str, name: str, path: str, fmt: str = "parquet") -> str:
@@ -34,12 +34,10 @@ def define_table(
     name: str, df: DataFrame, comment: str | None = None, path: str | None = None,
     props: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Save a query result as a table with a comment and properties."""
+    """Save a query result as a table with a comment and properties. A table of that name is replaced when the
+    new rows are there."""
     spark = df.sparkSession
-    writer = df.write.mode("overwrite").format("parquet")
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+    write(df, name, "overwrite", **({"path": path} if path else {}))
     if comment:
         spark.sql(f"COMMENT ON TABLE {name} IS '{sql_text(comment)}'")
     set_properties(spark, name, props or {})

@@ -66,6 +66,29 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def folder(spark: SparkSession, path: str) -> tuple[Any, Any]:
+    """The file system of ``path`` and the path as it names it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if there is one."""
+    files, at = folder(spark, path)
+    files.delete(at, True)
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Give a folder another name, at which there must be nothing yet."""
+    files, at = folder(spark, source)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if files.exists(to):
+        raise FileExistsError(f"{target} is there already")
+    files.mkdirs(to.getParent())
+    if not files.rename(at, to):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
 def append_row(spark: SparkSession, path: str, row: dict[str, Any], ddl: str) -> None:
     """Add one bookkeeping row to a small parquet table."""
     text = json.dumps(row, default=lambda v: v.isoformat() if isinstance(v, dt.datetime) else str(v))

@@ -42,12 +42,12 @@ def to_table(
     """Append a stream to a table, created if absent.
 
     ``trigger`` is ``available_now`` (process what is there, then stop), an interval such as
-    ``10 seconds``, or None for back-to-back batches. File sources see new files only: if upstream
-    rows are rewritten (``source_is_append_only=False``), start a new stream on the new snapshot. The
+    ``10 seconds``, or None for back-to-back batches. File sources see new files only: a source
+    whose rows are rewritten (``source_is_append_only=False``) is followed by ``changes.follow``. The
     constraints that the table has when the stream starts hold for every row: a bad one fails its batch.
     """
     if not source_is_append_only:
-        raise ValueError("a file source cannot follow rewritten rows; start a stream on the new snapshot")
+        raise ValueError("files do not tell which rows were rewritten; keep the source as a ledger and use follow")
     writer = _writer(enforce(df, table), "append", checkpoint, trigger, name).format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -1,4 +1,5 @@
 import datetime as dt
+import uuid
 
 import pytest
 from conftest import rows
@@ -7,11 +8,11 @@ from pyspark.sql import functions as F
 
 from sensorloom.functions import encode
 from sensorloom.operators import quality
-from sensorloom.operators.quality import ConstraintViolation, Rule
+from sensorloom.operators.quality import ConstraintViolation, Rule, add_check, check
 from sensorloom.plans import READING_RULES, gold, silver
 from sensorloom.plans.facts import plan_text
-from sensorloom.session import scratch
-from sensorloom.sources import create, insert, table
+from sensorloom.session import path_exists, scratch
+from sensorloom.sources import create, insert, table, write
 
 
 @pytest.fixture
@@ -121,3 +122,61 @@ def test_constraints_hold_on_every_writer(spark):
     write(good, name, mode="overwrite")
     with pytest.raises(Exception, match="rule"):
         insert(bad, name, ["id", "v"])
+
+
+def stored(spark, name):
+    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return rows(spark.table(name)), props, spark.catalog.getTable(name).description
+
+
+@pytest.mark.parametrize("external", [False, True])
+def test_refused_overwrite_changes_nothing(spark, external):
+    name = f"kept_{uuid.uuid4().hex[:8]}"
+    create(spark, name, "a BIGINT NOT NULL, b STRING", {"team": "me"}, "of mine",
+           path=scratch(spark, name) if external else None)
+    add_check(spark, name, "small", "a < 100")
+    write(spark.createDataFrame([(1, "x"), (2, "y")], "a BIGINT, b STRING"), name)
+    before = stored(spark, name)
+    for bad in ([(3, "z"), (None, "q")], [(100, "z")]):
+        with pytest.raises(Exception, match="rule"):
+            write(spark.createDataFrame(bad, "a BIGINT, b STRING"), name, "overwrite")
+        assert stored(spark, name) == before
+    # A good one replaces the rows and keeps comment, properties and constraints; it may read the table itself.
+    for n in (3, 4):
+        write(spark.table(name).union(spark.createDataFrame([(n, "w")], "a BIGINT, b STRING")), name, "overwrite")
+    found, props, comment = stored(spark, name)
+    assert found == [(1, "x"), (2, "y"), (3, "w"), (4, "w")] and (props, comment) == before[1:]
+    with pytest.raises(Exception, match="rule"):
+        write(spark.createDataFrame([(None, "q")], "a BIGINT, b STRING"), name)
+    left = [r["tableName"] for r in spark.sql(f"SHOW TABLES LIKE '{name}*'").collect()]
+    assert left == [name]
+
+
+def test_overwrite_with_path_partitions_and_other_columns(spark):
+    name, path = f"moved_{uuid.uuid4().hex[:8]}", scratch(spark, "moved")
+    one = spark.createDataFrame([(1, "x"), (2, None)], "a BIGINT, p STRING")
+    write(one, name, "overwrite", partition_by=["p"], path=path)
+    other = spark.createDataFrame([(5, 0.5, "z")], "a BIGINT, c DOUBLE, p STRING")
+    write(other, name, "overwrite", partition_by=["p"], path=path)
+    assert rows(spark.table(name)) == [(5, 0.5, "z")] and not path_exists(spark, path)
+    write(one, name, "overwrite")
+    assert rows(spark.table(name)) == rows(one)
+
+
+def test_name_lost_between_the_renames_is_found_again(spark):
+    name = f"cut_{uuid.uuid4().hex[:8]}"
+    write(spark.createDataFrame([(1,)], "a BIGINT"), name)
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}__before_x")
+    write(spark.createDataFrame([(2,)], "a BIGINT"), name)
+    assert rows(spark.table(name)) == [(1,), (2,)]
+
+
+def test_failed_overwrite_of_a_path_keeps_its_files(spark):
+    path = scratch(spark, "path")
+    write(spark.createDataFrame([(1,), (2,)], "a BIGINT"), path)
+    failing = check(spark.createDataFrame([(3,), (None,)], "a BIGINT"), "there", "a IS NOT NULL")
+    with pytest.raises(Exception, match="rule"):
+        write(failing, path, "overwrite")
+    assert rows(spark.read.parquet(path)) == [(1,), (2,)]
+    write(spark.read.parquet(path).where("a = 2"), path, "overwrite")
+    assert rows(spark.read.parquet(path)) == [(2,)]
