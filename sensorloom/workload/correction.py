@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorloom.operators import corrections, snapshots
+from sensorloom.operators.ledger import Ledger
 from sensorloom.session import scratch
 from sensorloom.workload import frames
 from sensorloom.workload.registry import query
@@ -16,14 +17,31 @@ CUTOFF = "TIMESTAMP_NTZ '2024-01-10 00:00:00'"
 _KEPT = "ts >= TIMESTAMP '2024-01-10'"
 
 
+def _moment(day: int, hour: int = 0) -> dt.datetime:
+    return dt.datetime(2024, 3, day, hour, tzinfo=dt.timezone.utc)
+
+
+def _ledger(spark: SparkSession, rows: DataFrame, partition_by: tuple[str, ...] = ()) -> Ledger:
+    return Ledger(spark, scratch(spark, "ledger"), rows.schema, partition_by)
+
+
+def _corrected(spark: SparkSession, sf_dir: str) -> Ledger:
+    """All events by day; a day later without those before the cutoff; then put back."""
+    rows = frames.events(spark, sf_dir).withColumn("day", F.col("ts").cast("date"))
+    ledger = _ledger(spark, rows, ("day",))
+    ledger.append(rows, _moment(1))
+    ledger.delete_where(f"ts < {CUTOFF}", _moment(2))
+    ledger.merge_step(_moment(1), ["user_id", "ts"], _moment(3))
+    return ledger
+
+
 def _versioned(spark: SparkSession, sf_dir: str) -> str:
-    """Version 0: all events by day. Version 1: without those before the cutoff. Version 2: put back."""
+    """The same three states in the older layout, a list of folders per version."""
     root = scratch(spark, "versions")
     rows = frames.events(spark, sf_dir).withColumn("day", F.col("ts").cast("date"))
-    snapshots.write(spark, root, rows, ["day"], dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc))
-    snapshots.delete_where(spark, root, f"ts < {CUTOFF}", dt.datetime(2024, 3, 2, tzinfo=dt.timezone.utc))
-    snapshots.merge_insert(spark, root, snapshots.read(spark, root, version=0), ["user_id", "ts"],
-                           dt.datetime(2024, 3, 3, tzinfo=dt.timezone.utc))
+    snapshots.write(spark, root, rows, ["day"], _moment(1))
+    snapshots.delete_where(spark, root, f"ts < {CUTOFF}", _moment(2))
+    snapshots.merge_insert(spark, root, snapshots.read(spark, root, version=0), ["user_id", "ts"], _moment(3))
     return root
 
 
@@ -49,29 +67,29 @@ def unmatched_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("version_after_delete", f"SELECT event_id, ts, value FROM events WHERE {_KEPT}")
 def version_after_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snapshots.read(spark, _versioned(spark, sf_dir), version=1).select("event_id", "ts", "value")
+    return _corrected(spark, sf_dir).as_of(_moment(2)).select("event_id", "ts", "value")
 
 
 @query("version_as_of", "SELECT min(ts) AS min_ts, max(ts) AS max_ts, count(*) AS n FROM events")
 def version_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old = snapshots.read(spark, _versioned(spark, sf_dir), as_of=dt.datetime(2024, 3, 1, 12, tzinfo=dt.timezone.utc))
+    old = _corrected(spark, sf_dir).as_of(_moment(1, 12))
     return old.agg(F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"), F.count("*").alias("n"))
 
 
 @query("version_merged", "SELECT * FROM events")
 def version_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snapshots.read(spark, _versioned(spark, sf_dir)).drop("day")
+    return _corrected(spark, sf_dir).as_of().drop("day")
 
 
 @query("version_merge_restore", "SELECT * FROM events")
 def version_merge_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of an old version put back where the table lacks them, reading only the folders that went."""
-    root = scratch(spark, "versions")
-    rows = frames.events(spark, sf_dir).withColumn("day", F.col("ts").cast("date"))
-    snapshots.write(spark, root, rows, ["day"])
-    snapshots.delete_where(spark, root, f"ts < {CUTOFF}")
-    snapshots.merge_version(spark, root, 0, ["user_id", "ts"])
-    return snapshots.read(spark, root).drop("day")
+    """Rows of an old state put back where the table lacks them, reading as source only what went since."""
+    rows = frames.events(spark, sf_dir)
+    ledger = _ledger(spark, rows)
+    ledger.append(rows, 0)
+    ledger.delete_where(f"ts < {CUTOFF}", 1)
+    ledger.merge_step(0, ["user_id", "ts"], 2)
+    return ledger.as_of()
 
 
 @query("version_history", f"""SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, count(*) AS rows_added, 0 AS rows_removed FROM events
@@ -94,14 +112,33 @@ def table_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT event_id, value + 1, 'update_post' FROM events WHERE NOT {_KEPT} AND event_type = 'error'""")
 def version_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Early rows are deleted, and the early error rows come back with another value."""
-    root = scratch(spark, "versions")
     rows = frames.events(spark, sf_dir).select("event_id", "ts", "event_type", "value")
-    snapshots.write(spark, root, rows)
-    snapshots.delete_where(spark, root, f"ts < {CUTOFF}")
+    ledger = _ledger(spark, rows)
+    ledger.append(rows, 0)
+    ledger.delete_where(f"ts < {CUTOFF}", 1)
     early = rows.where(f"ts < {CUTOFF} AND event_type = 'error'").withColumn("value", F.col("value") + 1)
-    snapshots.append(spark, root, early)
-    changes = snapshots.changes(spark, root, 0, 2, ["event_id"])
-    return changes.select("event_id", "value", F.col("_change").alias("change"))
+    ledger.append(early, 2)
+    return ledger.changes(0, 2, ["event_id"]).select("event_id", "value", F.col("_change").alias("change"))
+
+
+@query("ledger_history", f"""SELECT CAST(2 AS BIGINT) AS step, count(*) FILTER (WHERE NOT {_KEPT}) AS rows_added,
+        CAST(0 AS BIGINT) AS rows_removed FROM events
+    UNION ALL SELECT 1, 0, count(*) FILTER (WHERE NOT {_KEPT}) FROM events UNION ALL SELECT 0, count(*), 0 FROM events""")
+def ledger_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = frames.events(spark, sf_dir).select("event_id", "ts")
+    ledger = _ledger(spark, rows)
+    ledger.append(rows, 0)
+    ledger.delete_where(f"ts < {CUTOFF}", 1)
+    ledger.restore(0, 2)
+    return ledger.history()
+
+
+@query("restore_state", f"SELECT event_id, value FROM events WHERE {_KEPT}")
+def restore_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state before the rows were put back, as a new step and copied to a table of its own."""
+    ledger = _corrected(spark, sf_dir)
+    ledger.restore(_moment(2), _moment(4))
+    return ledger.compact(scratch(spark, "ledger")).as_of().select("event_id", "value")
 
 
 @query("restore_version", f"SELECT event_id, value FROM events WHERE {_KEPT}")

@@ -7,14 +7,16 @@ import uuid
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorloom import streaming
 from sensorloom.functions import decode
 from sensorloom.operators import analytics, layout
-from sensorloom.operators.quality import add_check
+from sensorloom.operators.ledger import Ledger
+from sensorloom.operators.quality import Rule, add_check, apply_rules
 from sensorloom.plans import medallion
 from sensorloom.session import scratch
-from sensorloom.sources import create, table
+from sensorloom.sources import create, scan, table, write
 from sensorloom.workload import frames
 from sensorloom.workload.aggregation import WINDOW_SQL, flat_windows, window_means
 from sensorloom.workload.refinement import FLOW_RULES
@@ -208,3 +210,138 @@ def declarative_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = medallion.silver(medallion.bronze(messages, records), frames.READING_DDL, FLOW_RULES)
     gold = medallion.gold(silver.withColumnRenamed("ID", "id"), frames.status(spark, sf_dir))
     return _land(gold.select("id", F.col("EVENT").alias("event"), "status"))
+
+
+_DAY = "CAST(ts AS DATE) = DATE '2024-01-10'"
+
+
+def _rewritten(spark: SparkSession, sf_dir: str) -> Ledger:
+    """All events; then a day is deleted; then it comes back with other values."""
+    rows = frames.events(spark, sf_dir).select("event_id", "user_id", "ts", "value")
+    ledger = Ledger(spark, scratch(spark, "ledger"), rows.schema)
+    ledger.append(rows, 0)
+    ledger.delete_where(_DAY, 1)
+    ledger.append(rows.where(_DAY).withColumn("value", F.col("value") + 1), 2)
+    return ledger
+
+
+_REWRITTEN_SQL = f"SELECT event_id, user_id, CASE WHEN {_DAY} THEN value + 1 ELSE value END AS value FROM events"
+
+
+@query("stream_after_rewrite", f"""SELECT e.event_id, e.user_id, e.value, s.status
+    FROM ({_REWRITTEN_SQL}) e LEFT JOIN {frames.STATUS_SQL} s ON e.user_id = s.id WHERE e.value >= 5""")
+def stream_after_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that filters and labels a table goes on while upstream rows are deleted and rewritten.
+
+    The first step is there when it starts; the others arrive later and take back what it wrote before.
+    """
+    rows = frames.events(spark, sf_dir).select("event_id", "user_id", "ts", "value")
+    source = Ledger(spark, scratch(spark, "ledger"), rows.schema)
+    labelled = T.StructType([*rows.schema.fields, T.StructField("status", T.StringType())])
+    gold, checkpoint = Ledger(spark, scratch(spark, "ledger"), labelled), scratch(spark, "checkpoint")
+    status = frames.status(spark, sf_dir).withColumnRenamed("id", "user_id")
+
+    def follow() -> None:
+        changes = streaming.change_stream(source, max_files=2).where("value >= 5")
+        streaming.follow(changes.join(status, "user_id", "left"), gold, checkpoint).awaitTermination()
+
+    source.append(rows, 0)
+    follow()
+    source.delete_where(_DAY, 1)
+    source.append(rows.where(_DAY).withColumn("value", F.col("value") + 1), 2)
+    follow()
+    return gold.as_of().select("event_id", "user_id", "value", "status")
+
+
+@query("stream_counts_after_rewrite", f"""SELECT user_id, count(*) AS n,
+    CAST(sum(CAST(value * 100 AS BIGINT)) AS BIGINT) AS hundredths FROM ({_REWRITTEN_SQL}) GROUP BY user_id""")
+def stream_counts_after_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running counts and sums per device from which rewritten rows are taken back."""
+    changes = streaming.change_stream(_rewritten(spark, sf_dir), max_files=2)
+    path = scratch(spark, "counts")
+    # As SQL rounds a number to a whole one.
+    whole = changes.withColumn("hundredths", F.rint(F.col("value") * 100).cast("bigint"))
+    streaming.rewrite_each_batch(streaming.signed_counts(whole, ["user_id"], ["hundredths"]), path,
+                                 scratch(spark, "checkpoint"), "update").awaitTermination()
+    return streaming.merge_counts(spark, path, ["user_id"])
+
+
+@query("stream_label_refreshed", """SELECT CAST(e.user_id AS DOUBLE) AS id, e.event_id AS event,
+        CASE WHEN s.s_acctbal < (CASE WHEN e.ts < TIMESTAMP '2024-01-15' THEN 3000 ELSE 6000 END)
+             THEN 'damaged' WHEN s.s_suppkey IS NOT NULL THEN 'healthy' END AS status
+    FROM events e LEFT JOIN supplier s ON e.user_id = s.s_suppkey""")
+def stream_label_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One running stream; between two of its micro-batches the status table is replaced."""
+    incoming, statuses, out = (scratch(spark, part) for part in ("incoming", "status", "labelled"))
+    readings = frames.readings(frames.events(spark, sf_dir)).withColumnRenamed("ID", "id")
+    first = F.col("TIMESTAMP") < F.lit("2024-01-15").cast("timestamp")
+
+    def set_status(limit: int) -> None:
+        healthy = F.when(F.col("s_acctbal") < limit, "damaged").otherwise("healthy").alias("status")
+        write(frames.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), healthy), statuses, "overwrite")
+
+    set_status(3000)
+    readings.where(first).write.mode("append").parquet(incoming)
+    running = streaming.label_refreshed(streaming.file_stream(spark, incoming, readings.schema),
+                                        lambda: scan(spark, statuses), out, scratch(spark, "checkpoint"), trigger=None)
+    try:
+        running.processAllAvailable()
+        set_status(6000)
+        readings.where(~first).write.mode("append").parquet(incoming)
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return scan(spark, out).select("id", F.col("EVENT").alias("event"), "status")
+
+
+def _shuffled_files(spark: SparkSession, sf_dir: str, columns: list[str]) -> str:
+    """The events in several files, dealt by hash: every file holds all times."""
+    files = scratch(spark, "incoming")
+    frames.events(spark, sf_dir).select(*columns).repartition(6, F.xxhash64("event_id")).write.parquet(files)
+    return files
+
+
+_LATEST_SQL = """SELECT user_id, event_id, value FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1"""
+
+
+@query("stream_dedup_latest", _LATEST_SQL)
+def stream_dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest row per device from files in no order, a micro-batch per file."""
+    files, out = _shuffled_files(spark, sf_dir, ["event_id", "user_id", "ts", "value"]), scratch(spark, "latest")
+    stream = streaming.file_stream(spark, files, "event_id BIGINT, user_id BIGINT, ts TIMESTAMP_NTZ, value DOUBLE", max_files=1)
+    streaming.keep_latest(stream, ["user_id"], ["ts", "event_id"], out, scratch(spark, "checkpoint")).awaitTermination()
+    return streaming.latest_rows(spark, out, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "value")
+
+
+@query("stream_dedup_latest_windowed", _LATEST_SQL)
+def stream_dedup_latest_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a state of open days only: files in the order of time, days leave the state behind the watermark."""
+    files, out = scratch(spark, "incoming"), scratch(spark, "latest")
+    rows = frames.events(spark, sf_dir).select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    rows.repartitionByRange(6, "ts").write.parquet(files)
+    stream = streaming.file_stream(spark, files, rows.schema, max_files=2).withWatermark("ts", "365 days")
+    streaming.keep_latest(stream, ["user_id"], ["ts", "event_id"], out, scratch(spark, "checkpoint"),
+                          F.window("ts", "1 day")).awaitTermination()
+    return streaming.latest_rows(spark, out, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "value")
+
+
+@query("stream_expectation_report", """
+    SELECT 'id' AS rule, count(*) FILTER (WHERE user_id > 0) AS passed,
+           count(*) FILTER (WHERE NOT coalesce(user_id > 0, false)) AS failed, count(*) AS total FROM events
+    UNION ALL SELECT 'speed', count(*) FILTER (WHERE value >= 5),
+           count(*) FILTER (WHERE NOT coalesce(value >= 5, false)), count(*) FROM events
+    UNION ALL SELECT 'time', count(ts), count(*) - count(ts), count(*) FROM events""")
+def stream_expectation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts of a stream over all its micro-batches and a restart."""
+    rules = [Rule("id", "user_id > 0", "drop"), Rule("speed", "value >= 5"), Rule("time", "ts IS NOT NULL", "fail")]
+    files = _shuffled_files(spark, sf_dir, ["event_id", "user_id", "ts", "value"])
+    late, landed, checkpoint, counts = (scratch(spark, part) for part in ("late", "landed", "checkpoint", "counts"))
+    kept = scan(spark, files)
+    ddl = "event_id BIGINT, user_id BIGINT, ts TIMESTAMP_NTZ, value DOUBLE"
+    for part in (kept.where("event_id % 2 = 0"), kept.where("event_id % 2 <> 0")):
+        part.write.mode("append").parquet(late)  # the second half is there only when the stream starts again
+        checked = apply_rules(streaming.file_stream(spark, late, ddl, max_files=2), rules, "rules")
+        with streaming.RuleLog(spark, "rules", counts) as log:
+            log.finished(streaming.to_path(checked, landed, checkpoint))
+    return streaming.rule_report(spark, counts, rules)
