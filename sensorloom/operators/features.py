@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -9,6 +10,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorloom.functions.hashing import UNIT, row_hash, unit_bucket
 from sensorloom.session import scratch
@@ -68,20 +70,84 @@ def first_per_group(df: DataFrame, group: str, order: Sequence[str | Column], k:
     return df.drop("_slice")
 
 
+SKETCH = 1024  # size of a quantile sketch; its ranks are off by less than RANK_ERROR of the rows
+RANK_ERROR, RANK_STEP = 0.01, 1.05
+CLASSES = 1000  # cut-offs that become part of the scan's filter
+
+
+def within_cut_off(df: DataFrame, group: str, first: str, k: int, rounds: int = 6) -> DataFrame:
+    """Rows that can be among the ``k`` smallest by ``first`` of their group: all of those, and about as many others.
+
+    Every round sums up one quantile sketch per group and task, so only sketches are shuffled, and the rows at
+    or below the quantile that is sure to hold ``k`` of them go on. A round whose quantile held fewer after all is
+    taken back and tried wider. NULLs come first in an order and stay. Rows that share the cut-off value stay too.
+    """
+    kind = df.schema[first].dataType
+    if isinstance(kind, T.IntegralType):
+        number, family = F.col(first).cast("bigint"), "bigint"
+    elif isinstance(kind, T.FractionalType):
+        number, family = F.col(first).cast("double"), "double"
+    elif isinstance(kind, T.TimestampType):
+        number, family = F.unix_micros(first), "bigint"
+    elif isinstance(kind, T.DateType):
+        number, family = F.unix_date(first).cast("bigint"), "bigint"
+    else:
+        return df
+    sketch, quantile = (getattr(F, f"kll_sketch_{part}_{family}") for part in ("agg", "get_quantile"))
+    ranks = [RANK_ERROR * RANK_STEP ** i for i in range(int(math.log(1 / RANK_ERROR, RANK_STEP)) + 1)]
+    cuts: dict = {}  # group -> (largest value that goes on, the cut-off before it)
+    slack: dict = {}
+    for _ in range(rounds):
+        near = _below(df, group, number, cuts)
+        seen = F.when(~F.isnan(number), number) if family == "double" else number
+        told = near.groupBy(group).agg(F.count(seen).alias("n"), sketch(seen, F.lit(SKETCH)).alias("s"))
+        held = told.where(F.col("n") > 0).select(group, "n", quantile("s", F.array(*map(F.lit, ranks))).alias("values")) \
+            .limit(CLASSES + 1).collect()
+        if len(held) > CLASSES:
+            return df
+        moved = False
+        for row in held:
+            key, n, old = row[group], row["n"], cuts.get(row[group])
+            share = k / n + slack.get(key, RANK_ERROR)
+            cut = next((v for r, v in zip(ranks, row["values"], strict=True) if r >= share), None)
+            if old is not None and n < k:  # too narrow: back to the one before, with more room
+                cuts[key] = old[1]
+                slack[key] = 4 * slack.get(key, RANK_ERROR)
+                moved = True
+            elif n > 2 * k and cut is not None and (old is None or cut < old[0]):
+                cuts[key] = (cut, old)
+                moved = True
+        cuts = {g: c for g, c in cuts.items() if c is not None}
+        if not moved:
+            return near
+    # The last cut-offs have not been counted yet; those before them have.
+    return _below(df, group, number, {g: c[1] for g, c in cuts.items() if c[1] is not None})
+
+
+def _below(df: DataFrame, group: str, number: Column, cuts: dict) -> DataFrame:
+    """Rows at or below the cut-off of their group, by a filter on plain values that reaches the scan."""
+    if not cuts:
+        return df
+    beyond = reduce(lambda a, b: a | b, [F.col(group).eqNullSafe(F.lit(key)) & (number > F.lit(cut[0])) for key, cut in cuts.items()])
+    return df.where(~F.coalesce(beyond, F.lit(False)))
+
+
 def balance(
     df: DataFrame, label: str, cap: int, classes: Sequence | None = None,
     order: Sequence[str | Column] | None = None,
 ) -> DataFrame:
     """At most ``cap`` rows of every class (of ``classes`` only, if given), in one frame.
 
-    With ``order`` (columns that tell all rows apart) the first rows are kept. Without it the rows
-    with the smallest hash are, which is cheaper: the class sizes tell which hashes can matter, and
-    all other rows are dropped in the scan.
+    With ``order`` (columns that tell all rows apart) the first rows are kept; where the first of them is a
+    name of a number, time or date, rows beyond a cut-off of their class are dropped in the scan, so about twice
+    ``cap`` rows per class are sorted. Without an order the rows with the smallest hash are kept, and the class sizes
+    tell which hashes can matter.
     """
     if classes is not None:
         df = df.where(F.col(label).isin(list(classes)))
     if order is not None:
-        return first_per_group(df, label, order, cap)
+        near = within_cut_off(df, label, order[0], cap) if isinstance(order[0], str) else df
+        return first_per_group(near, label, order, cap)
     return _smallest_hashes(df, label, cap)
 
 

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from conftest import rows
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sensorloom.operators import explain, features, model, runs
@@ -203,3 +204,54 @@ def test_quantile_edges_are_exact(spark):
     df = spark.range(30_001).select((F.col("id") * 7919 % 30_001).cast("double").alias("v"))
     assert explain.exact_quantiles(df, "v", [(1, 4), (1, 2), (3, 4)]) == [7500.0, 15000.0, 22500.0]
     assert explain.exact_quantiles(df.limit(0), "v", [(1, 2)]) == [None]
+
+
+def _shuffled_rows(df):
+    """Rows that the exchanges of an executed plan wrote."""
+    total, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+            continue
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            todo.append(node.plan())
+            continue
+        if node.getClass().getSimpleName() == "ShuffleExchangeExec":
+            total = max(total, node.metrics().get("shuffleRecordsWritten").get().value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+@pytest.mark.parametrize("kind", ["bigint", "double", "timestamp", "date", "string"])
+def test_cut_off_keeps_exactly_the_first_rows(spark, kind):
+    rows_ = spark.range(60_000).select(
+        F.when(F.col("id") % 10 < 6, "a").when(F.col("id") % 10 < 9, "b").when(F.col("id") % 1000 == 9, F.lit(None)).otherwise("c").alias("g"),
+        F.when(F.col("id") % 997 == 0, None).otherwise(F.xxhash64("id") % 100_000).alias("x"), "id")
+    x = {"timestamp": F.timestamp_seconds("x"), "date": F.date_from_unix_date(F.col("x").cast("int")),
+         "string": F.format_string("%08d", F.col("x") + 100_000)}.get(kind, F.col("x").cast(kind if kind in ("bigint", "double") else "bigint"))
+    df = rows_.withColumn("x", x)
+    rank = F.row_number().over(Window.partitionBy("g").orderBy("x", "id"))
+    want = df.withColumn("r", rank).where("r <= 300").drop("r")
+    got = features.balance(df, "g", 300, order=["x", "id"])
+    assert rows(got) == rows(want)
+    near = features.within_cut_off(df, "g", "x", 300)
+    if kind != "string":
+        sizes = {r["g"]: r["count"] for r in near.groupBy("g").count().collect()}
+        nulls = df.where("x IS NULL").groupBy("g").count().collect()
+        held = {r["g"]: r["count"] for r in nulls}
+        assert all(n - held.get(g, 0) <= 2.2 * 300 for g, n in sizes.items()), sizes
+        got.write.format("noop").mode("overwrite").save()
+        counted = features.first_per_group(near, "g", ["x", "id"], 300)
+        counted.collect()
+        assert _shuffled_rows(counted) <= 4 * 2.2 * 300 + len(held) * 100
+
+
+def test_cut_off_with_ties_and_skew(spark):
+    """Ties beyond any cut-off, one huge class beside tiny ones, and an order that starts with NULLs only."""
+    df = spark.range(40_000).select((F.col("id") % 997 == 0).cast("int").alias("g"), F.lit(1).alias("tie"),
+                                    F.lit(None).cast("double").alias("nothing"), "id")
+    for first in ("tie", "nothing"):
+        got = features.balance(df, "g", 25, order=[first, "id"])
+        assert sorted((r["g"], r["id"]) for r in got.collect()) == [(0, i) for i in range(1, 26)] + [(1, 997 * i) for i in range(25)]
