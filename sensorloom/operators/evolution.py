@@ -15,9 +15,17 @@ def observed_schema(lines: DataFrame, col: str = "value") -> T.StructType:
     Whole numbers become BIGINT and other numbers DOUBLE; a field with mixed types, or with NULLs
     only, becomes STRING. Rows that are no JSON object are ignored.
     """
-    objects = lines.where(F.col(col).rlike(r"^\s*\{"))
-    text = objects.select(F.schema_of_variant_agg(F.try_parse_json(F.col(col))).alias("s")).first()["s"]
-    kind, _ = _read_type(text, 0)
+    return schema_of_text(lines.select(schema_text(col).alias("s")).first()["s"])
+
+
+def schema_text(col: str = "value") -> Column:
+    """The aggregate behind :func:`observed_schema`; it may also be observed while rows pass by."""
+    return F.schema_of_variant_agg(F.when(F.col(col).rlike(r"^\s*\{"), F.try_parse_json(F.col(col))))
+
+
+def schema_of_text(text: str | None) -> T.StructType:
+    """The schema that :func:`schema_text` tells."""
+    kind = _read_type(text, 0)[0] if text else None
     return kind if isinstance(kind, T.StructType) else T.StructType()
 
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.functions.hashing import every_salt, row_salt
+from sensorloom.functions.hashing import every_salt, row_hash, row_salt
 from sensorloom.functions.predicates import instant_literal
 
 SALT = "_salt"
@@ -59,31 +59,60 @@ def bucket_count(spark: SparkSession, path: str, target_bytes: int = 1 << 30, le
     return max(least, -(-folder_bytes(spark, path) // target_bytes))
 
 
+TRACKED = 100_000  # keys that a heavy-hitter sketch holds
+
+
+def hot_keys(df: DataFrame, key: str, target_rows: int, most: int = 1000) -> dict[int | None, int]:
+    """Salts per hot key: how many shares of about ``target_rows`` its rows make. Keys below two shares are not named.
+
+    One heavy-hitter sketch over the key finds them, so no row and no key is shuffled. At most ``most`` keys can
+    come to the driver; they are the largest, and there are no more than rows / (2 * target_rows) of them. A missing
+    key is a key like any other.
+    """
+    whole = df.select(_whole_number(key).alias("k"))
+    top = F.expr(f"approx_top_k(k, {int(most)}, {TRACKED}) FILTER (WHERE k IS NOT NULL)")
+    told = whole.agg(top.alias("top"), F.count_if(F.col("k").isNull()).alias("none")).first()
+    counts = [(row["item"], row["count"]) for row in told["top"] or []] + [(None, told["none"])]
+    return {item: -(-n // target_rows) for item, n in counts if n >= 2 * target_rows}
+
+
+def _salts(key: str, hot: dict[int | None, int], missing: int = 1) -> Column:
+    """Number of salts of a row's key, 1 for keys that are not hot; the keys stand in the plan, so nothing is joined."""
+    pairs = [F.lit(x).cast("bigint") for k, n in hot.items() if k is not None for x in (k, n)]
+    named = F.try_element_at(F.create_map(*pairs), F.col(key)) if pairs else F.lit(None)
+    return F.coalesce(named, F.when(F.col(key).isNull(), missing).otherwise(1).cast("bigint"))
+
+
 def write_bucketed(
-    df: DataFrame, table: str, key: str, n: int = 16, salt: int = 1, path: str | None = None,
+    df: DataFrame, table: str, key: str, n: int = 16, salt: int | dict[int | None, int] = 1, path: str | None = None,
     sort: Sequence[str] = (),
 ) -> None:
     """Save in ``n`` buckets by ``key``, one sorted file each, for joins and counts without exchange.
 
     The key is stored as BIGINT, because only equal integer types join without exchange; a key that
     is no whole number is an error. All rows of a key share a bucket, so a hot key makes a hot task.
-    ``salt`` spreads every key over up to that many buckets by a hash of the row; the other table of
-    a join is then written with :func:`write_replicated`.
+    ``salt`` from :func:`hot_keys` spreads the rows of each hot key over as many buckets as it needs, by a hash
+    of the row, and leaves all other keys alone; a number spreads every key. The other table of a join is
+    then written by :func:`write_replicated` with the same ``salt``.
     """
     df = df.withColumn(key, _whole_number(key))
-    if salt > 1:
+    if isinstance(salt, dict):
+        df = df.withColumn(SALT, F.pmod(row_hash(df), _salts(key, salt, salt.get(None, 1))))
+    elif salt > 1:
         df = df.withColumn(SALT, row_salt(df, salt))
-    _save_buckets(df, table, [key] + ([SALT] if salt > 1 else []), n, path, sort)
+    _save_buckets(df, table, [key] + ([SALT] if SALT in df.columns else []), n, path, sort)
 
 
 def write_replicated(
-    df: DataFrame, table: str, key: str, n: int = 16, salt: int = 1, path: str | None = None
+    df: DataFrame, table: str, key: str, n: int = 16, salt: int | dict[int | None, int] = 1, path: str | None = None
 ) -> None:
-    """The small side of a salted bucket join: every row once per salt value."""
+    """The small side of a salted bucket join: every row once per salt of its key, so once unless the key is hot."""
     df = df.withColumn(key, _whole_number(key))
-    if salt > 1:
+    if isinstance(salt, dict):
+        df = df.withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), _salts(key, salt) - 1)))
+    elif salt > 1:
         df = df.withColumn(SALT, every_salt(salt))
-    _save_buckets(df, table, [key] + ([SALT] if salt > 1 else []), n, path, ())
+    _save_buckets(df, table, [key] + ([SALT] if SALT in df.columns else []), n, path, ())
 
 
 def _whole_number(key: str):

@@ -10,13 +10,13 @@ import json
 import zlib
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
 from sensorloom.operators.evolution import (
-    decode_rescued, observed_schema, schema_with_hints, unknown_fields, widen,
+    decode_rescued, schema_of_text, schema_text, schema_with_hints, unknown_fields, widen,
 )
-from sensorloom.session import append_row, path_exists
+from sensorloom.session import append_row, path_exists, remove, rename
 from sensorloom.streaming.writers import BATCH
 
 MARKER = "UnknownFields"
@@ -39,11 +39,12 @@ def run_evolving(
 ) -> int:
     """Load the JSON lines below ``path`` that are not loaded yet. Returns the number of restarts.
 
-    Starts from the schema last used for ``out`` (from the hints alone the first time). A batch
-    with unknown fields stops the stream before anything of it is written; the schema is widened by
-    those fields and the stream restarts with the same checkpoint, which replays the batch. Every
-    restart adds at least one field, and any other error is raised. Pass ``max_files`` for a large
-    backlog: a batch is read once for its fields and once to load it, and a stop repeats one batch only.
+    Starts from the schema last used for ``out`` (from the hints alone the first time). A batch is read
+    once: while it is decoded and written aside, the schema of its texts is gathered. If that has no field
+    that the running schema lacks, the batch takes its place by a rename. Otherwise nothing of it is kept, the
+    stream stops, the schema is widened by those fields and the stream restarts with the same checkpoint, which
+    replays the batch. Every restart adds at least one field, and any other error is raised. Pass ``max_files``
+    for a large backlog: a stop repeats one batch only.
     """
     known = schema_with_hints(stored_schema(spark, out), hints)
     if not path_exists(spark, f"{out}/_schemas"):
@@ -62,14 +63,19 @@ def _run_once(spark, path, out, known, checkpoint, side, max_files, fields_only)
     found: list[T.StructType] = []
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        seen = observed_schema(batch)
-        new = unknown_fields(seen, known)
+        # Batches of another checkpoint are other batches, whatever their number.
+        name = f"{BATCH}={zlib.crc32(checkpoint.encode())}-{batch_id}"
+        aside, seen = f"{out}/_aside-{name.partition('=')[2]}", Observation()
+        passing = batch.observe(seen, schema_text().alias("schema"))
+        decode_rescued(passing, known, side=side, fields_only=fields_only).write.mode("overwrite").parquet(aside)
+        observed = schema_of_text(seen.get["schema"])
+        new = unknown_fields(observed, known)
         if new:
-            found.append(seen)
+            remove(spark, aside)
+            found.append(observed)
             raise UnknownFields(f"{MARKER}: {', '.join(new)}")
-        decoded = decode_rescued(batch, known, side=side, fields_only=fields_only)
-        # Batches of another checkpoint are other batches, whatever their number.
-        decoded.write.mode("overwrite").parquet(f"{out}/{BATCH}={zlib.crc32(checkpoint.encode())}-{batch_id}")
+        remove(spark, f"{out}/{name}")
+        rename(spark, aside, f"{out}/{name}")
 
     reader = spark.readStream.format("text")
     if max_files is not None:

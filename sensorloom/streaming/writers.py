@@ -47,7 +47,7 @@ def to_table(
     constraints that the table has when the stream starts hold for every row: a bad one fails its batch.
     """
     if not source_is_append_only:
-        raise ValueError("files do not tell which rows were rewritten; keep the source as a ledger and use follow")
+        raise ValueError("a file source cannot follow rewritten rows; follow its ledger or start a stream on the new snapshot")
     writer = _writer(enforce(df, table), "append", checkpoint, trigger, name).format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -36,7 +36,7 @@ def partition_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.prune(dated, "ts", lower="2024-01-19 15:17:05", strict=True).select("event_id", "ts")
 
 
-def bucketed_events(spark: SparkSession, sf_dir: str, salt: int) -> DataFrame:
+def bucketed_events(spark: SparkSession, sf_dir: str, salt: int | dict[int | None, int]) -> DataFrame:
     data = _name("readings_bucketed")
     readings = frames.readings(frames.events(spark, sf_dir)).withColumnRenamed("ID", "id")
     layout.write_bucketed(readings, data, "id", layout.bucket_count(spark, f"{sf_dir}/events.parquet"), salt,
@@ -44,7 +44,7 @@ def bucketed_events(spark: SparkSession, sf_dir: str, salt: int) -> DataFrame:
     return table(spark, data)
 
 
-def bucketed_pair(spark: SparkSession, sf_dir: str, salt: int) -> tuple[DataFrame, DataFrame]:
+def bucketed_pair(spark: SparkSession, sf_dir: str, salt: int | dict[int | None, int]) -> tuple[DataFrame, DataFrame]:
     status = _name("status_bucketed")
     n = layout.bucket_count(spark, f"{sf_dir}/events.parquet")
     layout.write_replicated(frames.status(spark, sf_dir), status, "id", n, salt, scratch(spark, status))
@@ -55,7 +55,14 @@ _BUCKET_JOIN_SQL = f"""SELECT e.user_id AS id, e.event_id AS event, e.value AS s
     FROM events e JOIN {frames.STATUS_SQL} s ON e.user_id = s.id"""
 
 
-def _bucket_join(spark: SparkSession, sf_dir: str, salt: int) -> DataFrame:
+def hot_devices(spark: SparkSession, sf_dir: str) -> dict[int | None, int]:
+    """Devices with more than twice the rows of an even share of the buckets."""
+    events = frames.events(spark, sf_dir)
+    n = layout.bucket_count(spark, f"{sf_dir}/events.parquet")
+    return layout.hot_keys(events, "user_id", max(1, events.count() // (8 * n)))
+
+
+def _bucket_join(spark: SparkSession, sf_dir: str, salt: int | dict[int | None, int]) -> DataFrame:
     joined = layout.join_bucketed(*bucketed_pair(spark, sf_dir, salt), "id")
     return joined.select("id", F.col("EVENT").alias("event"), F.col("SPEED").alias("speed"), "status")
 
@@ -70,6 +77,12 @@ def bucketed_join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bucket_join(spark, sf_dir, 16)
 
 
+@query("bucketed_join_hot", _BUCKET_JOIN_SQL)
+def bucketed_join_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only devices with many rows are spread, and only their status rows repeated."""
+    return _bucket_join(spark, sf_dir, hot_devices(spark, sf_dir))
+
+
 _BUCKET_COUNT_SQL = "SELECT user_id AS id, count(*) AS n FROM events GROUP BY 1"
 
 
@@ -83,6 +96,11 @@ def bucketed_count_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.count_bucketed(bucketed_events(spark, sf_dir, 16), "id")
 
 
+@query("bucketed_count_hot", _BUCKET_COUNT_SQL)
+def bucketed_count_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.count_bucketed(bucketed_events(spark, sf_dir, hot_devices(spark, sf_dir)), "id")
+
+
 @query("compact_files", "SELECT event_id, user_id, value FROM events")
 def compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = scratch(spark, "small-files"), scratch(spark, "compacted")

@@ -1,7 +1,8 @@
-import pytest
-from conftest import rows
 import json
+import time
 
+import pytest
+from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,7 +12,7 @@ from sensorloom.operators.evolution import (
 from sensorloom.schemas import EVOLVING_HINTS
 from sensorloom.session import scratch
 from sensorloom.sources import from_json_lines, scan, write
-from sensorloom.streaming import read_evolved, run_evolving
+from sensorloom.streaming import read_evolved, run_evolving, writers
 
 # Sample records with every field, a new field, and fields of the wrong type.
 BASE = ('{"AN3":-0.25,"AN4":1.5,"AN5":-3.75,"AN6":0.125,"AN7":2.0625,"AN8":-4.5,"AN9":0.75,'
@@ -92,6 +93,28 @@ def test_new_fields_in_several_files(spark):
         [(0, 0, None, None), (1, None, 1, None), (2, None, None, 2)], key=repr)
 
 
+def test_an_accepted_batch_is_read_once(spark):
+    path, out, checkpoint = (scratch(spark, f"once-{p}") for p in ("in", "out", "ck"))
+    text = "\n".join(f'{{"a": {i}}}' for i in range(500))
+    write(lines(spark, *text.split("\n")), path, "append", "text")
+    counter = writers._RowCounter()
+    spark.streams.addListener(counter)
+    try:
+        assert run_evolving(spark, path, out, "a BIGINT", checkpoint) == 0
+        for _ in range(100):
+            if counter._ended and all(e.is_set() for e in counter._ended.values()):
+                break
+            time.sleep(0.1)
+        assert list(counter._rows.values()) == [500]
+    finally:
+        spark.streams.removeListener(counter)
+    write(lines(spark, '{"a": 1, "b": 2}'), path, "append", "text")
+    assert run_evolving(spark, path, out, "a BIGINT", checkpoint) == 1
+    left = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out)
+    names = [f.getPath().getName() for f in left.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(left)]
+    assert not [n for n in names if n.startswith("_aside")] and read_evolved(spark, out).count() == 501
+
+
 def test_other_errors_are_raised(spark, monkeypatch):
     from sensorloom.streaming import evolve
 

@@ -70,6 +70,29 @@ def test_salted_buckets_spread_the_hot_device(spark, hot):
     assert files < 600  # unsalted, one file would hold more than a third of the 3000 rows
 
 
+def test_only_hot_devices_are_spread(spark, hot):
+    readings, devices = hot
+    devices = devices.union(spark.createDataFrame([(7, "damaged")], devices.schema))  # the hot one
+    salts = layout.hot_keys(readings.withColumnRenamed("ID", "id"), "id", 150)
+    sizes = {r["ID"]: r["count"] for r in readings.groupBy("ID").count().collect()}
+    assert salts == {(None if k is None else int(k)): -(-n // 150) for k, n in sizes.items() if n >= 300} and salts
+    data, copies = bucketed(spark, (readings, devices), salts)
+    joined = layout.join_bucketed(data, copies, "id")
+    assert plan_facts(joined)["exchanges"] == 0
+    expected = readings.join(devices, "id").select(F.col("id").cast("bigint"), "n", "status")
+    assert rows(joined.select("id", "n", "status")) == rows(expected)
+    assert rows(layout.count_bucketed(data, "id")) == rows(readings.groupBy(F.col("ID").cast("bigint").alias("id")).count())
+    # Status rows are repeated for hot devices alone, readings of other devices keep one salt.
+    known = {r["id"] for r in devices.collect()}
+    assert copies.count() == devices.count() + sum(n - 1 for k, n in salts.items() if k in known) > devices.count()
+    assert data.groupBy("id").agg(F.count_distinct(layout.SALT).alias("s")).where("s > 1").count() <= len(salts)
+    files = data.groupBy("_metadata.file_path").count().agg(F.max("count")).first()[0]
+    assert files < 600
+    assert layout.hot_keys(readings.withColumnRenamed("ID", "id").limit(0), "id", 10) == {}
+    none = bucketed(spark, (readings, devices), {})
+    assert rows(layout.join_bucketed(*none, "id").select("id", "n", "status")) == rows(expected)
+
+
 def test_count_of_null_key_and_fractional_keys(spark, hot):
     data, _ = bucketed(spark, hot, 16)
     assert rows(layout.count_bucketed(data, "id")) == rows(
