@@ -3,8 +3,11 @@
 Texts become sets of word n-grams; equal sets share one representative. A representative's signature has
 ``TREES`` prefixes of ``DEPTH`` values, each the path to a leaf of a sorted prefix trie. Representatives that
 share a path down to some depth are candidates; the depth is the longest at which a pair just at the threshold
-is found with the target probability, whatever other pairs the table has. Candidates are verified on the exact
-sets, in blocks, so a large group of near copies costs comparisons but never one row per pair.
+is found with the target probability, whatever other pairs the table has. The shortening of prefixes is thus worked
+out in advance: shortening while found pairs fall short of the recall lets many very similar pairs speak for the few
+at the threshold. Candidates are verified on the exact sets, in blocks, so a large group of near copies costs
+comparisons but never one row per pair: blocks are first compared with themselves and contracted to their classes,
+and two blocks then name only links between classes that are still apart.
 """
 
 from __future__ import annotations
@@ -80,15 +83,18 @@ def candidate_groups(reps: DataFrame, depth: int) -> DataFrame:
         .select(F.col("node").alias("rep"), "root")
 
 
-def _blocks(groups: DataFrame) -> DataFrame:
-    """``rep, root, i, j``: members dealt into pairs of blocks; a small group is one block with itself."""
+def _dealt(groups: DataFrame) -> DataFrame:
+    """``rep, root, blocks, block``: the members of every group in blocks of about :data:`BLOCK`."""
     sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("n")) \
         .select("root", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    dealt = groups.join(sizes, "root").withColumn("block", mine)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    return dealt.withColumn("other", other).select("rep", "root", F.least("block", "other").alias("i"),
-                                                   F.greatest("block", "other").alias("j"), "block")
+    return groups.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+
+
+def _pairs(members: DataFrame) -> DataFrame:
+    """``i, j``: every member once for each other block of its group."""
+    others = F.expr("filter(sequence(0, blocks - 1), b -> b <> block)")
+    return (members.where("blocks > 1").withColumn("other", F.explode(others))
+            .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")))
 
 
 def _meet(a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
@@ -115,11 +121,12 @@ def _shared(sets: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
     return np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for i, j in pairs], np.int64)
 
 
-def compare(members: list[tuple[int, int, int, str]], same_block: bool, depth: int, done: int | None,
+def compare(members: list[tuple], same_block: bool, depth: int, done: int | None,
             threshold: float) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], np.ndarray]:
     """Verified links of a pair of blocks: ``(rep, links, 0)``, spanning edges ``(a, b, 0)`` and similarities.
 
-    ``members``: ``rep, block, copies, text``. Only pairs that meet at ``depth`` and not at the deeper
+    ``members``: ``rep, block, copies, text`` and, if some are known to be linked already, the class so far, which
+    edges then name instead of members. Only pairs that meet at ``depth`` and not at the deeper
     ``done`` are looked at, so every pair is counted in one step only.
     """
     sets = [ngrams(m[3]) for m in members]
@@ -142,7 +149,9 @@ def compare(members: list[tuple[int, int, int, str]], same_block: bool, depth: i
     pairs, alike = pairs[good], alike[good]
     rep, copies = np.array([m[0] for m in members]), np.array([m[2] for m in members])
     links = np.bincount(pairs[:, 0], copies[pairs[:, 1]], len(members)) + np.bincount(pairs[:, 1], copies[pairs[:, 0]], len(members))
-    root = list(range(len(members)))
+    known = [m[4] if len(m) > 4 else m[0] for m in members]
+    first: dict[int, int] = {}
+    root = [first.setdefault(k, i) for i, k in enumerate(known)]
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -154,7 +163,7 @@ def compare(members: list[tuple[int, int, int, str]], same_block: bool, depth: i
     for a, b in pairs.tolist():
         if (x := find(a)) != (y := find(b)):
             root[max(x, y)] = min(x, y)
-            edges.append((int(rep[a]), int(rep[b]), 0))
+            edges.append((int(known[a]), int(known[b]), 0))
     held = np.flatnonzero(links)
     return list(zip(rep[held].tolist(), links[held].astype(int).tolist(), [0] * len(held), strict=True)), edges, alike
 
@@ -164,7 +173,7 @@ def verify(blocks: DataFrame, depth: int, done: int | None, threshold: float) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
         for (_, i, j), group in groupby(rows, key=lambda r: r[:3]):
-            members = {r[3]: (r[3], r[4], r[5], r[6]) for r in group}  # a text may stand in several equal rows
+            members = {r[3]: r[3:] for r in group}  # a text may stand in several equal rows
             if len(members) < 2:
                 continue
             links, edges, alike = compare(list(members.values()), i == j, depth, done, threshold)
@@ -176,7 +185,7 @@ def verify(blocks: DataFrame, depth: int, done: int | None, threshold: float) ->
                     zip(*out, strict=True), (pa.int32(), pa.int64(), pa.int64()), strict=True)], ["kind", "a", "b"])
 
     key = ["root", "i", "j"]
-    return (blocks.select(*key, "rep", "block", "copies", "text").repartition(*key).sortWithinPartitions(*key)
+    return (blocks.select(*key, "rep", "block", "copies", "text", "known").repartition(*key).sortWithinPartitions(*key)
             .mapInArrow(run, "kind int, a bigint, b bigint"))
 
 
@@ -222,11 +231,24 @@ def _classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECA
     texts = _keyed(docs).select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"), "text")
     depth = search_depth(threshold, recall)
     groups = stage(candidate_groups(reps, depth), "groups")
-    members = _blocks(groups).join(reps.select("rep", "copies", "doc_id", "h"), "rep")
-    blocks = texts.join(members.hint("shuffle_hash"), F.col("_d").eqNullSafe(F.col("doc_id")) & (F.col("_h") == F.col("h")))
-    links = stage(verify(blocks, depth, None, threshold), "links")
+    named = _dealt(groups).join(reps.select("rep", "copies", "doc_id", "h"), "rep")
+    found = texts.join(named.hint("shuffle_hash"), F.col("_d").eqNullSafe(F.col("doc_id")) & (F.col("_h") == F.col("h")))
+    members = stage(found.select("rep", "root", "blocks", "block", "copies", "text"), "members")
     discard(groups)
+    same = members.withColumn("i", F.col("block")).withColumn("j", F.col("block")).withColumn("known", F.col("rep"))
+    links = stage(verify(same, depth, None, threshold), "links")
     roots = components(links.where("kind = 1").select("a", "b"))
+    if members.where("blocks > 1").limit(1).count():
+        # Classes inside the blocks are known now; edges between blocks join classes, not members.
+        contracted = _pairs(members).join(roots.withColumnRenamed("node", "rep").withColumnRenamed("root", "class"), "rep", "left") \
+            .withColumn("known", F.coalesce("class", "rep"))
+        across = stage(verify(contracted, depth, None, threshold), "links")
+        tops = components(across.where("kind = 1").select("a", "b"))
+        joined = roots.withColumnRenamed("root", "class").join(
+            tops.select(F.col("node").alias("class"), "root"), "class", "full") \
+            .select(F.coalesce("node", "class").alias("node"), F.coalesce("root", "class").alias("root"))
+        links, roots = links.unionByName(across), joined
+    discard(members)
     counts = links.where("kind = 0").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("others"))
     told = (reps.select("rep", "hi", "lo", "doc_id", "copies").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
             .join(counts, "rep", "left").withColumn("root", F.coalesce("root", "rep")))

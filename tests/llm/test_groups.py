@@ -56,6 +56,44 @@ def test_blocks_split_a_large_group(spark, monkeypatch):
     assert {n for _, n, _ in across} == {20} and len(edges) == 39
 
 
+def test_links_between_blocks_join_classes_only(spark):
+    rng = random.Random(4)
+    stem = words(rng, 60)
+    half = [(i, i % 2, 1, " ".join([*stem, f"end{i}"]), i % 2) for i in range(40)]
+    across, edges, _ = forest.compare(half, False, 4, None, 0.8)
+    assert {n for _, n, _ in across} == {20} and [(a, b) for a, b, _ in edges] == [(0, 1)]
+
+
+def test_groups_over_several_blocks_match_brute_force(spark):
+    """Over 600 differing near copies, dealt over three blocks: drifting texts, so many are linked by others only."""
+    rng = random.Random(13)
+    rows = []
+    for family in range(2):
+        text = words(rng, 90)
+        for i in range(320):
+            if i % 40 == 0:
+                text = list(text)
+                text[rng.randrange(len(text))] = f"drift{family}x{i}"
+            own = list(text)
+            for _ in range(rng.randrange(0, 3)):
+                own[rng.randrange(len(own))] = f"y{family}x{i}"
+            rows.append((family * 1000 + i, " ".join(own), "en", "s", 1))
+    rows += rows[:30]  # copies count one by one
+    links, group = brute_links(rows)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = forest.classes(docs).collect()
+    missed = sum(links) - sum(r.n_links for r in got)
+    assert 0 <= missed <= 2 * 0.0005 * sum(links)  # the promised recall, pair by pair
+    by_class = defaultdict(set)
+    for g, r in zip(group, rows, strict=True):
+        by_class[g].add(r[0])
+    told = defaultdict(set)
+    for r in got:
+        told[r.class_no].add(r.doc_id)
+    assert sorted(map(sorted, told.values())) == sorted(map(sorted, by_class.values()))
+    assert all(r.class_id == min(told[r.class_no]) for r in got)
+
+
 def test_keep_one_keeps_a_row_of_each_class(spark, odd):
     kept = forest.keep_one(odd)
     assert kept.columns == odd.columns
