@@ -1,34 +1,37 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Passages of all documents are TF-IDF vectors over the benchmark's content words. One pass counts passage
-frequencies and sketches the passages' Gram matrix with a random test matrix; the sketch gives the leading
-singular vectors (randomised SVD, single pass); the items' directions outside them complete the latent space,
-so every item keeps its whole norm there. A second pass takes all overlapping windows of every text whose
-projection covers enough of an item as candidates, and settles each by the longest common subsequence with the
-item's words and by a check of the item's last part, its answer.
+The words of all documents are numbered once, in the vocabulary of the benchmark's content words, and written
+beside the text. Passages are TF-IDF vectors over that vocabulary. One pass over the numbers counts passage
+frequencies and sketches the passages' Gram matrix with a random test matrix; the sketch gives the leading singular
+directions (randomised SVD, single pass). A second pass projects all overlapping windows of every text onto them
+and takes as candidates the windows whose cosine with a part of an item reaches a
+floor, which finds paraphrases by words that go together, and those that hold enough of a part's mass themselves,
+which finds items of rare words that the leading directions hardly know. Every candidate is settled by the longest
+common subsequence with the item's words and by a check of the item's last part, its answer.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sensorloom.llm.common import CACHE_WORDS, own_store, shielded
+from sensorloom.llm.common import CACHE_WORDS, numbered, own_store, shielded, stage
 
 PASSAGE = 48  # words of a passage in the statistics
 CHUNK, CHUNKS = 12, 3  # a window is CHUNKS chunks; one starts at every chunk
 RANK, SKETCH = 64, 80
 SEGMENT = 32  # words of an item looked for at once
-SHARED = 0.4  # a candidate's least share of the item's mass
+COSINE, SHARED = 0.7, 0.4  # a candidate's least cosine in the leading directions, or least share of the item's mass
 CELLS = 2_000_000  # of windows by item parts at once
 LCS, LCS_WITH_ANSWER, ANSWER = 0.7, 0.5, 0.8
 ITEMS = 1_000  # items a pass looks for; a larger benchmark takes several passes
+ROWS = 256  # words whose sketch rows make one row of a table
 COMMON = 0.05  # a word in more than this share of the items is no content word
 LEAKS = "array<struct<item_id:bigint,word:int,cosine:double,lcs:double,answer:double>>"
 _EDGE = "\"'.,;:!?()[]{}|*#$%&-_~<>/\\+="
@@ -53,13 +56,15 @@ class _Numbers(dict):
 class Vocabulary:
     """Word to its number: content words of the items from 0, other words -1, no content -2."""
 
-    def __init__(self, items: list[tuple[int, list[str]]]) -> None:
-        held: dict[str, int] = {}
-        for _, words in items:
-            for w in set(words):
-                held[w] = held.get(w, 0) + 1
-        most = max(2.0, COMMON * len(items))
-        content = {w for w, n in held.items() if n <= most}
+    def __init__(self, items: list[tuple[int, list[str]]], held: dict[str, int] | None = None, total: int = 0) -> None:
+        """``held`` says in how many of all ``total`` items a word stands; without it ``items`` are all."""
+        if held is None:
+            held, total = {}, len(items)
+            for _, words in items:
+                for w in set(words):
+                    held[w] = held.get(w, 0) + 1
+        most = max(2.0, COMMON * total)
+        content = {w for _, words in items for w in words if held[w] <= most}
         for _, words in items:  # an item of common words only keeps them
             if sum(w in content for w in set(words)) < 3:
                 content.update(words)
@@ -117,33 +122,43 @@ class Sketch:
         at = np.flatnonzero(np.diff(number[order], prepend=-1))
         self.gram[number[order][at]] += np.add.reduceat(rows[row[order]], at)
 
-    def pack(self) -> bytes:
-        return np.concatenate([[self.passages], self.frequency, self.gram.ravel()]).tobytes()
+    def rows(self) -> Iterator[tuple[int, bytes]]:
+        """The sketch in pieces of :data:`ROWS` words, and the number of passages as piece -1."""
+        yield -1, np.array([self.passages]).tobytes()
+        every = np.hstack([self.frequency[:, None], self.gram])
+        for low in range(0, len(every), ROWS):
+            yield low, every[low:low + ROWS].tobytes()
+
+    def put(self, low: int, packed: bytes) -> None:
+        data = np.frombuffer(packed)
+        if low < 0:
+            self.passages += data[0]
+            return
+        data = data.reshape(-1, SKETCH + 1)
+        self.frequency[low:low + ROWS] += data[:, 0]
+        self.gram[low:low + ROWS] += data[:, 1:]
+
 
-    def merge(self, packed: bytes) -> None:
-        data, width = np.frombuffer(packed), len(self.frequency)
-        self.passages += data[0]
-        self.frequency += data[1:width + 1]
-        self.gram += data[width + 1:].reshape(self.gram.shape)
+def _summed(pieces: DataFrame) -> DataFrame:
+    """Sums of ``packed`` doubles per ``low``; a task holds one sum at a time."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, total = None, None
 
+        def one() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([key], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["low", "packed"])
 
-def _sum_up(parts: DataFrame, width: int) -> bytes | None:
-    """One sketch from one per partition, 16 at a time, so that no task holds more than 16."""
-    def add(frame: pd.DataFrame) -> pd.DataFrame:
-        total = Sketch(width)
-        for packed in frame["packed"]:
-            total.merge(packed)
-        return pd.DataFrame({"part": [frame["part"].iloc[0] // 16], "packed": [total.pack()]})
+        for batch in batches:
+            for low, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if low == key:
+                    total += np.frombuffer(packed)
+                    continue
+                if key is not None:
+                    yield one()
+                key, total = low, np.frombuffer(packed).copy()
+        if key is not None:
+            yield one()
 
-    n = parts.sparkSession.sparkContext.defaultParallelism
-    size = parts.count()
-    while size > n:
-        parts = parts.groupBy(F.expr("part div 16").alias("g")).applyInPandas(add, "part bigint, packed binary").cache()
-        size = parts.count()
-    total = Sketch(width)
-    for row in parts.collect():
-        total.merge(row.packed)
-    return total.pack() if size else None
+    return pieces.repartition("low").sortWithinPartitions("low").mapInArrow(add, "low int, packed binary")
 
 
 class Model:
@@ -160,8 +175,11 @@ class Model:
         values, vectors = np.linalg.eigh((core + core.T) / 2)
         good = values > values.max(initial=0) * 1e-9
         half = gram @ (vectors[:, good] / np.sqrt(values[good]))
-        left, _, _ = np.linalg.svd(half, full_matrices=False)
-        basis = left[:, :RANK]
+        left, scale, _ = np.linalg.svd(half, full_matrices=False)
+        rank = max(1, min(RANK, int((scale > scale.max(initial=0) * 1e-6).sum())))
+        #: Latent row of every word: its weight along the leading directions. Strong ones, such as a language's,
+        #: are scaled down towards one size; weak ones, which are noise, are not scaled up.
+        self.axes = (idf[:, None] * left[:, :rank] / (scale[:rank] + scale[:rank].mean())).astype(np.float32)
         self.idf = idf
         # A long item is looked for by parts about as long as a window.
         parts = [(i, words[k:k + SEGMENT]) for i, (_, words) in enumerate(items)
@@ -172,10 +190,9 @@ class Model:
             held = sorted({vocabulary.number[w] for w in words if vocabulary.number[w] >= 0})
             rows[i, held] = idf[held]
         self.size = np.linalg.norm(rows, axis=1)
-        # The sketch's directions alone keep little of an item of rare words; the rest of each item joins the space.
-        rest = rows - rows @ basis @ basis.T
-        own, kept, _ = np.linalg.svd(rest.T, full_matrices=False)
-        self.space = np.hstack([basis, own[:, kept > 1e-6 * max(1.0, kept.max(initial=0))]]).astype(np.float32)
+        latent = (rows / idf) @ self.axes
+        size = np.linalg.norm(latent, axis=1, keepdims=True)
+        self.latent = np.divide(latent, size, out=np.zeros_like(latent), where=size > 0).astype(np.float32)
         # Item parts of each word one after the other, with the word's share of the part's mass.
         number, self.part = np.nonzero(rows.T)
         self.share = idf[number] ** 2 / self.size[self.part] ** 2
@@ -188,11 +205,7 @@ class Model:
             self.masks.append(mask)
 
     def candidates(self, numbers: np.ndarray, n: np.ndarray) -> list[tuple[int, int, int, float]]:
-        """``(text, first word, item, cosine)`` of all windows that cover enough of an item.
-
-        An item lies in the latent space, so a projected window has the window's own product with it: the share
-        of the item that the window covers is summed over their common words, and only candidates are projected.
-        """
+        """``(text, first word, item, cosine)`` of all windows that are near a part of an item or hold enough of it."""
         piece, owner = _pieces(n, CHUNK)
         at, number = _presence(numbers, piece, len(self.idf))
         first = np.searchsorted(owner, np.arange(len(n)))
@@ -208,22 +221,35 @@ class Model:
             cell = np.repeat((at[a:b] - low) * parts, count) + self.part[place]
             chunk = np.bincount(cell, self.share[place], (high - low + CHUNKS) * parts).reshape(-1, parts)
             mass = chunk[:high - low].copy()
+            held = np.zeros((high - low + CHUNKS, self.axes.shape[1]), np.float32)
+            if b > a:
+                start = np.flatnonzero(np.diff(at[a:b], prepend=-1))
+                held[at[a:b][start] - low] = np.add.reduceat(self.axes[number[a:b]], start)
+            window = held[:high - low].copy()
             for k in range(1, CHUNKS):
-                same = np.arange(low, high) + k < stop[low:high]
-                mass += np.where(same[:, None], chunk[k:high - low + k], 0)
-            for window, part in np.argwhere(mass >= SHARED - 1e-9).tolist():
-                text = int(owner[low + window])
-                held = number[slice(*np.searchsorted(at, (low + window, min(low + window + CHUNKS, stop[low + window]))))]
-                size = np.linalg.norm(self.idf[held] @ self.space[held])
-                cosine = mass[window, part] * self.size[part] / max(size, 1e-12)
-                out.append((text, int(low + window - first[text]) * CHUNK, self.item_of[part], float(min(1.0, cosine))))
+                same = (np.arange(low, high) + k < stop[low:high])[:, None]
+                mass += np.where(same, chunk[k:high - low + k], 0)
+                window += np.where(same, held[k:high - low + k], 0)
+            size = np.linalg.norm(window, axis=1, keepdims=True)
+            cosine = np.divide(window, size, out=np.zeros_like(window), where=size > 0) @ self.latent.T
+            near = (mass >= SHARED - 1e-9) | (cosine >= COSINE)
+            for row, part in np.argwhere(near).tolist():
+                text = int(owner[low + row])
+                out.append((text, int(low + row - first[text]) * CHUNK, self.item_of[part], float(np.clip(cosine[row, part], 0, 1))))
         return out
 
     def leaks(self, texts: list[str | None]) -> list[list[dict]]:
         """Items found in each text, one entry per item: where, and how alike."""
-        words, numbers, n = self.vocabulary.of(texts)
-        out: list[dict[int, dict]] = [{} for _ in texts]
+        _, numbers, n = self.vocabulary.of(texts)
+        return self.settled(numbers, n, lambda i: texts[i])
+
+    def settled(self, numbers: np.ndarray, n: np.ndarray, text_of: Callable[[int], str | None]) -> list[list[dict]]:
+        """:meth:`leaks` of texts whose words are numbered already; only texts with candidates are read."""
+        out: list[dict[int, dict]] = [{} for _ in n]
+        words: dict[int, list[str]] = {}
         for text, word, item, cosine in self.candidates(numbers, n):
+            if text not in words:
+                words = {text: (text_of(text) or "").split()}  # candidates come text by text
             item_id, asked = self.items[item]
             low = max(0, word - len(asked))
             region = [plain(w) for w in words[text][low:word + CHUNK * CHUNKS + len(asked)]]
@@ -251,33 +277,62 @@ def lcs(mask: dict[str, int], words: list[str], length: int) -> int:
     return length - row.bit_count()
 
 
-def _items(benchmark: DataFrame) -> list[tuple[int, list[str]]]:
-    rows = (benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("bigint"), "text")
-            .distinct().orderBy("item_id", "text").collect())
-    items = [(r[0], [w for w in map(plain, r[1].split()) if w]) for r in rows]
-    return [item for item in items if item[1]]
+def _items(benchmark: DataFrame) -> DataFrame:
+    """``rank, item_id, words`` of all items with words, equal ones once, numbered from 0."""
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [[w for w in map(plain, text.split()) if w] for text in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.list_(pa.string()))], ["item_id", "words"])
 
+    rows = (benchmark.where("item_id is not null and text is not null")
+            .select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).distinct())
+    split_rows = rows.mapInArrow(split, "item_id bigint, words array<string>").where("size(words) > 0")
+    return stage(numbered(split_rows, [F.col("item_id"), F.col("words")]), "items")
 
-def fit(docs: DataFrame, items: list[tuple[int, list[str]]]) -> Model:
-    """Statistics of all documents for these items."""
-    vocabulary = Vocabulary(items)
-    width = len(vocabulary.words)
+
+def _word_counts(items: DataFrame) -> DataFrame:
+    """``word, n``: in how many items a word stands."""
+    return stage(items.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word")
+                 .agg(F.count(F.lit(1)).alias("n")), "item-words")
+
+
+def number_words(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """``docs`` with ``_numbers``, the numbers of the words of its text; a table of its own."""
+    names = docs.columns
+    kind = "<i2" if len(vocabulary.words) < 1 << 15 else "<i4"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+        for batch in batches:
+            out, texts = [], batch.column(names.index("text"))
+            for at in range(0, batch.num_rows, 256):
+                _, numbers, n = vocabulary.of(texts.slice(at, 256).to_pylist())
+                out += [part.tobytes() for part in np.split(numbers.astype(kind), np.cumsum(n)[:-1])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*names, "_numbers"])
+
+    return stage(docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_numbers", T.BinaryType())])), "numbered-words")
+
 
+def _numbers(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    held = [x or b"" for x in column.to_pylist()]
+    kind = "<i2" if width < 1 << 15 else "<i4"
+    return np.frombuffer(b"".join(held), kind).astype(np.int32), np.array([len(x) // np.dtype(kind).itemsize for x in held], np.int64)
+
+
+def fit(docs: DataFrame, items: list[tuple[int, list[str]]], vocabulary: Vocabulary) -> Model:
+    """Statistics of all documents, whose words are numbered, for these items."""
+    width = len(vocabulary.words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = Sketch(width)
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
-                sketch.add(*vocabulary.of(batch.column(0).slice(low, 256).to_pylist())[1:])
-        yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "packed": [sketch.pack()]})
+                sketch.add(*_numbers(batch.column(0).slice(low, 256), width))
+        for low, packed in sketch.rows():
+            yield pa.RecordBatch.from_arrays([pa.array([low], pa.int32()), pa.array([packed], pa.binary())], ["low", "packed"])
 
-    parts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "part bigint, packed binary").cache()
     sketch = Sketch(width)
-    packed = _sum_up(parts, width)
-    parts.unpersist()
-    if packed:
-        sketch.merge(packed)
+    for row in _summed(docs.select("_numbers").mapInArrow(run, "low int, packed binary")).toLocalIterator():
+        sketch.put(row.low, row.packed)
     for _, words in items:  # the items are passages too
         numbers = np.array([vocabulary.number[w] for w in words], np.int32)
         sketch.add(numbers, np.array([len(numbers)]))
@@ -289,28 +344,37 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     NULL and empty texts and texts without the items' words have none; so has everything when the benchmark
     is empty. NULL or wordless items are never found; equal items are found each. Repeated rows and doc_ids
-    are rows of their own; a column named ``leaks`` is replaced. Long texts are searched whole, in windows.
+    are rows of their own; columns named ``leaks`` or ``_numbers`` are replaced. Long texts are searched whole, in
+    windows. A benchmark of more than :data:`ITEMS` items is looked for block by block; which words are content words
+    is decided over all of it, so an item is judged by the same words in any block.
     """
-    docs = docs.drop("leaks")
-    names = docs.columns
-    out = docs.withColumn("leaks", F.array().cast(LEAKS))
+    docs = docs.drop("leaks", "_numbers")
+    out = docs.withColumn("text", F.col("text").cast("string")).withColumn("leaks", F.array().cast(LEAKS))
     schema = out.schema
     items = _items(benchmark)
-    for low in range(0, len(items), ITEMS):
-        shared = docs.sparkSession.sparkContext.broadcast(fit(docs, items[low:low + ITEMS]))
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    held, total = _word_counts(items), items.count()
+    spark = docs.sparkSession
+    for low in range(0, total, ITEMS):
+        block = items.where((F.col("rank") >= low) & (F.col("rank") < low + ITEMS))
+        told = block.select(F.explode("words").alias("word")).distinct().join(held, "word").collect()
+        mine = [(r.item_id, r.words) for r in block.orderBy("rank").collect()]
+        vocabulary = Vocabulary(mine, {r.word: r.n for r in told}, total)
+        words = number_words(out, vocabulary)
+        shared = spark.sparkContext.broadcast(fit(words, mine, vocabulary))
+        names, width = out.columns, len(vocabulary.words)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, names=names, width=width) -> Iterator[pa.RecordBatch]:
             model = shared.value
+            kind = pa.list_(pa.struct([("item_id", pa.int64()), ("word", pa.int32()), ("cosine", pa.float64()),
+                                       ("lcs", pa.float64()), ("answer", pa.float64())]))
             for batch in batches:
-                texts = batch.column(names.index("text"))
-                found = [x for at in range(0, batch.num_rows, 256)
-                         for x in model.leaks(texts.slice(at, 256).to_pylist())]
-                found = [a + b for a, b in zip(batch.column("leaks").to_pylist(), found, strict=True)]
-                kind = pa.list_(pa.struct([("item_id", pa.int64()), ("word", pa.int32()), ("cosine", pa.float64()),
-                                           ("lcs", pa.float64()), ("answer", pa.float64())]))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, kind)], [*names, "leaks"])
-
-        out = out.mapInArrow(run, schema)
+                texts, numbers, found = batch.column(names.index("text")), batch.column(len(names)), []
+                for at in range(0, batch.num_rows, 256):
+                    found += model.settled(*_numbers(numbers.slice(at, 256), width), lambda i, at=at: texts[at + i].as_py())
+                found = [a + b for a, b in zip(batch.column(names.index("leaks")).to_pylist(), found, strict=True)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(found, kind)], names)
+
+        out = words.select(*names, "_numbers").mapInArrow(run, schema)
     return out
 
 
@@ -322,5 +386,5 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no item was found."""
-    return shielded(docs, ("leaks",), lambda docs: find_leaks(docs, benchmark)
+    return shielded(docs, ("leaks", "_numbers"), lambda docs: find_leaks(docs, benchmark)
                     .where(F.size("leaks") == 0).select(*docs.columns))

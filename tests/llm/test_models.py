@@ -199,3 +199,69 @@ def test_decontamination_finds_every_item_in_long_texts():
         missed = [i for i, found in enumerate(model.leaks(texts)) if i not in {x["item_id"] for x in found}]
         assert missed == []
         assert all(0 < x["cosine"] <= 1 for found in model.leaks(texts[:20]) for x in found)
+
+
+def topics(rng, n):
+    """Words in groups that go together, and common words that go with all of them."""
+    pool = list(dict.fromkeys(words(rng, 40 * n)))
+    return [pool[12 * i:12 * i + 12] for i in range(n)], pool[12 * n:12 * n + 30]
+
+
+def test_paraphrases_are_found_by_the_latent_arm_alone(monkeypatch):
+    """Telling words replaced by others of their topic: little common mass, but the same direction."""
+    rng = random.Random(3)
+    groups, common = topics(rng, 70)  # more topics than leading directions, as in any large corpus
+    mixed = lambda telling, n: [w for pair in zip(rng.choices(common, k=n), rng.choices(telling, k=n), strict=True) for w in pair]
+    answer = common[:6]
+    items, texts, copies = [], [], []
+    for i, group in enumerate(groups):
+        fill = rng.choices(common, k=10)
+        own, other = rng.sample(group[:6], 5), rng.sample(group[6:], 5)
+        asked = [w for k in range(5) for w in (*fill[2 * k:2 * k + 2], own[k])] + answer
+        again = [w for k in range(5) for w in (*fill[2 * k:2 * k + 2], other[k])] + answer
+        items += [(i, asked), (100 + i, mixed(group[6:], 8))]
+        noise = lambda: rng.choices(common, k=60)
+        texts.append(" ".join([*noise(), *again, *noise()]))
+        copies.append(" ".join([*noise(), *asked, *noise()]))
+    vocabulary = decontaminate.Vocabulary(items)
+    sketch = decontaminate.Sketch(len(vocabulary.words))
+    for group in groups * 8:
+        sketch.add(*vocabulary.of([" ".join(mixed(group, 24))])[1:])
+    found = lambda arm: [{x["item_id"] for x in row} for row in decontaminate.Model(items, vocabulary, sketch).leaks(arm)]
+    hits = np.mean([i in f for i, f in enumerate(found(texts))])
+    assert hits >= 0.9
+    assert all(i in f for i, f in enumerate(found(copies)))
+    monkeypatch.setattr(decontaminate, "COSINE", 2.0)
+    assert np.mean([i in f for i, f in enumerate(found(texts))]) <= 0.1
+    assert all(i in f for i, f in enumerate(found(copies)))  # the mass alone finds what is verbatim
+
+
+def test_report_equals_all_windows_against_all_items(spark, monkeypatch):
+    """Every window against every item: the same documents as through candidates, and in blocks of items."""
+    rng = random.Random(17)
+    items = [(i, sentences(rng, rng.randrange(12, 70))) for i in range(12)]
+    rows = []
+    for i in range(60):
+        text = sentences(rng, rng.randrange(0, 250)).split()
+        if i % 2:
+            part = items[i % 12][1].split()
+            rate = rng.choice([0, 0.1, 0.25, 0.45, 0.6])
+            text[len(text) // 2:len(text) // 2] = [w if rng.random() > rate else "other" for w in part]
+        rows.append((i, " ".join(text), "en", "s", 1))
+    want = set()
+    for i, text, *_ in rows:
+        plain = [decontaminate.plain(w) for w in text.split()]
+        for item, asked in items:
+            asked = [decontaminate.plain(w) for w in asked.split()]
+            size, tail = len(asked), asked[-max(1, len(asked) // 3):]
+            for at in range(0, max(1, len(plain)), decontaminate.CHUNK):
+                region = plain[max(0, at - size):at + decontaminate.CHUNK * decontaminate.CHUNKS + size]
+                whole = naive_lcs(asked, region) / size
+                if whole >= decontaminate.LCS or whole >= decontaminate.LCS_WITH_ANSWER and size >= 10 \
+                        and naive_lcs(tail, region) / len(tail) >= decontaminate.ANSWER:
+                    want.add((i, item))
+    docs, benchmark = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.report(docs, benchmark).collect()}
+    assert len(want) >= 15 and got == want
+    monkeypatch.setattr(decontaminate, "ITEMS", 5)
+    assert {(r.doc_id, r.item_id) for r in decontaminate.report(docs, benchmark).collect()} == want
