@@ -1,6 +1,6 @@
 """Token ids as Arrow files of fixed-size lists.
 
-A file holds equal-length sequences of one range of doc_ids and, beside them, a mask that is true where a
+A file holds equal-length sequences of one range of doc_ids and, beside them, a mask of bytes that are 1 where a
 token is; record batches have a fixed number of sequences, so sequence ``i`` lies in batch ``i // rows``
 at place ``i % rows`` and is read as a slice of the mapped file, without a copy. A second small file per
 range lists its documents. File names follow from the partition, and a file appears under its name only
@@ -41,7 +41,7 @@ class SequenceWriter:
     def __init__(self, sink, dtype: np.dtype, length: int, rows: int) -> None:
         self.length, self.rows, self.dtype = length, rows, dtype
         value = pa.from_numpy_dtype(dtype)
-        self.schema = pa.schema([("ids", pa.list_(value, length)), ("mask", pa.list_(pa.bool_(), length))],
+        self.schema = pa.schema([("ids", pa.list_(value, length)), ("mask", pa.list_(pa.uint8(), length))],
                                 metadata={"length": str(length), "rows": str(rows)})
         self.out = pa.ipc.new_file(sink, self.schema)
         self.waiting: list[bytes] = []
@@ -61,8 +61,8 @@ class SequenceWriter:
 
     def _batch(self, ids: np.ndarray) -> None:
         n = -(-len(ids) // self.length) * self.length
-        mask = np.zeros(n, bool)
-        mask[:len(ids)] = True
+        mask = np.zeros(n, np.uint8)
+        mask[:len(ids)] = 1
         padded = np.zeros(n, self.dtype)
         padded[:len(ids)] = ids
         self.out.write_batch(pa.RecordBatch.from_arrays(
@@ -94,11 +94,10 @@ class SequenceFile:
         return self.at[1]
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids (a view of the file) and mask of sequence ``i``."""
+        """Ids and mask of sequence ``i``, both views of the file."""
         batch, row = self._batch(i // self.rows), i % self.rows
         part = slice(row * self.length, (row + 1) * self.length)
-        ids = batch.column(0).values.to_numpy()[part]
-        return ids, batch.column(1).values.to_numpy(zero_copy_only=False)[part]
+        return batch.column(0).values.to_numpy()[part], batch.column(1).values.to_numpy()[part]
 
     def tokens(self, start: int, n: int) -> np.ndarray:
         """``n`` ids from place ``start`` of the stream."""
@@ -120,7 +119,7 @@ def write_sequences(
 ) -> DataFrame:
     """Write all documents in ascending doc_id order; returns the manifest, one row per file.
 
-    A NULL or empty text is the end id alone; NULL doc_ids come first, rows with the same doc_id stand
+    A NULL or empty text is the end id alone, a very long one spans as many sequences as it needs; NULL doc_ids come first, rows with the same doc_id stand
     next to each other; other columns are ignored; no documents give no file.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

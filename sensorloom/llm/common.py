@@ -81,6 +81,34 @@ def numbered(df: DataFrame, order: Sequence[Column], name: str = "rank") -> Data
             .drop("_part", "_at", "base"))
 
 
+def smallest_hashes(keys: DataFrame, key: str, n: int) -> DataFrame:
+    """The ``n`` rows of ``keys`` (all different) whose ``key`` has the smallest hashes.
+
+    A bound on the hash leaves about ``n`` rows in all before they are sorted, so what the driver gets does not grow
+    with the partitions.
+    """
+    total, share = keys.count(), 1.2
+    order = [F.xxhash64(key), F.col(key)]
+    while total > 4 * n and share * n < total:
+        bound = int((1 << 62) * (share * n + 100) / total) * 2
+        near = keys.where(F.pmod(F.xxhash64(key), F.lit((1 << 63) - 1)) < F.lit(min(bound, (1 << 63) - 1)))
+        if near.count() >= n:
+            return near.orderBy(F.pmod(order[0], F.lit((1 << 63) - 1)), order[1]).limit(n)
+        share *= 2
+    return keys.orderBy(F.pmod(order[0], F.lit((1 << 63) - 1)), order[1]).limit(n)
+
+
+def largest(rows: DataFrame, value: Column, n: int, then: str) -> DataFrame:
+    """The ``n`` rows with the largest ``value``, ties by ``then``; all but about ``n`` are dropped before the sort."""
+    total = rows.count()
+    if total > 4 * n:
+        share = min(1.0, 1.2 * n / total + 4e-4)
+        cut = rows.agg(F.percentile_approx(value.cast("double"), F.lit(1 - share), F.lit(10_000)).alias("c")).first()["c"]
+        near = rows.where(value.cast("double") >= F.lit(cut))
+        rows = near if near.count() >= n else rows
+    return rows.orderBy(value.desc(), then).limit(n)
+
+
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """Smallest node of every connected component: ``(node, root)`` for the ends of ``edges (a, b)``.
 
@@ -181,8 +209,8 @@ class Encoder:
 
     The library cuts a text by :data:`CUT` and merges inside the cuts. A space between two other
     characters always starts a cut, so every distinct piece between spaces is encoded once and looked up
-    afterwards. Texts with other white space runs are cut as a whole. Special tokens' strings in a text
-    are ordinary text.
+    afterwards. Texts with other white space runs are cut as a whole. Texts that hold the string of a special
+    token of the file are left to the library, which gives such a string its own id.
     """
 
     def __init__(self, path: str) -> None:
@@ -191,7 +219,8 @@ class Encoder:
 
         tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.model = tokenizer.model
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.special = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
         self.cut = regex.compile(CUT)
         # The byte-level alphabet: a printable character for each of the 256 bytes.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -228,6 +257,8 @@ class Encoder:
     def encode_one(self, text: str) -> bytes:
         if not text:
             return b""
+        if any(token in text for token in self.special):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
         for known in (self.later, self.first, self.cuts):
             if len(known) > CACHE_WORDS:
                 known.clear()

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorloom.llm.common import CACHE_WORDS, MIX, numbered, own_store, shielded, stage
+from sensorloom.llm.common import CACHE_WORDS, MIX, numbered, own_store, shielded, smallest_hashes, stage
 
 VIEW_BITS = 14  # buckets per view
 BUCKETS = 4 << VIEW_BITS
@@ -89,9 +89,8 @@ def labelled_ids(labels: DataFrame, label: str, limit: int = MAX_LABELLED) -> di
     out: dict[int, int] = {}
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("y"))
     for y in (0, 1):
-        rows = (known.where((F.col("y") == y) & F.col("doc_id").isNotNull()).distinct()
-                .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).collect())
-        out.update((r.doc_id, y) for r in rows)
+        rows = known.where((F.col("y") == y) & F.col("doc_id").isNotNull()).distinct()
+        out.update((r.doc_id, y) for r in smallest_hashes(rows, "doc_id", limit).collect())
     return out
 
 
@@ -185,17 +184,17 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int
 
 
 def _sample_scores(scored: DataFrame, ids: dict[int, int]) -> pd.DataFrame:
-    """Scores of the labelled sample; its size is bounded by ``ids``."""
+    """Scores of the labelled sample, one row per doc_id: of several rows that with the smallest hash of its text."""
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0).to_pylist()
-            held = [i for i, key in enumerate(keys) if key in ids]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1).take(pa.array(held, pa.int64())), pa.array([ids[keys[i]] for i in held], pa.int32())],
-                ["log_weight", "y"])
+            held = pa.array([i for i, key in enumerate(keys) if key in ids], pa.int64())
+            yield pa.RecordBatch.from_arrays([c.take(held) for c in batch.columns], batch.schema.names)
 
-    rows = scored.select(F.col("doc_id").cast("bigint"), "log_weight").mapInArrow(pick, "log_weight double, y int")
-    return rows.limit(4 * max(1, len(ids))).toPandas()
+    rows = scored.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("h"), "log_weight")
+    one = (rows.mapInArrow(pick, rows.schema).groupBy("doc_id")
+           .agg(F.min(F.struct("h", "log_weight")).alias("r")).select("doc_id", "r.log_weight").toPandas())
+    return one.assign(y=[ids[key] for key in one["doc_id"]])
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -9,7 +9,10 @@ to match that has no trigram (such as a run of hexadecimal digits) scans every t
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 from re import _constants as C
 from re import _parser
 
@@ -84,6 +87,25 @@ def trigram_query(pattern: str) -> list[frozenset[str]] | None:
     return sorted((q for q in query if not any(other < q for other in query)), key=sorted)
 
 
+CHUNK = 512  # spans that one fold goes over; folds copy what they gather
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _chunks(items: Column) -> Column:
+    """An array cut into arrays of :data:`CHUNK` elements."""
+    return _with(items, lambda a: F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(a) - 1) / CHUNK).cast("int")), lambda c: F.slice(a, c * CHUNK + 1, F.lit(CHUNK))))
+
+
+def _before(totals: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """Per element what ``add`` makes of 0 and all elements before it."""
+    return F.aggregate(totals, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(add(F.element_at(acc, -1), x))))
+
+
 def _key() -> Column:
     # Equal keys of different rows only make one more text a candidate.
     return F.xxhash64("doc_id", "text")
@@ -92,7 +114,9 @@ def _key() -> Column:
 def postings(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The inverted index of all trigrams that the rules ask for: ``trigram, doc`` (a hash of the row)."""
     wanted = sorted({t for rule in rules for way in trigram_query(rule.pattern) or () for t in way})
-    held = F.filter(F.array(*[F.lit(t) for t in wanted]), lambda t: F.contains(F.lower("text"), t))
+    asked = F.array(*[F.lit(t) for t in wanted])
+    # The lowered text is an element, so it is made once per text and not once per trigram.
+    held = _with(F.lower("text"), lambda low: F.filter(asked, lambda t: F.contains(low, t)))
     return docs.select(_key().alias("doc"), F.explode(held).alias("trigram"))
 
 
@@ -100,20 +124,19 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Documents whose postings meet some rule's query: ``doc, rules`` (positions in ``rules``)."""
     queries = {i: q for i, rule in enumerate(rules) if (q := trigram_query(rule.pattern)) is not None}
     trigrams = sorted({t for q in queries.values() for way in q for t in way})
-    assert len(trigrams) <= 126, "two masks of 63 trigrams"
+    words = range(max(1, -(-len(trigrams) // 63)))  # as many masks of 63 trigrams as the rules need
     place = {t: divmod(i, 63) for i, t in enumerate(trigrams)}
     number = F.create_map(*[x for i, t in enumerate(trigrams) for x in (F.lit(t), F.lit(i))])
     bit = F.element_at(number, F.col("trigram"))
     masks = [F.bit_or(F.when((bit >= 63 * k) & (bit < 63 * (k + 1)), F.expr(f"shiftleft(1L, n - {63 * k})"))
-                      .otherwise(F.lit(0).cast("bigint"))).alias(f"mask{k}") for k in range(2)]
+                      .otherwise(F.lit(0).cast("bigint"))).alias(f"mask{k}") for k in words]
     met = index.withColumn("n", bit).groupBy("doc").agg(*masks)
 
     def way(trigrams: frozenset[str]) -> Column:
-        need = [0, 0]
+        need = [0 for _ in words]
         for t in trigrams:
             need[place[t][0]] |= 1 << place[t][1]
-        return ((F.col("mask0").bitwiseAND(F.lit(need[0]).cast("bigint")) == need[0])
-                & (F.col("mask1").bitwiseAND(F.lit(need[1]).cast("bigint")) == need[1]))
+        return reduce(and_, [F.col(f"mask{k}").bitwiseAND(F.lit(n).cast("bigint")) == n for k, n in enumerate(need)])
 
     hits = F.array(*[F.when(F.exists(F.array(*[way(w) for w in q]), lambda x: x), F.lit(i))
                      for i, q in queries.items()])
@@ -128,24 +151,35 @@ def _spans(rule: Rule, position: int) -> Column:
     parts = F.arrays_zip(F.slice(F.split("text", rule.pattern, -1), F.lit(1), F.size(found)).alias("gap"),
                          found.alias("hit"), held.alias("held"))
     span = "struct<start:int,position:int,end:int,kind:string>"
+    # Lengths alone go through the folds; a chunk starts where the lengths before it end.
+    sizes = F.transform(parts, lambda x: F.struct(F.length(x["gap"]).alias("gap"), F.length(x["hit"]).alias("hit"),
+                                                  F.length(x["held"]).alias("held")))
 
     def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["hit"])
+        start = acc["at"] + x["gap"]
+        end = start + x["hit"]
         one = F.struct(start.alias("start"), F.lit(position).alias("position"), end.alias("end"),
                        F.lit(rule.kind).alias("kind"))
-        return F.struct(end.alias("at"), F.when(F.length(x["held"]) >= rule.least, F.concat(acc["out"], F.array(one)))
+        return F.struct(end.alias("at"), F.when(x["held"] >= rule.least, F.concat(acc["out"], F.array(one)))
                         .otherwise(acc["out"]).alias("out"))
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span}>").alias("out"))
-    return F.aggregate(parts, zero, step, lambda acc: acc["out"])
+    def spans(chunk: Column, at: Column) -> Column:
+        zero = F.struct(at.alias("at"), F.array().cast(f"array<{span}>").alias("out"))
+        return F.aggregate(chunk, zero, step, lambda acc: acc["out"])
+
+    def all_spans(chunks: Column) -> Column:
+        totals = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda n, x: n + x["gap"] + x["hit"]))
+        return F.flatten(F.zip_with(chunks, F.slice(_before(totals, lambda a, b: a + b), F.lit(1), F.size(chunks)), spans))
+
+    return F.when(F.size(found) > 0, _with(_chunks(sizes), all_spans)).otherwise(F.array().cast(f"array<{span}>"))
 
 
 def find_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """All columns of ``docs`` and ``spans``: an array of ``start, position, end, kind`` by start, then kind.
 
     A NULL or empty text has no span; NULL and repeated doc_ids are rows of their own; a column named
-    ``spans`` is replaced; an empty table gives an empty one. Texts are searched whole.
+    ``spans`` is replaced; an empty table gives an empty one. Texts are searched whole, however long and however many
+    hits they have: hits are gone through in chunks, so the time grows with the text and its hits.
     """
     docs = docs.drop("spans").withColumn("_doc", _key())
     found = candidates(postings(docs, rules), rules).select(F.col("doc").alias("_doc"), F.col("rules").alias("_rules"))
@@ -183,12 +217,30 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
 
 def _redacted(docs: DataFrame, rules: tuple[Rule, ...], mark: str) -> DataFrame:
     def step(acc: Column, s: Column) -> Column:
-        gap = F.col("text").substr(acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
-        put = F.when(s["start"] < acc["at"], F.lit("")).otherwise(F.lit(mark))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], gap, put).alias("out"))
-
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("spans", zero, step, lambda acc: F.concat(
-        acc["out"], F.col("text").substr(acc["at"] + 1, F.length("text"))))
+        """Pieces ``from, to`` of the text between marks; a span that starts inside an earlier one adds none."""
+        inside = s["start"] < acc["at"]
+        piece = F.struct(acc["at"].alias("from"), s["start"].alias("to"))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
+                        F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], F.array(piece))).alias("out"))
+
+    def pieces(chunk: Column, at: Column) -> Column:
+        zero = F.struct(at.alias("at"), F.array().cast("array<struct<from:int,to:int>>").alias("out"))
+        return F.aggregate(chunk, zero, step, lambda acc: acc["out"])
+
+    def marked(chunk: Column) -> Column:
+        """The text from a chunk's first piece to its last, cut out once, its pieces joined by the mark."""
+        first, last = F.get(chunk, F.lit(0)), F.element_at(chunk, -1)
+        part = F.col("text").substr(first["from"] + 1, last["to"] - first["from"])
+        return _with(part, lambda t: F.array_join(F.transform(
+            chunk, lambda p: F.substring(t, p["from"] - first["from"] + 1, p["to"] - p["from"])), mark))
+
+    def clean(chunks: Column) -> Column:
+        ends = F.transform(chunks, lambda c: F.array_max(F.transform(c, lambda s: s["end"])))
+        ats = F.slice(_before(ends, F.greatest), F.lit(1), F.size(chunks))
+        kept = F.filter(F.zip_with(chunks, ats, pieces), lambda c: F.size(c) > 0)
+        tail = F.expr("substring(text, array_max(transform(spans, s -> s.end)) + 1)")
+        return F.concat(F.array_join(F.transform(kept, marked), mark), F.lit(mark), tail)
+
+    clean = _with(_chunks(F.col("spans")), clean)
     return (find_spans(docs, rules).withColumn("text", F.when(F.size("spans") > 0, clean).otherwise(F.col("text")))
             .select(*docs.columns))

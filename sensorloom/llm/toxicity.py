@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import CACHE_WORDS
+from sensorloom.llm.common import CACHE_WORDS, discard, largest, smallest_hashes, stage
 
 DECAY = 0.6
 WIDEST = 20  # characters compared at once; a longer word is scored in overlapping windows
@@ -177,8 +177,7 @@ def sample_ids(labels: DataFrame, usable: Column, label: str = "toxic", limit: i
     known = labels.where(usable & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("y"))
     for y in (0, 1):
-        out.update((r.doc_id, y) for r in known.where(F.col("y") == y).distinct()
-                   .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).collect())
+        out.update((r.doc_id, y) for r in smallest_hashes(known.where(F.col("y") == y).distinct(), "doc_id", limit).collect())
     return out
 
 
@@ -240,8 +239,11 @@ def _worst(words: DataFrame, model: Model, limit: int) -> list:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.margins(batch.column(0).to_pylist()))],
                                              ["word", "clean", "margin"])
 
-    return (words.select("word", F.col("clean").cast("bigint")).mapInArrow(run, "word string, clean bigint, margin double")
-            .orderBy(F.col("margin").desc(), "word").limit(limit).collect())
+    told = stage(words.select("word", F.col("clean").cast("bigint")).mapInArrow(run, "word string, clean bigint, margin double"),
+                 "margins")
+    out = largest(told, F.col("margin"), limit, "word").collect()
+    discard(told)
+    return out
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column) -> Model:
@@ -253,20 +255,19 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column) -> Model:
     share = sum(ids.values()) / max(1, len(ids))
     flat = Model(np.zeros(1 << (3 * BITS), np.float32), LOW, np.zeros(OUTER))
     flat.outer[0] = np.log((share + 1e-9) / (1 - share + 1e-9))
-    words = sentence_words(docs, ids).cache()
+    words = stage(sentence_words(docs, ids), "sentence-words")
     total = words.agg(F.sum("toxic"), F.sum("clean")).first()
     if not total[0] or not total[1]:
-        words.unpersist()
+        discard(words)
         return flat
     odds = F.log((F.col("toxic") + 0.5) / float(total[0])) - F.log((F.col("clean") + 0.5) / float(total[1]))
     told = words.withColumn("odds", odds)
-    telling = told.where("toxic >= 4 and odds > 2").orderBy((F.col("odds") * F.sqrt("toxic")).desc(), "word") \
-        .limit(MAX_LANDMARKS).collect()
+    telling = largest(told.where("toxic >= 4 and odds > 2"), F.col("odds") * F.sqrt("toxic"), MAX_LANDMARKS, "word").collect()
     ordinary = told.where("clean >= 1 and odds <= 1.5")
-    common = ordinary.orderBy(F.col("clean").desc(), "word").limit(MAX_WORDS // 4).collect()
-    others = ordinary.orderBy(F.xxhash64("word"), "word").limit(MAX_WORDS // 4).collect()
+    common = largest(ordinary, F.col("clean"), MAX_WORDS // 4, "word").collect()
+    others = smallest_hashes(ordinary, "word", MAX_WORDS // 4).collect()
     if not telling or not common:
-        words.unpersist()
+        discard(words)
         return flat
     heads = [r.word for r in telling]
     clean = {r.word: r.clean for r in [*common, *others]}
@@ -283,19 +284,22 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column) -> Model:
             worst = _worst(ordinary, model, MAX_WORDS // 4)
             marks = list(dict.fromkeys([*marks, *[r.word for r in worst[:80] if r.margin > -0.5]]))
             clean.update((r.word, r.clean) for r in worst)
-    words.unpersist()
+    discard(words)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
         for batch in batches:
-            rows = [(ids[k], t) for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-                    if k in ids]
-            f = model.documents([t for _, t in rows], known)
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), *[pa.array(c) for c in f.T]],
-                                             ["y", *"abcde"])
-
-    fitted = docs.select("doc_id", "text").mapInArrow(features, "y int, a double, b double, c double, d double, e double") \
-        .limit(4 * len(ids)).toPandas().to_numpy(float)
+            rows = [(k, h, t) for k, h, t in zip(*(c.to_pylist() for c in batch.columns), strict=True) if k in ids]
+            f = model.documents([t for _, _, t in rows], known)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k for k, _, _ in rows], pa.int64()), pa.array([h for _, h, _ in rows], pa.int64()),
+                 pa.array([ids[k] for k, _, _ in rows], pa.int32()), *[pa.array(c) for c in f.T]], ["doc_id", "h", "y", *"abcde"])
+
+    # Of several rows with one doc_id the one with the smallest hash of its text.
+    fitted = (docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text"), F.col("text").cast("string"))
+              .mapInArrow(features, "doc_id bigint, h bigint, y int, a double, b double, c double, d double, e double")
+              .groupBy("doc_id").agg(F.min(F.struct("h", "y", *"abcde")).alias("r")).orderBy("doc_id")
+              .select("r.y", *[f"r.{c}" for c in "abcde"]).toPandas().to_numpy(float))
     model.outer = _logistic(_outer(fitted[:, 1:]), fitted[:, 0])
     return model
 
@@ -324,8 +328,9 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> Data
     """``doc_id, held_out, score, predicted`` for every document.
 
     Rows whose crc32 of the doc_id as text leaves 1 by 3 are held out: their labels are never learned from.
-    NULL and empty texts get the score of a text without words; a NULL doc_id is not held out; repeated rows
-    are scored alike; other columns are ignored.
+    NULL and empty texts get the score of a text without words; a very long text is scored whole, its strongest words
+    count; a NULL doc_id is not held out; repeated rows are scored alike, and of rows with one doc_id one is learned
+    from; other columns, whatever their names, are ignored.
     """
     model = train(docs, labels, remainder(F.col("doc_id")) != 1)
     return score(docs, model).select(

@@ -1,7 +1,11 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from sensorloom.llm import secrets
 from sensorloom.llm.queries import QUERIES
@@ -75,3 +79,39 @@ def test_query_matches_brute_force(spark, sf_dir):
         spans = brute(text)
         kinds = [s[3] for s in spans]
         assert got[doc_id] == (kinds.count("assign"), kinds.count("access"), kinds.count("hex"), lines(spans))
+
+
+def brute_redacted(text):
+    out, at = [], 0
+    for start, _, end, _ in brute(text):
+        if start >= at:
+            out += [text[at:start], "[SECRET]"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_many_hits_in_one_text(spark):
+    """Tens of thousands of hits, more than fit one chunk, overlapping and adjacent ones among them."""
+    rng = random.Random(5)
+    parts = ["token=abcdefgh%d " % i for i in range(1300)]
+    parts += ["é%s" % ("0123456789abcdef" * 2 if rng.random() < 0.5 else " password=" + "f" * 40) for _ in range(700)]
+    rng.shuffle(parts)
+    texts = ["".join(parts), "token=" + "0" * 40, "apikey:abcdefgh" * 512 + "x", "apikey:abcdefgh " * 513]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.spans for r in secrets.report(secrets.find_spans(docs)).collect()}
+    assert got == {i: lines(brute(t)) for i, t in enumerate(texts)}
+    assert {r.doc_id: r.text for r in secrets.redact(docs).collect()} == {i: brute_redacted(t) for i, t in enumerate(texts)}
+    many = spark.createDataFrame([(1, "token=abcdefgh1 x\n" * 32_000)], "doc_id bigint, text string")
+    start = time.time()
+    assert secrets.find_spans(many).select(F.size("spans")).first()[0] == 32_000
+    assert secrets.redact(many).first().text == "[SECRET] x\n" * 32_000
+    assert time.time() - start < 60
+
+
+def test_many_rules(spark):
+    """More trigrams than two masks hold."""
+    rules = tuple(secrets.Rule(f"kind{i}", f"key{i:03d}[a-z]{{2,}}") for i in range(200))
+    docs = spark.createDataFrame([(i, f"some key{i:03d}abc text key{(i + 1) % 200:03d} end") for i in range(0, 200, 7)],
+                                 "doc_id bigint, text string")
+    got = {r.doc_id: [(s["start"], s["end"], s["kind"]) for s in r.spans] for r in secrets.find_spans(docs, rules).collect()}
+    assert got == {i: [(5, 14, f"kind{i}")] for i in range(0, 200, 7)}
