@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 
 from sensorloom.llm.common import stage
 
-SHARD = 4_000  # different vectors per shard, about
+SHARD, SMALL = 50_000, 4_000  # different vectors per shard: at most about, and at least if there are tasks to spare
 DEGREE, BEAM, RELAX = 32, 64, 1.2
 WIDE = 160  # beam of a query
 ROUND = 256  # vectors inserted, or queries searched, at once
-INDEX = "dim int, shard int, n int, start int, vectors binary, graph binary, ids binary"
+INDEX = "dim int, shard int, n int, start int, vectors binary, graph binary, ids binary, node binary"
 
 
 def valid(table: DataFrame) -> DataFrame:
@@ -36,12 +36,15 @@ def valid(table: DataFrame) -> DataFrame:
 
 
 def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
-    """``v, ids``: each different vector once with its ``k + 1`` smallest ids, which is all that a result can hold.
+    """``v, ids``: each different direction once with its ``k + 1`` smallest ids, which is all that a result can hold.
 
-    The rank is cut before the shuffle, so a vector with a third of all rows moves few of them.
+    A direction is the vector over its largest component, so copies scaled by a power of two are one: all their
+    cosines are equal. The rank is cut before the shuffle, so a direction with a third of all rows moves few of them.
     """
+    top = F.array_max(F.transform("v", F.abs))
+    scaled = rows.withColumn("top", top).withColumn("v", F.transform("v", lambda x: x / F.col("top") + 0.0))
     rank = F.row_number().over(W.partitionBy("key", "v").orderBy("vec_id"))
-    return (rows.withColumn("key", F.xxhash64("v")).withColumn("r", rank).where(F.col("r") <= k + 1)
+    return (scaled.withColumn("key", F.xxhash64("v")).withColumn("r", rank).where(F.col("r") <= k + 1)
             .groupBy("key", "v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")))
 
 
@@ -137,65 +140,108 @@ class Graph:
         return np.where(np.isfinite(score), ids, -1), score
 
 
+def unit_vectors(raw: np.ndarray) -> np.ndarray:
+    """Vectors of length one as the graph sees them; safe for very large and very small numbers."""
+    scaled = raw / np.abs(raw).max(1, keepdims=True)
+    return (scaled / np.linalg.norm(scaled, axis=1, keepdims=True)).astype(np.float32)
+
+
 def build_index(rows: DataFrame, k: int = 5) -> DataFrame:
-    """One row per shard with its vectors, graph and ids; shards hold about :data:`SHARD` vectors of one length."""
+    """One row per shard with its vectors, graph and ids; vectors of a shard have one length.
+
+    Vectors that the graph cannot tell apart are one node of it, so none hides the others; ``node`` says which.
+    """
     unique = stage(distinct_vectors(rows, k), "vectors")
-    shards = max(1, -(-unique.count() // SHARD))
+    n = unique.count()
+    shards = max(1, -(-n // SHARD), min(rows.sparkSession.sparkContext.defaultParallelism, -(-n // SMALL)))
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("key", kind="stable")
         raw = np.stack(frame["v"].to_numpy()).astype(np.float64)
-        unit = (raw / np.linalg.norm(raw / np.abs(raw).max(1, keepdims=True), axis=1, keepdims=True)
-                / np.abs(raw).max(1, keepdims=True)).astype(np.float32)
+        unit, node = np.unique(unit_vectors(raw), axis=0, return_inverse=True)
+        order = np.argsort(node.ravel(), kind="stable")
         graph = Graph.build(unit)
-        ids = np.full((len(raw), k + 1), -1, np.int64)
+        ids = np.zeros((len(raw), k + 2), np.int64)
         for i, own in enumerate(frame["ids"]):
-            ids[i, :len(own)] = own
-        held = np.array([len(x) for x in frame["ids"]], np.int64)
+            ids[i, 0], ids[i, 1:len(own) + 1] = len(own), own
         return pd.DataFrame({"dim": [raw.shape[1]], "shard": [frame["shard"].iloc[0]], "n": [len(raw)], "start": [graph.start],
-                             "vectors": [raw.tobytes()], "graph": [graph.edges.tobytes()],
-                             "ids": [np.column_stack([held, ids]).tobytes()]})
+                             "vectors": [raw[order].tobytes()], "graph": [graph.edges.tobytes()],
+                             "ids": [ids[order].tobytes()], "node": [node.ravel()[order].astype(np.int64).tobytes()]})
 
-    dealt = unique.select("v", "ids", F.size("v").alias("dim"), F.pmod("key", F.lit(shards)).cast("int").alias("shard"))
+    dealt = unique.select("key", "v", "ids", F.size("v").alias("dim"), F.pmod("key", F.lit(shards)).cast("int").alias("shard"))
     return stage(dealt.repartition(shards, "dim", "shard").groupBy("dim", "shard").applyInPandas(build, INDEX), "index")
 
 
+class ShardSearch:
+    """One shard's graph, its vectors sorted by node, and the nearest of them to some queries."""
+
+    def __init__(self, n: int, dim: int, start: int, vectors: bytes, graph: bytes, ids: bytes, node: bytes) -> None:
+        self.vectors = np.frombuffer(vectors).reshape(n, dim)
+        listed = np.frombuffer(ids, np.int64).reshape(n, -1)
+        self.ids = listed[:, 1:]  # as many as the first column says
+        self.held = np.arange(self.ids.shape[1]) < listed[:, :1]
+        node_of = np.frombuffer(node, np.int64)
+        self.first = np.searchsorted(node_of, np.arange(node_of[-1] + 2))
+        unit = unit_vectors(self.vectors[self.first[:-1]])
+        self.graph = Graph(unit, np.frombuffer(graph, np.int32).reshape(len(unit), -1), start)
+
+    def nearest(self, asked: np.ndarray, own: np.ndarray, k: int, beam: int) -> list[tuple[int, int, float]]:
+        """``(query, vec_id, score)``: all vectors of the found nodes compete by exact cosine, then id."""
+        found, _ = self.graph.search(unit_vectors(asked), max(beam, 4 * k))
+        out = []
+        for i, nodes in enumerate(found):
+            nodes = nodes[nodes >= 0]
+            size = self.first[nodes + 1] - self.first[nodes]
+            rows = np.repeat(self.first[nodes] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            ids = self.ids[rows]
+            score = np.repeat(cosine(asked[i], self.vectors[rows]), ids.shape[1])
+            ids = ids.ravel()
+            good = self.held[rows].ravel() & (ids != own[i])
+            ids, score = ids[good], score[good]
+            best = np.lexsort((ids, -score))[:k]
+            out += [(int(own[i]), int(v), float(s)) for v, s in zip(ids[best], score[best], strict=True)]
+        return out
+
+
 def search_index(index: DataFrame, queries: DataFrame, k: int = 5, beam: int = WIDE) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` nearest found of each query ``(vec_id, v)`` but itself."""
-    blocks = (queries.withColumn("dim", F.size("v")).withColumn("block", F.floor(F.monotonically_increasing_id() / ROUND))
-              .groupBy("dim", "block").agg(F.collect_list(F.struct("vec_id", "v")).alias("queries")))
-    # A query set in blocks meets every shard of its length; shards are dealt to tasks of their own.
+    """``query_id, rank, vec_id, score``: the ``k`` nearest found of each query ``(vec_id, v)`` but itself.
+
+    Every shard of a length meets all its queries: its row comes first in the task's stream, then the queries,
+    a block at a time, so a task holds one shard and one block.
+    """
     last = index.select(F.max("shard")).first()[0] or 0
-    spread = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(last))))
-    met = (index.repartition(last + 1, "dim", "shard").join(spread.repartition(last + 1, "dim", "shard"), ["dim", "shard"])
-           .select("n", "dim", "start", "vectors", "graph", "ids", "queries"))
+    no = F.lit(None)
+    shards = index.select("dim", "shard", F.lit(0).alias("kind"), no.cast("bigint").alias("vec_id"), no.cast("array<double>").alias("v"),
+                          F.struct("n", "dim", "start", "vectors", "graph", "ids", "node").alias("held"))
+    spread = queries.select(F.size("v").alias("dim"), F.explode(F.sequence(F.lit(0), F.lit(last))).alias("shard"), F.lit(1).alias("kind"),
+                            "vec_id", "v", no.cast(shards.schema["held"].dataType).alias("held"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, shard, asked = None, None, []
+
+        def answer() -> pa.RecordBatch:
+            found = shard.nearest(np.array([v for _, v in asked], np.float64), np.array([i for i, _ in asked], np.int64), k, beam) \
+                if shard else []
+            return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate(
+                (pa.int64(), pa.int64(), pa.float64()))], ["query_id", "vec_id", "score"])
+
         for batch in batches:
-            for row in batch.to_pylist():
-                n, dim = row["n"], row["dim"]
-                raw = np.frombuffer(row["vectors"]).reshape(n, dim)
-                top = np.abs(raw).max(1, keepdims=True)
-                unit = (raw / np.linalg.norm(raw / top, axis=1, keepdims=True) / top).astype(np.float32)
-                graph = Graph(unit, np.frombuffer(row["graph"], np.int32).reshape(n, -1), row["start"])
-                ids = np.frombuffer(row["ids"], np.int64).reshape(n, -1)
-                asked = np.array([q["v"] for q in row["queries"]], np.float64)
-                own = np.array([q["vec_id"] if q["vec_id"] is not None else -1 for q in row["queries"]])
-                scale = np.abs(asked).max(1, keepdims=True)
-                length = np.linalg.norm(asked / scale, axis=1)
-                near, _ = graph.search((asked / scale / length[:, None]).astype(np.float32), max(beam, 4 * k))
-                out: list[list] = [[], [], []]
-                for i, found in enumerate(near):
-                    found = found[found >= 0]
-                    exact = cosine(asked[i], raw[found])
-                    pick = np.argsort(-exact, kind="stable")[:2 * k + 2]
-                    pairs = sorted((-exact[j], int(v)) for j in pick for v in ids[found[j], 1:1 + ids[found[j], 0]] if v != own[i])[:k]
-                    out[0] += [int(own[i])] * len(pairs)
-                    out[1] += [v for _, v in pairs]
-                    out[2] += [-s for s, _ in pairs]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                    out, (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "vec_id", "score"])
-
-    found = met.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
+            for dim, number, kind, vec_id, v, held in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if asked and ((dim, number) != key or len(asked) == ROUND):
+                    yield answer()
+                    asked = []
+                if (dim, number) != key:
+                    key, shard = (dim, number), None
+                if kind == 0:
+                    shard = ShardSearch(**held)
+                else:
+                    asked.append((vec_id, v))
+        if asked:
+            yield answer()
+
+    order = ["dim", "shard", "kind", "vec_id"]
+    found = (shards.unionByName(spread).repartition(last + 1, "dim", "shard").sortWithinPartitions(*order)
+             .mapInArrow(run, "query_id bigint, vec_id bigint, score double"))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.distinct().withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

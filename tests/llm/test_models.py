@@ -265,3 +265,44 @@ def test_report_equals_all_windows_against_all_items(spark, monkeypatch):
     assert len(want) >= 15 and got == want
     monkeypatch.setattr(decontaminate, "ITEMS", 5)
     assert {(r.doc_id, r.item_id) for r in decontaminate.report(docs, benchmark).collect()} == want
+
+
+def exact_nearest(rows, every, k):
+    held = [(i, np.array(v, np.float64)) for i, v in rows]
+    out = {}
+    for q, v in held:
+        if q % every == 0:
+            scored = sorted((-float(vamana.cosine(v, w[None])[0]), i) for i, w in held if i != q and len(w) == len(v))
+            out[q] = [(i, -s) for s, i in scored[:k]]
+    return out
+
+
+def found_nearest(spark, rows, every=50, k=5, schema="vec_id bigint, embedding array<double>"):
+    out = {}
+    for r in sorted(vamana.nearest(spark.createDataFrame(rows, schema), every, k).collect(), key=lambda r: (r.query_id, r["rank"])):
+        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    return out
+
+
+def test_vamana_equal_directions_tie_by_id(spark):
+    """Scaled copies of one direction, by powers of two and by other numbers, beside others."""
+    rng = np.random.default_rng(3)
+    base, other = rng.standard_normal(12), rng.standard_normal(12)
+    rows = [(i, (base * 2.0 ** (i % 40 - 20)).tolist()) for i in range(50)]
+    got = found_nearest(spark, rows)
+    assert [i for i, _ in got[0]] == [1, 2, 3, 4, 5]
+    rows += [(i, (base * (1 + i % 7)).tolist()) for i in range(50, 150)]  # equal up to rounding
+    rows += [(i, (other + 1e-9 * rng.standard_normal(12)).tolist()) for i in range(150, 260)]
+    assert found_nearest(spark, rows) == exact_nearest(rows, 50, 5)
+
+
+def test_vamana_shards_names_and_negative_ids(spark, monkeypatch):
+    monkeypatch.setattr(vamana, "SMALL", 100)
+    monkeypatch.setattr(vamana, "ROUND", 7)
+    rng = np.random.default_rng(4)
+    rows = [(i - 600, rng.standard_normal(6 if i % 5 else 3).tolist(), "n", 1, 2, 3.0) for i in range(1200)]
+    got = found_nearest(spark, rows, schema="vec_id bigint, embedding array<double>, n string, shard int, kind int, top double")
+    want = exact_nearest([r[:2] for r in rows], 50, 5)
+    assert got.keys() == want.keys()
+    hit = np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 5 for q in want])
+    assert hit >= 0.99

@@ -17,9 +17,7 @@ from tests.llm.conftest import document_rows, odd_texts
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    tokenizer = Tokenizer.from_file(vocabulary_path())
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(vocabulary_path())
 
 
 def ids_of(tokenizer, text, end):
@@ -27,7 +25,7 @@ def ids_of(tokenizer, text, end):
 
 
 def test_encoder_is_the_tokenizer(tokenizer):
-    mixed = ["a  b\n\n c\t d \n", " <|endoftext|>x", "　a\xa0 b\x1c c", " ", "\n\n", "don't  we'll", "a\nb", "\na", "a\n", "a\n\nb",
+    mixed = ["hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|><|endoftext|> b", "<|endoftext| >", "a  b\n\n c\t d \n", " <|endoftext|>x", "　a\xa0 b\x1c c", " ", "\n\n", "don't  we'll", "a\nb", "\na", "a\n", "a\n\nb",
              "x\x85y  z", "1²½ x１２", "é é 漢字 🙂🙂 a'S 'll", "a.b.c...", "​ x y", "́a b́"]
     enc = Encoder(vocabulary_path())
     for text in [*mixed, *odd_texts(), *mixed]:
