@@ -13,7 +13,9 @@ common subsequence with the item's words and by a check of the item's last part,
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -54,7 +56,7 @@ class _Numbers(dict):
 
 
 class Vocabulary:
-    """Word to its number: content words of the items from 0, other words -1, no content -2."""
+    """Word to its number: content words of the items from 0, their other words after those, words of no item -1."""
 
     def __init__(self, items: list[tuple[int, list[str]]], held: dict[str, int] | None = None, total: int = 0) -> None:
         """``held`` says in how many of all ``total`` items a word stands; without it ``items`` are all."""
@@ -69,10 +71,9 @@ class Vocabulary:
             if sum(w in content for w in set(words)) < 3:
                 content.update(words)
         self.words = sorted(content)
-        self.number = {w: i for i, w in enumerate(self.words)}
-        self.number.update((w, -2) for w in held if w not in content)
-        self.number[""] = -2
-        self.mark = zlib.crc32("\n".join(self.words).encode())
+        common = sorted({w for _, words in items for w in words} - content)
+        self.number = {w: i for i, w in enumerate([*self.words, *common])}
+        self.mark = zlib.crc32("\n".join(self.number).encode())
 
     def of(self, texts: list[str | None]) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
         """Words of each text, their numbers put together, and the words per text."""
@@ -81,7 +82,7 @@ class Vocabulary:
             store.clear()
         words = [(text or "").split() for text in texts]
         n = np.array([len(w) for w in words], np.int64)
-        return words, np.fromiter((x for ws in words for x in map(store.__getitem__, ws)), np.int32, int(n.sum())), n
+        return words, np.fromiter(map(store.__getitem__, chain.from_iterable(words)), np.int32, int(n.sum())), n
 
 
 def _pieces(n: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +95,7 @@ def _pieces(n: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _presence(numbers: np.ndarray, piece: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Different ``(piece, number)`` pairs of content words, by piece."""
-    held = numbers >= 0
+    held = (numbers >= 0) & (numbers < width)
     pairs = np.unique(piece[held].astype(np.int64) * width + numbers[held])
     return pairs // width, pairs % width
 
@@ -187,7 +188,7 @@ class Model:
         self.item_of = [i for i, _ in parts]
         rows = np.zeros((len(parts), width))
         for i, (_, words) in enumerate(parts):
-            held = sorted({vocabulary.number[w] for w in words if vocabulary.number[w] >= 0})
+            held = sorted({vocabulary.number[w] for w in words if vocabulary.number[w] < width})
             rows[i, held] = idf[held]
         self.size = np.linalg.norm(rows, axis=1)
         latent = (rows / idf) @ self.axes
@@ -197,12 +198,9 @@ class Model:
         number, self.part = np.nonzero(rows.T)
         self.share = idf[number] ** 2 / self.size[self.part] ** 2
         self.parts_of = np.searchsorted(number, np.arange(width + 1))
-        self.masks = []
-        for _, words in items:
-            mask: dict[str, int] = {}
-            for i, w in enumerate(words):
-                mask[w] = mask.get(w, 0) | 1 << i
-            self.masks.append(mask)
+        numbered_items = [[vocabulary.number[w] for w in words] for _, words in items]
+        self.masks = [places(words) for words in numbered_items]
+        self.tails = [places(words[-max(1, len(words) // 3):]) for words in numbered_items]
 
     def candidates(self, numbers: np.ndarray, n: np.ndarray) -> list[tuple[int, int, int, float]]:
         """``(text, first word, item, cosine)`` of all windows that are near a part of an item or hold enough of it."""
@@ -240,40 +238,42 @@ class Model:
 
     def leaks(self, texts: list[str | None]) -> list[list[dict]]:
         """Items found in each text, one entry per item: where, and how alike."""
-        _, numbers, n = self.vocabulary.of(texts)
-        return self.settled(numbers, n, lambda i: texts[i])
+        return self.settled(*self.vocabulary.of(texts)[1:])
 
-    def settled(self, numbers: np.ndarray, n: np.ndarray, text_of: Callable[[int], str | None]) -> list[list[dict]]:
-        """:meth:`leaks` of texts whose words are numbered already; only texts with candidates are read."""
+    def settled(self, numbers: np.ndarray, n: np.ndarray) -> list[list[dict]]:
+        """:meth:`leaks` of texts by the numbers of their words, in which all words of the items differ."""
         out: list[dict[int, dict]] = [{} for _ in n]
-        words: dict[int, list[str]] = {}
+        stop = np.cumsum(n)
         for text, word, item, cosine in self.candidates(numbers, n):
-            if text not in words:
-                words = {text: (text_of(text) or "").split()}  # candidates come text by text
             item_id, asked = self.items[item]
-            low = max(0, word - len(asked))
-            region = [plain(w) for w in words[text][low:word + CHUNK * CHUNKS + len(asked)]]
+            begin, end = int(stop[text] - n[text]), int(stop[text])
+            region = numbers[begin + max(0, word - len(asked)):min(end, begin + word + CHUNK * CHUNKS + len(asked))].tolist()
             whole = lcs(self.masks[item], region, len(asked)) / len(asked)
             best = out[text].get(item_id)
             if whole < LCS_WITH_ANSWER or best and best["lcs"] >= whole:
                 continue
-            tail = asked[-max(1, len(asked) // 3):]
-            mask: dict[str, int] = {}
-            for i, w in enumerate(tail):
-                mask[w] = mask.get(w, 0) | 1 << i
-            answer = lcs(mask, region, len(tail)) / len(tail)
+            tail = max(1, len(asked) // 3)
+            answer = lcs(self.tails[item], region, tail) / tail
             if whole >= LCS or answer >= ANSWER and len(asked) >= 10:  # half of a few words is chance
                 out[text][item_id] = {"item_id": item_id, "word": word, "cosine": cosine, "lcs": whole, "answer": answer}
         return [list(found.values()) for found in out]
 
 
-def lcs(mask: dict[str, int], words: list[str], length: int) -> int:
+def places(words: Sequence) -> dict:
+    """The places of each word as bits."""
+    out: dict = {}
+    for i, w in enumerate(words):
+        out[w] = out.get(w, 0) | 1 << i
+    return out
+
+
+def lcs(mask: dict, words: Sequence, length: int) -> int:
     """Length of the longest common subsequence; ``mask`` has the places of each word as bits."""
     full = (1 << length) - 1
     row = full
     for word in words:
-        hit = row & mask.get(word, 0)
-        row = ((row + hit) | (row - hit)) & full
+        if hit := row & mask.get(word, 0):
+            row = ((row + hit) | (row - hit)) & full
     return length - row.bit_count()
 
 
@@ -296,37 +296,41 @@ def _word_counts(items: DataFrame) -> DataFrame:
                  .agg(F.count(F.lit(1)).alias("n")), "item-words")
 
 
-def number_words(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``docs`` with ``_numbers``, the numbers of the words of its text; a table of its own."""
-    names = docs.columns
-    kind = "<i2" if len(vocabulary.words) < 1 << 15 else "<i4"
+def _kind(vocabulary: Vocabulary) -> str:
+    return "<i2" if len(vocabulary.number) < 1 << 15 else "<i4"
+
+
+def number_words(docs: DataFrame, vocabulary: Vocabulary, columns: Sequence[str]) -> DataFrame:
+    """``columns`` of ``docs`` and ``_numbers``, the numbers of the words of its text; a table of its own."""
+    kind = _kind(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, texts = [], batch.column(names.index("text"))
+            out = []
             for at in range(0, batch.num_rows, 256):
-                _, numbers, n = vocabulary.of(texts.slice(at, 256).to_pylist())
+                _, numbers, n = vocabulary.of(batch.column(0).slice(at, 256).to_pylist())
                 out += [part.tobytes() for part in np.split(numbers.astype(kind), np.cumsum(n)[:-1])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*names, "_numbers"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(out, pa.binary())], [*columns, "_numbers"])
 
-    return stage(docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_numbers", T.BinaryType())])), "numbered-words")
+    schema = T.StructType([*docs.select(*columns).schema.fields, T.StructField("_numbers", T.BinaryType())])
+    text = F.col("text").alias("_text")
+    return stage(docs.select(text, *columns).mapInArrow(run, schema), "numbered-words")
 
 
-def _numbers(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+def _numbers(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
     held = [x or b"" for x in column.to_pylist()]
-    kind = "<i2" if width < 1 << 15 else "<i4"
     return np.frombuffer(b"".join(held), kind).astype(np.int32), np.array([len(x) // np.dtype(kind).itemsize for x in held], np.int64)
 
 
 def fit(docs: DataFrame, items: list[tuple[int, list[str]]], vocabulary: Vocabulary) -> Model:
     """Statistics of all documents, whose words are numbered, for these items."""
-    width = len(vocabulary.words)
+    width, kind = len(vocabulary.words), _kind(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = Sketch(width)
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
-                sketch.add(*_numbers(batch.column(0).slice(low, 256), width))
+                sketch.add(*_numbers(batch.column(0).slice(low, 256), kind))
         for low, packed in sketch.rows():
             yield pa.RecordBatch.from_arrays([pa.array([low], pa.int32()), pa.array([packed], pa.binary())], ["low", "packed"])
 
@@ -348,40 +352,50 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     windows. A benchmark of more than :data:`ITEMS` items is looked for block by block; which words are content words
     is decided over all of it, so an item is judged by the same words in any block.
     """
-    docs = docs.drop("leaks", "_numbers")
-    out = docs.withColumn("text", F.col("text").cast("string")).withColumn("leaks", F.array().cast(LEAKS))
-    schema = out.schema
+    out = docs.drop("leaks", "_numbers").withColumn("text", F.col("text").cast("string")).withColumn("leaks", F.array().cast(LEAKS))
+    for model, vocabulary in _models(benchmark):
+        out = _search(out, out.columns, model, vocabulary)
+    return out
+
+
+def _models(benchmark: DataFrame) -> Iterator[tuple[Callable[[DataFrame], Model], Vocabulary]]:
+    """Per block of items its vocabulary, and what makes its model of documents with numbered words."""
     items = _items(benchmark)
     held, total = _word_counts(items), items.count()
-    spark = docs.sparkSession
     for low in range(0, total, ITEMS):
         block = items.where((F.col("rank") >= low) & (F.col("rank") < low + ITEMS))
         told = block.select(F.explode("words").alias("word")).distinct().join(held, "word").collect()
         mine = [(r.item_id, r.words) for r in block.orderBy("rank").collect()]
         vocabulary = Vocabulary(mine, {r.word: r.n for r in told}, total)
-        words = number_words(out, vocabulary)
-        shared = spark.sparkContext.broadcast(fit(words, mine, vocabulary))
-        names, width = out.columns, len(vocabulary.words)
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, names=names, width=width) -> Iterator[pa.RecordBatch]:
-            model = shared.value
-            kind = pa.list_(pa.struct([("item_id", pa.int64()), ("word", pa.int32()), ("cosine", pa.float64()),
-                                       ("lcs", pa.float64()), ("answer", pa.float64())]))
-            for batch in batches:
-                texts, numbers, found = batch.column(names.index("text")), batch.column(len(names)), []
-                for at in range(0, batch.num_rows, 256):
-                    found += model.settled(*_numbers(numbers.slice(at, 256), width), lambda i, at=at: texts[at + i].as_py())
-                found = [a + b for a, b in zip(batch.column(names.index("leaks")).to_pylist(), found, strict=True)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(found, kind)], names)
-
-        out = words.select(*names, "_numbers").mapInArrow(run, schema)
-    return out
+        yield (lambda words, mine=mine, vocabulary=vocabulary: fit(words, mine, vocabulary)), vocabulary
+
+
+def _search(docs: DataFrame, columns: Sequence[str], model_of: Callable[[DataFrame], Model], vocabulary: Vocabulary) -> DataFrame:
+    """``columns`` of ``docs``, the last of which is ``leaks``, with the leaks of one block of items added."""
+    words = number_words(docs, vocabulary, columns)
+    shared = docs.sparkSession.sparkContext.broadcast(model_of(words))
+    schema, kind = docs.select(*columns).schema, _kind(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed = pa.list_(pa.struct([("item_id", pa.int64()), ("word", pa.int32()), ("cosine", pa.float64()),
+                                     ("lcs", pa.float64()), ("answer", pa.float64())]))
+        for batch in batches:
+            found = []
+            for at in range(0, batch.num_rows, 256):
+                found += shared.value.settled(*_numbers(batch.column(batch.num_columns - 1).slice(at, 256), kind))
+            found = [a + b for a, b in zip(batch.column(batch.num_columns - 2).to_pylist(), found, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(found, listed)], list(columns))
+
+    return words.mapInArrow(run, schema)
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and item found in it."""
-    return (find_leaks(docs.select("doc_id", F.col("text").cast("string").alias("text")), benchmark)
-            .select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*"))
+    plain_docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("leaks", F.array().cast(LEAKS))
+    # The numbers of the words say it all, so the texts are not written again.
+    found = [_search(plain_docs, ["doc_id", "leaks"], model, vocabulary) for model, vocabulary in _models(benchmark)]
+    every = reduce(DataFrame.unionByName, found) if found else plain_docs.drop("text").limit(0)
+    return every.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
 def keep(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
