@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable, Iterable, Sequence
 from pathlib import Path
 from typing import Any
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -17,6 +19,8 @@ from sensorloom.session import scratch
 
 # Words a Python worker keeps between batches; beyond that the store starts anew.
 CACHE_WORDS = 700_000
+#: Pieces of text an encoder keeps in each of its three stores; they hold ids besides the text.
+CACHE_PIECES = 300_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -146,6 +150,8 @@ def own_store(name: str, make: Callable[[], Any]) -> Any:
     """
     if name not in _stores:
         _stores.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
         _stores[name] = make()
     return _stores[name]
 
@@ -260,7 +266,7 @@ class Encoder:
         if any(token in text for token in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
         for known in (self.later, self.first, self.cuts):
-            if len(known) > CACHE_WORDS:
+            if len(known) > CACHE_PIECES:
                 known.clear()
         pieces = text.replace("\n", " \n").split(" ")
         head = self.first[pieces[0]]
