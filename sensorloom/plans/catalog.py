@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from sensorloom.sources.constraints import set_properties, sql_text
@@ -30,6 +32,19 @@ def view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+@contextmanager
+def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+    """Keep the rows of ``df`` at hand while the block runs; what does not fit in memory goes to disk.
+
+    Blocks that are lost with an executor are computed again. Nothing is computed until the first action.
+    """
+    held = df.persist(level)
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
 def define_table(
     name: str, df: DataFrame, comment: str | None = None, path: str | None = None,
     props: dict[str, str] | None = None,

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from sensorloom.functions.records import encode
 from sensorloom.operators.analytics import top_k
-from sensorloom.plans import define_table, register, view
-from sensorloom.session import scratch
+from sensorloom.plans import cached, define_table, register, reset, view
+from sensorloom.session import path_exists, scratch
 from sensorloom.sources import create, insert, scan, table, write
 from sensorloom.workload import frames
 from sensorloom.workload.registry import query
@@ -139,3 +139,27 @@ def temp_view_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 def encode_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = frames.events(spark, sf_dir)
     return encode(rows, F.col("user_id").cast("double"), ["event_id", "user_id", "event_type"])
+
+
+@query("cached_rows", """SELECT 'all' AS part, count(*) AS n, min(event_id) AS first, max(event_id) AS last FROM events WHERE value >= 5
+    UNION ALL SELECT event_type, count(*), min(event_id), max(event_id) FROM events WHERE value >= 5 GROUP BY event_type""")
+def cached_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two aggregates over rows that are computed once."""
+    totals = [F.count("*").alias("n"), F.min("event_id").alias("first"), F.max("event_id").alias("last")]
+    out = scratch(spark, "totals")
+    with cached(frames.events(spark, sf_dir).where("value >= 5").select("event_id", "event_type")) as rows:
+        write(rows.agg(*totals).select(F.lit("all").alias("part"), "*"), out)
+        write(rows.groupBy(F.col("event_type").alias("part")).agg(*totals), out)
+    return scan(spark, out)
+
+
+@query("reset_flow", "SELECT event_id, user_id, false AS other_there, false AS files_there FROM events")
+def reset_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table and its folder are cleared, the table beside it stays."""
+    root, (gone, kept) = scratch(spark, "flow"), (_table_name("gone"), _table_name("kept"))
+    rows = frames.events(spark, sf_dir).select("event_id", "user_id")
+    for name in (gone, kept):
+        write(rows, name, "overwrite", path=f"{root}/{name}")
+    reset(spark, [gone], [f"{root}/{gone}"], root)
+    return table(spark, kept).withColumn("other_there", F.lit(spark.catalog.tableExists(gone))) \
+        .withColumn("files_there", F.lit(path_exists(spark, f"{root}/{gone}")))

@@ -162,6 +162,19 @@ def trained_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.class_metrics(pred).withColumn("auroc", F.lit(model.auroc(pred)))
 
 
+@query("trained_confusion", f"""SELECT CAST(embedding[1] > 0 AS INTEGER)::DOUBLE AS label, CAST(embedding[1] > 0 AS INTEGER)::DOUBLE AS prediction,
+    count(*) AS n FROM embeddings WHERE NOT ({_MD5.format(key='vec_id', seed=42)} < 3006477107) GROUP BY 1""")
+def trained_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search, fit and test where the status follows from the sign of one feature: every test row has to be right."""
+    first = VIBRATION_COLUMNS[0]
+    rows = frames.features(spark, sf_dir).withColumn(first, F.when(F.col(first) > 0, 1.0).otherwise(-1.0)) \
+        .withColumn("status", F.when(F.col(first) > 0, "damaged").otherwise("healthy"))
+    train, test = features.split(rows, [0.7, 0.3], 42, "vec_id", "md5")
+    trained = model.train(train, VIBRATION_COLUMNS, "status", "damaged", depths=(2, 3), folds=2, iters=5)
+    labelled, _ = features.label_index(test, "status", positive="damaged")
+    return model.confusion(model.score(trained.scorer, labelled))
+
+
 @query("production_scores")
 def production_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train, log, register, promote, load, and score the whole table."""

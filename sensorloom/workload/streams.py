@@ -15,7 +15,7 @@ from sensorloom.operators import analytics, layout
 from sensorloom.operators.ledger import Ledger
 from sensorloom.operators.quality import Rule, add_check, apply_rules
 from sensorloom.plans import medallion
-from sensorloom.session import scratch
+from sensorloom.session import scratch, scratch_root
 from sensorloom.sources import create, scan, table, write
 from sensorloom.workload import frames
 from sensorloom.workload.aggregation import WINDOW_SQL, flat_windows, window_means
@@ -345,3 +345,33 @@ def stream_expectation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         with streaming.RuleLog(spark, "rules", counts) as log:
             log.finished(streaming.to_path(checked, landed, checkpoint))
     return streaming.rule_report(spark, counts, rules)
+
+
+@query("checkpoint_root", "SELECT event_id, value FROM events")
+def checkpoint_root(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that names no checkpoint keeps it below the session's folder: started again, it adds nothing."""
+    name, conf = _name("rooted"), "spark.sql.streaming.checkpointLocation"
+    before = spark.conf.get(conf, None)
+    streaming.configure(spark, scratch(spark, "checkpoints"))
+    try:
+        for _ in range(2):
+            stream = frames.events_stream(spark, sf_dir).select("event_id", "value")
+            streaming.to_table(stream, name, name=name, path=f"{scratch_root(spark)}/{name}").awaitTermination()
+    finally:
+        spark.conf.unset(conf) if before is None else spark.conf.set(conf, before)
+    return table(spark, name)
+
+
+@query("stop_streams", "SELECT CAST(2 AS BIGINT) AS stopped, CAST(0 AS BIGINT) AS active, 2 * count(*) AS landed FROM events")
+def stop_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams run side by side until both are stopped together; what they landed stays."""
+    out = scratch(spark, "landed")
+    running = [streaming.to_path(frames.events_stream(spark, sf_dir).select("event_id"), f"{out}/part={i}",
+                                 scratch(spark, "checkpoint"), "1 second") for i in range(2)]
+    for stream in running:
+        stream.processAllAvailable()
+    stopped = streaming.stop_all(spark)
+    active = sum(stream.isActive for stream in running)
+    landed = spark.read.schema("event_id BIGINT").parquet(*[f"{out}/part={i}" for i in range(2)])
+    return landed.agg(F.lit(stopped).cast("bigint").alias("stopped"), F.lit(active).cast("bigint").alias("active"),
+                      F.count("*").alias("landed"))
