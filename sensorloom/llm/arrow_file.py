@@ -1,7 +1,8 @@
 """Token ids as Arrow files of fixed-size lists.
 
-A file holds equal-length sequences of one range of doc_ids and, beside them, a mask of bytes that are 1 where a
-token is; record batches have a fixed number of sequences, so sequence ``i`` lies in batch ``i // rows``
+A file holds equal-length sequences of one range of doc_ids and, beside them, masks of bytes that are 1 where a
+token is. Only the last sequence of a file is padded, so the masks are a dictionary of the file: that of a full
+sequence and, with the last batch, that of the padded one. Record batches have a fixed number of sequences, so sequence ``i`` lies in batch ``i // rows``
 at place ``i % rows`` and is read as a slice of the mapped file, without a copy. A second small file per
 range lists its documents. File names follow from the partition, and a file appears under its name only
 when complete, so a task that runs again replaces its own file.
@@ -41,9 +42,9 @@ class SequenceWriter:
     def __init__(self, sink, dtype: np.dtype, length: int, rows: int) -> None:
         self.length, self.rows, self.dtype = length, rows, dtype
         value = pa.from_numpy_dtype(dtype)
-        self.schema = pa.schema([("ids", pa.list_(value, length)), ("mask", pa.list_(pa.uint8(), length))],
+        self.schema = pa.schema([("ids", pa.list_(value, length)), ("mask", pa.dictionary(pa.int8(), pa.list_(pa.uint8(), length)))],
                                 metadata={"length": str(length), "rows": str(rows)})
-        self.out = pa.ipc.new_file(sink, self.schema)
+        self.out = pa.ipc.new_file(sink, self.schema, options=pa.ipc.IpcWriteOptions(emit_dictionary_deltas=True))
         self.waiting: list[bytes] = []
         self.size, self.total = 0, 0
 
@@ -60,14 +61,16 @@ class SequenceWriter:
             self.waiting, self.size = [data[whole:]], len(data) - whole
 
     def _batch(self, ids: np.ndarray) -> None:
-        n = -(-len(ids) // self.length) * self.length
-        mask = np.zeros(n, np.uint8)
-        mask[:len(ids)] = 1
-        padded = np.zeros(n, self.dtype)
+        n = -(-len(ids) // self.length)
+        padded = np.zeros(n * self.length, self.dtype)
         padded[:len(ids)] = ids
+        which, masks = np.zeros(n, np.int8), np.ones(self.length, np.uint8)
+        if short := n * self.length - len(ids):
+            which[-1] = 1
+            masks = np.concatenate([masks, np.ones(self.length - short, np.uint8), np.zeros(short, np.uint8)])
+        fixed = lambda values: pa.FixedSizeListArray.from_arrays(pa.array(values), self.length)
         self.out.write_batch(pa.RecordBatch.from_arrays(
-            [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (padded, mask)],
-            schema=self.schema))
+            [fixed(padded), pa.DictionaryArray.from_arrays(pa.array(which), fixed(masks))], schema=self.schema))
 
     def close(self) -> None:
         rest = np.frombuffer(b"".join(self.waiting), self.dtype)
@@ -96,8 +99,10 @@ class SequenceFile:
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and mask of sequence ``i``, both views of the file."""
         batch, row = self._batch(i // self.rows), i % self.rows
-        part = slice(row * self.length, (row + 1) * self.length)
-        return batch.column(0).values.to_numpy()[part], batch.column(1).values.to_numpy()[part]
+        mask = batch.column(1)
+        at = mask.indices[row].as_py()
+        return (batch.column(0).values.to_numpy()[row * self.length:(row + 1) * self.length],
+                mask.dictionary.values.to_numpy()[at * self.length:(at + 1) * self.length])
 
     def tokens(self, start: int, n: int) -> np.ndarray:
         """``n`` ids from place ``start`` of the stream."""

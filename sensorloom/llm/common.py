@@ -19,8 +19,8 @@ from sensorloom.session import scratch
 
 # Words a Python worker keeps between batches; beyond that the store starts anew.
 CACHE_WORDS = 700_000
-#: Pieces of text an encoder keeps in each of its three stores; they hold ids besides the text.
-CACHE_PIECES = 300_000
+#: Pieces of text in each of an encoder's stores; twice as many with those of the round before.
+CACHE_PIECES = 250_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -199,9 +199,19 @@ class _Pieces(dict):
 
     def __init__(self, owner: Encoder, lead: str) -> None:
         super().__init__()
-        self.owner, self.lead = owner, lead
+        self.owner, self.lead, self.older = owner, lead, {}
+
+    def turn(self) -> None:
+        """Start anew; pieces of this round are still known in the next one."""
+        if len(self) > CACHE_PIECES:
+            self.older = dict(self)
+            self.clear()
 
     def __missing__(self, piece: str) -> bytes | None:
+        ids = self.older.get(piece)
+        if ids is not None:
+            self[piece] = ids
+            return ids
         body = piece[1:] if piece[:1] == "\n" else piece
         if not body or body[0] in SPACE or body[-1] in SPACE:
             return None
@@ -210,6 +220,17 @@ class _Pieces(dict):
         return ids
 
 
+class _Cuts(_Pieces):
+    """Cut to its ids."""
+
+    def __init__(self, owner: Encoder) -> None:
+        super().__init__(owner, "")
+
+    def __missing__(self, cut: str) -> bytes:
+        ids = self[cut] = self.older.get(cut) or self.owner.merged(cut)
+        return ids
+
+
 class Encoder:
     """Token ids of whole texts by a byte-level BPE file of the ``tokenizers`` library.
 
@@ -234,7 +255,7 @@ class Encoder:
         self.alphabet = {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
         self.as_bytes = [np.array(i, self.dtype).tobytes() for i in range(tokenizer.get_vocab_size())]
         self.first, self.later = _Pieces(self, ""), _Pieces(self, " ")
-        self.cuts: dict[str, bytes] = {}
+        self.cuts = _Cuts(self)
 
     def merged(self, cut: str) -> bytes:
         """Ids of one cut, from the library's merge table."""
@@ -245,15 +266,8 @@ class Encoder:
         word = text.rstrip(".,!?;:")
         body = word[1:] if word[:1] == " " else word
         if body.isalpha():  # a word and its closing marks: two cuts, most pieces
-            ids = self.cuts.get(word)
-            if ids is None:
-                ids = self.cuts[word] = self.merged(word)
             tail = text[len(word):]
-            if not tail:
-                return ids
-            if tail not in self.cuts:
-                self.cuts[tail] = self.merged(tail)
-            return ids + self.cuts[tail]
+            return self.cuts[word] + self.cuts[tail] if tail else self.cuts[word]
         return b"".join(map(self.merged, self.cut.findall(text)))
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
@@ -266,8 +280,7 @@ class Encoder:
         if any(token in text for token in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
         for known in (self.later, self.first, self.cuts):
-            if len(known) > CACHE_PIECES:
-                known.clear()
+            known.turn()
         pieces = text.replace("\n", " \n").split(" ")
         head = self.first[pieces[0]]
         try:

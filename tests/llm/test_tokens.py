@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from sensorloom.llm import arrow_file, packing
+from sensorloom.llm import arrow_file, common, packing
 from sensorloom.llm.common import Encoder, vocabulary_path
 from sensorloom.session import scratch
 from tests.llm.conftest import document_rows, odd_texts
@@ -87,3 +87,31 @@ def test_empty_tables(spark, none):
     assert packing.pack(none, vocabulary_path()).collect() == []
     manifest = arrow_file.write_sequences(none, scratch(spark, "files"), vocabulary_path())
     assert manifest.count() == 0 and arrow_file.read_documents(manifest).collect() == []
+
+
+def test_encoder_keeps_its_ids_when_stores_turn(tokenizer, monkeypatch):
+    monkeypatch.setattr(common, "CACHE_PIECES", 5)
+    enc = Encoder(vocabulary_path())
+    for text in [*odd_texts(), *odd_texts()]:
+        assert np.frombuffer(enc.encode_one(text or ""), enc.dtype).tolist() == ids_of(tokenizer, text, 0)[:-1].tolist()
+        assert max(len(enc.later.older), len(enc.cuts.older)) < 4000
+
+
+def test_masks_are_views_of_the_file(tmp_path):
+    path = str(tmp_path / "x.arrow")
+    for total in (0, 7, 64, 200):
+        with open(path, "wb") as sink:
+            writer = arrow_file.SequenceWriter(sink, np.dtype("<u2"), 8, 4)
+            ids = np.arange(total, dtype="<u2")
+            for low in range(0, total, 5):
+                writer.add(ids[low:low + 5].tobytes())
+            writer.close()
+        if not total:
+            continue
+        file = arrow_file.SequenceFile(path)
+        for i in range(-(-total // 8)):
+            got, mask = file.sequence(i)
+            n = min(8, total - 8 * i)
+            assert got[:n].tolist() == ids[8 * i:8 * i + n].tolist() and mask.tolist() == [1] * n + [0] * (8 - n)
+            assert not got.flags.owndata and not mask.flags.owndata and not mask.flags.writeable
+        file.close()
