@@ -20,7 +20,7 @@ from sensorloom.session import scratch
 # Words a Python worker keeps between batches; beyond that the store starts anew.
 CACHE_WORDS = 700_000
 #: Pieces of text in each of an encoder's stores; twice as many with those of the round before.
-CACHE_PIECES = 250_000
+CACHE_PIECES = 350_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -201,11 +201,13 @@ class _Pieces(dict):
         super().__init__()
         self.owner, self.lead, self.older = owner, lead, {}
 
-    def turn(self) -> None:
-        """Start anew; pieces of this round are still known in the next one."""
-        if len(self) > CACHE_PIECES:
-            self.older = dict(self)
-            self.clear()
+    def turned(self) -> _Pieces:
+        """This store, or when it is full an empty one that still knows its pieces."""
+        if len(self) <= CACHE_PIECES:
+            return self
+        fresh = type(self)(self.owner, self.lead)
+        fresh.older, self.older = self, {}
+        return fresh
 
     def __missing__(self, piece: str) -> bytes | None:
         ids = self.older.get(piece)
@@ -223,9 +225,6 @@ class _Pieces(dict):
 class _Cuts(_Pieces):
     """Cut to its ids."""
 
-    def __init__(self, owner: Encoder) -> None:
-        super().__init__(owner, "")
-
     def __missing__(self, cut: str) -> bytes:
         ids = self[cut] = self.older.get(cut) or self.owner.merged(cut)
         return ids
@@ -255,11 +254,14 @@ class Encoder:
         self.alphabet = {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
         self.as_bytes = [np.array(i, self.dtype).tobytes() for i in range(tokenizer.get_vocab_size())]
         self.first, self.later = _Pieces(self, ""), _Pieces(self, " ")
-        self.cuts = _Cuts(self)
+        self.cuts = _Cuts(self, "")
 
     def merged(self, cut: str) -> bytes:
         """Ids of one cut, from the library's merge table."""
-        mapped = cut.encode().decode("latin-1").translate(self.alphabet)
+        if cut.isascii() and cut.isprintable():  # of these only the space has another character in the alphabet
+            mapped = cut.replace(" ", self.alphabet[32])
+        else:
+            mapped = cut.encode().decode("latin-1").translate(self.alphabet)
         return b"".join([self.as_bytes[token.id] for token in self.model.tokenize(mapped)])
 
     def ids(self, text: str) -> bytes:
@@ -279,8 +281,7 @@ class Encoder:
             return b""
         if any(token in text for token in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-        for known in (self.later, self.first, self.cuts):
-            known.turn()
+        self.later, self.first, self.cuts = self.later.turned(), self.first.turned(), self.cuts.turned()
         pieces = text.replace("\n", " \n").split(" ")
         head = self.first[pieces[0]]
         try:
