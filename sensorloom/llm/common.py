@@ -214,6 +214,11 @@ class _Pieces(dict):
         if ids is not None:
             self[piece] = ids
             return ids
+        word = piece.rstrip(".,!?;:")
+        if word.isalpha():  # a word and its closing marks: two cuts, most pieces
+            tail = piece[len(word):]
+            ids = self[piece] = self[word] + self.owner.cuts[tail] if tail else self.owner.merged(self.lead + word)
+            return ids
         body = piece[1:] if piece[:1] == "\n" else piece
         if not body or body[0] in SPACE or body[-1] in SPACE:
             return None
@@ -265,12 +270,7 @@ class Encoder:
         return b"".join([self.as_bytes[token.id] for token in self.model.tokenize(mapped)])
 
     def ids(self, text: str) -> bytes:
-        word = text.rstrip(".,!?;:")
-        body = word[1:] if word[:1] == " " else word
-        if body.isalpha():  # a word and its closing marks: two cuts, most pieces
-            tail = text[len(word):]
-            return self.cuts[word] + self.cuts[tail] if tail else self.cuts[word]
-        return b"".join(map(self.merged, self.cut.findall(text)))
+        return b"".join(map(self.cuts.__getitem__, self.cut.findall(text)))
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """Ids of each text as little-endian integers of ``dtype``; NULL counts as empty."""
