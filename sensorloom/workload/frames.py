@@ -34,6 +34,19 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return file_stream(spark, f"{sf_dir}/events.parque[t]", EVENTS_DDL)
 
 
+def land_files(rows: DataFrame, path: str, least: int, take: int = 2, files: int = 64, batches: int = 16) -> int:
+    """Write ``rows`` as files for a stream; returns how many of them a micro-batch takes, ``take`` at least.
+
+    A file holds ``least`` rows, or more where that makes over ``files`` files (and a last one per writing task): a file
+    and a micro-batch have their cost in listings and log entries whatever they hold, so they grow with the table
+    and their numbers do not.
+    """
+    count = rows.count()
+    size = max(least, -(-count // files))
+    rows.write.option("maxRecordsPerFile", size).parquet(path)
+    return max(take, -(-count // (size * batches)))
+
+
 def readings(events: DataFrame) -> DataFrame:
     """Events as decoded readings: device, time, speed and the event number."""
     return events.select(

@@ -251,9 +251,9 @@ def stream_scores_today(spark: SparkSession, sf_dir: str) -> DataFrame:
     files, out = scratch(spark, "incoming"), scratch(spark, "scored")
     day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("vec_id", F.lit(5)).cast("int"))
     rows = frames.features(spark, sf_dir).withColumn("ts", day.cast("timestamp"))
-    rows.write.option("maxRecordsPerFile", 100).parquet(files)
+    take = frames.land_files(rows, files, 100, take=8)
     scorer = _trained(spark, sf_dir).scorer
-    today = on_day(streaming.file_stream(spark, files, rows.schema, max_files=8), "ts", dt.date(2024, 1, 3))
+    today = on_day(streaming.file_stream(spark, files, rows.schema, max_files=take), "ts", dt.date(2024, 1, 3))
     scored = model.score(scorer, today, ["vec_id", "ts"])
     streaming.to_path(scored, out, scratch(spark, "checkpoint")).awaitTermination()
     batch = model.score(scorer, rows, ["vec_id", "ts"]).withColumnRenamed("prediction", "expected")

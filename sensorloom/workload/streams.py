@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from sensorloom import streaming
 from sensorloom.functions import decode
-from sensorloom.operators import analytics, layout
+from sensorloom.operators import analytics
 from sensorloom.operators.ledger import Ledger
 from sensorloom.operators.quality import Rule, add_check, apply_rules
 from sensorloom.plans import medallion
@@ -37,9 +37,8 @@ def _land(df: DataFrame, label: str = "landed") -> DataFrame:
 @query("file_stream", "SELECT event_id, user_id, value FROM events")
 def file_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = scratch(spark, "incoming")
-    frames.events(spark, sf_dir).select("event_id", "user_id", "value") \
-        .write.option("maxRecordsPerFile", 2000).parquet(files)
-    return _land(streaming.file_stream(spark, files, "event_id BIGINT, user_id BIGINT, value DOUBLE", max_files=2))
+    take = frames.land_files(frames.events(spark, sf_dir).select("event_id", "user_id", "value"), files, 2000)
+    return _land(streaming.file_stream(spark, files, "event_id BIGINT, user_id BIGINT, value DOUBLE", max_files=take))
 
 
 @query("file_stream_inferred", "SELECT event_id, event_type, value FROM events")
@@ -201,12 +200,11 @@ def declarative_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     The sources have several files each and every micro-batch takes a few of them.
     """
     live, history = scratch(spark, "live"), scratch(spark, "history")
-    rows, size = frames.events(spark, sf_dir), {"maxRecordsPerFile": 1000}
-    frames.messages(rows.where("event_id % 2 = 0")).write.options(**size).parquet(live)
-    frames.raw(rows.where("event_id % 2 <> 0")).select("value", "key").write.options(**size).parquet(history)
-    files = max(2, layout.bucket_count(spark, f"{sf_dir}/events.parquet", least=2))
-    messages = streaming.message_stream(streaming.file_stream(spark, live, infer=True, max_files=files))
-    records = streaming.file_stream(spark, history, infer=True, max_files=files)
+    rows = frames.events(spark, sf_dir)
+    newer = frames.land_files(frames.messages(rows.where("event_id % 2 = 0")), live, 1000)
+    older = frames.land_files(frames.raw(rows.where("event_id % 2 <> 0")).select("value", "key"), history, 1000)
+    messages = streaming.message_stream(streaming.file_stream(spark, live, infer=True, max_files=newer))
+    records = streaming.file_stream(spark, history, infer=True, max_files=older)
     silver = medallion.silver(medallion.bronze(messages, records), frames.READING_DDL, FLOW_RULES)
     gold = medallion.gold(silver.withColumnRenamed("ID", "id"), frames.status(spark, sf_dir))
     return _land(gold.select("id", F.col("EVENT").alias("event"), "status"))

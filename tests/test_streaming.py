@@ -14,7 +14,7 @@ from sensorloom.operators.gold import label
 from sensorloom.plans import medallion
 from sensorloom.session import scratch
 from sensorloom.sources import create, table
-from sensorloom.workload import frames
+from sensorloom.workload import frames, streams
 
 DDL = "id INT, ts TIMESTAMP, v DOUBLE"
 
@@ -198,3 +198,24 @@ def test_copy_into_counts_every_batch(spark):
     finally:
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     assert loaded == 60
+
+
+@pytest.mark.parametrize("name", ["file_stream", "declarative_stream"])
+def test_micro_batches_do_not_multiply_with_the_table(spark, tmp_path, monkeypatch, name):
+    n = 200_000
+    spark.range(n).selectExpr("id AS event_id", "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS ts", "id % 9 + 1 AS user_id",
+                              "'view' AS event_type", "0.5D AS value", "'{}' AS props").write.parquet(f"{tmp_path}/events.parquet")
+    spark.sql("SELECT 1L AS s_suppkey, 2.0D AS s_acctbal").write.parquet(f"{tmp_path}/supplier.parquet")
+    made = []
+    monkeypatch.setattr(streams, "scratch", lambda *a: made.append(scratch(*a)) or made[-1])
+    assert getattr(streams, name)(spark, str(tmp_path)).count() == n
+    commits = next(pathlib.Path(p) / "commits" for p in made if pathlib.Path(p).name.startswith("checkpoint"))
+    assert 2 <= len([f for f in commits.iterdir() if f.name.isdigit()]) <= 24
+
+
+def test_landed_files_grow_and_their_number_does_not(spark):
+    for n, take, most in [(0, 2, 9), (1000, 2, 18), (50_000, 4, 72)]:
+        path = scratch(spark, "landed")
+        assert frames.land_files(spark.range(n), path, 100) == take
+        assert len(list(pathlib.Path(path).glob("*.parquet"))) <= most
+        assert spark.read.schema("id BIGINT").parquet(path).distinct().count() == n
