@@ -2,15 +2,17 @@
 
 Texts are lower-cased (A-Z only) and cut into words at ASCII white space; a word is its bytes and a closing
 space, and a text ends with a symbol of its own. Bytes are sent bit by bit along a prefix code made from the
-training words. For every bit six contexts inside the word (the last 1, 2, 3, 4 and 6 bytes, and the whole word
-so far) are hashed to counts of zeros and ones. Their log odds are combined by one of 80 weight sets, which a
+training words. For every bit six contexts (the last 1, 2, 3, 4 and 6 bytes, and the whole word so far) are hashed
+to counts of zeros and ones. For the first :data:`HEAD` bytes of a word the byte contexts reach over its start into
+the text before it, :data:`TAIL` bytes back; later ones see the word alone. Their log odds are combined by one of 80 weight sets, which a
 gate chooses by the place in the word and by how often the word so far was seen; a table adapted on the way maps
 the mixed probability to the one that was observed. The product over the bits is a distribution over all words.
 Inside a text the words said so far are one more predictor: :data:`RECENT` trust it to different degrees, and
 the evidence of the text itself weighs them, word after word.
 
-The work follows the corpus: counts are taken over every training text. Words are counted in chunks and summed,
-so whatever is done per bit is done once per different word. Counts are additive and are summed over tasks; the
+The work follows the corpus: counts are taken over every training text. Words and
+openings (the bytes before a word and its first ones) are counted in chunks and summed, so whatever is done per bit
+is done once per different word, for its first bytes once per different opening. Counts are additive and are summed over tasks; the
 weights are learned online in each task, each word predicted as if its own occurrence were not yet counted, and
 averaged by the evidence behind them. A model has a fixed largest size, :data:`MAX_BITS`.
 """
@@ -24,7 +26,7 @@ from itertools import islice
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,8 @@ from sensorloom.llm.common import discard, stage
 
 ORDERS = (1, 2, 3, 4, 6, 0)  # bytes of context; 0 is the word so far
 MIN_BITS, MAX_BITS = 12, 22  # slots of the widest context's table: 2 to the power of these
+#: First bytes of a word, its end included, that are predicted from the text before it, and how many bytes of that.
+HEAD, TAIL = 3, 3
 CHUNK_BYTES, CHUNK_DOCS = 24 << 20, 100_000  # texts of one chunk, about
 SLICE = 1 << 20  # words of whole texts whose probabilities are adapted at once
 SHARE = 1_000_000  # different words per task that learns
@@ -74,18 +78,65 @@ def prefix_code(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return nodes, bits, depth
 
 
+def ends(words: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Per word its first bytes with its end, and its last bytes above their number, as whole numbers."""
+    heads = b"".join([(w[:HEAD] + b" " if w else b"\n")[:HEAD].ljust(HEAD, b"\0") for w in words])
+    tails = b"".join([w[-TAIL:].rjust(TAIL, b"\0") for w in words])
+    size = np.fromiter((min(len(w), TAIL) for w in words), np.int64, len(words))
+    packed = [np.frombuffer(b, np.uint8).reshape(-1, 3).astype(np.int64) @ np.array([1 << 16, 1 << 8, 1]) for b in (heads, tails)]
+    return packed[0], size << 24 | packed[1]
+
+
+def openings(head: np.ndarray, tail: np.ndarray, ids: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Per word of the texts the bytes before it (one space between words) and its first bytes, as a whole number.
+
+    ``head`` and ``tail`` are the :func:`ends` of the words that ``ids`` number. Before a text stands another's end.
+    """
+    starts = np.cumsum(length) - length
+    last, size = tail[ids] & 0xFFFFFF, tail[ids] >> 24
+    gap = np.full(len(ids), CLOSE)
+    gap[starts] = END
+    earlier = np.concatenate([[END], last[:-1] & 255])
+    earlier[starts] = END
+    after = np.where(size == 3, last, np.where(size == 2, gap << 16 | last, earlier << 16 | gap << 8 | last))
+    before = np.concatenate([[0], after[:-1]])
+    before[starts] = END << 16 | END << 8 | END
+    return before << 24 | head[ids]
+
+
+def opened(keys: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+    """First bytes of words and the bytes before them, from their numbers."""
+    heads, tails = [], []
+    for key in keys.tolist():
+        raw = key.to_bytes(6, "big")
+        head = raw[3:]
+        # Nothing stands behind the end of a word.
+        tails.append(raw[:3])
+        heads.append(head[:1] if head[0] == END else head[:head.find(b" ") + 1] if b" " in head else head)
+    return heads, tails
+
+
 class Events:
-    """The bits of some words: ``word`` (its number), ``bit``, and the slot of every context."""
+    """The bits of some words: ``word`` (its number), ``bit``, and the slot of every context.
+
+    Without ``tails`` they are whole words at the start of a text. Otherwise a word with a tail is the first bytes of
+    one, and the tail stands before it; of a word whose tail is None only what follows its first bytes counts.
+    """
 
-    def __init__(self, words: Sequence[bytes], code: tuple, sizes: Sequence[int]) -> None:
+    def __init__(self, words: Sequence[bytes], code: tuple, sizes: Sequence[int], tails: Sequence[bytes | None] | None = None) -> None:
         nodes, bits, depth = code
-        flat = np.frombuffer(b"".join([w + b" " if w else b"\n" for w in words]), np.uint8)
-        length = np.fromiter((len(w) + 1 if w else 1 for w in words), np.int64, len(words))
+        tails = [None] * len(words) if (whole := tails is None) else tails
+        spelled = [w if t is not None else w + b" " if w else b"\n" for w, t in zip(words, tails, strict=True)]
+        flat = np.frombuffer(b"".join(spelled), np.uint8)
+        length = np.fromiter(map(len, spelled), np.int64, len(words))
         first = np.repeat(np.cumsum(length) - length, length)
         place = np.arange(len(flat)) - first
-        contexts = self._contexts(flat, first, place)
-        steps = depth[flat]
-        at = np.repeat(np.arange(len(flat)), steps)
+        opening = np.repeat(np.fromiter((t is not None for t in tails), bool, len(words)), length)
+        near = np.frombuffer(b"".join([t or b"\0" * TAIL for t in tails]), np.uint8).reshape(-1, TAIL)[:, ::-1]
+        contexts = self._contexts(flat, first, place, opening, np.repeat(near, length, 0) if opening.any() else None)
+        used = np.flatnonzero(opening | whole | (place >= HEAD))
+        steps = depth[flat[used]]
+        at = np.repeat(used, steps)
         within = np.arange(len(at)) - np.repeat(np.cumsum(steps) - steps, steps)
         symbol = flat[at]
         node = nodes[symbol, within] * _FACTOR
@@ -99,15 +150,20 @@ class Events:
             self.slots.append(((mixed * _FACTOR) >> np.uint64(64 - size)).astype(np.int64))
 
     @staticmethod
-    def _contexts(flat: np.ndarray, first: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
+    def _contexts(flat: np.ndarray, first: np.ndarray, place: np.ndarray, opening: np.ndarray,
+                  near: np.ndarray | None) -> list[np.ndarray]:
         codes = _BYTE[flat]
         out, hashed, last = {}, np.zeros(len(flat), np.uint64), 0
         for order in sorted(o for o in ORDERS if o):
             for back in range(last + 1, order + 1):
-                # Before the word stands one mark; nothing of the word before it is seen.
+                # Before the word stands one mark, and before that the text's earlier bytes, the nearest first.
                 before = np.zeros(len(flat), np.uint64)
                 before[back:] = codes[:-back] if back < len(flat) else 0
-                hashed = (hashed + np.where(place >= back, before, np.where(place == back - 1, _BYTE[256], np.uint64(0)))) * _FACTOR
+                before = np.where(place >= back, before, np.where(place == back - 1, _BYTE[256], np.uint64(0)))
+                if near is not None:
+                    seen = np.flatnonzero(opening & (place <= back - 2) & (place > back - 2 - TAIL))
+                    before[seen] = _BYTE[near[seen, back - 2 - place[seen]]]
+                hashed = (hashed + before) * _FACTOR
             out[order], last = hashed * _BYTE[order], order
         power = np.cumprod(np.full(len(flat), _FACTOR, np.uint64))
         back = np.cumprod(np.full(len(flat), _INVERSE, np.uint64))
@@ -160,24 +216,25 @@ class Model:
         observed = share[gate, low] * (1 - part) + share[gate, low + 1] * part
         return np.clip((1 / (1 + np.exp(-odds)) + observed) / 2, 1e-6, 1 - 1e-6)
 
-    def log10(self, words: Sequence[bytes]) -> np.ndarray:
-        """log10 of the probability of each word."""
+    def log10(self, words: Sequence[bytes], tails: Sequence[bytes | None] | None = None) -> np.ndarray:
+        """log10 of the probability of each word, or part of one (see :class:`Events`)."""
         out = np.zeros(len(words))
         for at in range(0, len(words), STEP):
-            events = Events(words[at:at + STEP], self.code, self.sizes)
+            events = Events(words[at:at + STEP], self.code, self.sizes, tails and tails[at:at + STEP])
             x, gate = self.inputs(events, unseen=False)
             one = self.refined(self.mixed(x, gate), gate)
             said = np.log10(np.where(events.bit == 1, one, 1 - one))
             out[at:at + STEP] = np.bincount(events.word, said, min(STEP, len(words) - at))
         return out
 
-    def learn(self, words: Sequence[bytes], counts: np.ndarray, pace: np.ndarray, evidence: np.ndarray, last: bool = True) -> None:
+    def learn(self, words: Sequence[bytes], counts: np.ndarray, pace: np.ndarray, evidence: np.ndarray, last: bool = True,
+              tails: Sequence[bytes | None] | None = None) -> None:
         """One online step: predict the words, then move the weights of the gates met and note what followed.
 
         A word weighs its count. ``pace`` sums squared slopes, ``evidence`` weights per gate. What followed is noted in
         the ``last`` pass over the words only.
         """
-        events = Events(words, self.code, self.sizes)
+        events = Events(words, self.code, self.sizes, tails)
         x, gate = self.inputs(events, unseen=True)
         odds = self.mixed(x, gate)
         weight = counts[events.word]
@@ -198,7 +255,8 @@ class Model:
 
 
 def chunks(docs: DataFrame, held_out: Column) -> DataFrame:
-    """Texts in chunks: the different words of a chunk, their counts in training texts, and the texts as word numbers.
+    """Texts in chunks: the different words of a chunk, their counts in training texts, and the texts as word numbers;
+    also the different openings of the training texts with their counts.
 
     A chunk is some megabytes of texts, or one longer text. The end of a text is the empty word.
     """
@@ -212,14 +270,17 @@ def chunks(docs: DataFrame, held_out: Column) -> DataFrame:
             ids = np.concatenate([r[3] for r in rows])
             trained = np.repeat([not r[1] for r in rows], [len(r[3]) for r in rows])
             counts = np.bincount(ids[trained], minlength=len(known))
+            lengths = np.array([len(r[3]) for r in rows])
+            opening, times = np.unique(openings(*ends(list(known)), ids, lengths)[trained], return_counts=True)
             listed = lambda values, kind: pa.array([values], pa.list_(kind))
             return pa.RecordBatch.from_arrays(
                 [pa.array([part << 32 | number], pa.int64()), listed(list(known), pa.binary()), listed(counts, pa.int64()),
                  listed([r[0] or 0 for r in rows], pa.int64()), listed([r[0] is not None for r in rows], pa.bool_()),
                  listed([r[1] for r in rows], pa.bool_()),
                  listed([r[2] for r in rows], pa.int64()), listed([len(r[3]) for r in rows], pa.int64()),
-                 pa.array([ids.astype("<i4").tobytes()], pa.large_binary()).cast(pa.binary())],
-                ["chunk", "words", "trained", "doc_ids", "named", "held", "sizes", "lengths", "tokens"])
+                 pa.array([ids.astype("<i4").tobytes()], pa.large_binary()).cast(pa.binary()),
+                 listed(opening, pa.int64()), listed(times, pa.int64())],
+                ["chunk", "words", "trained", "doc_ids", "named", "held", "sizes", "lengths", "tokens", "openings", "times"])
 
         for batch in batches:
             for doc_id, held, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
@@ -238,7 +299,8 @@ def chunks(docs: DataFrame, held_out: Column) -> DataFrame:
     held = F.coalesce(held_out, F.lit(False))
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held.alias("held"), F.col("text").cast("string").alias("text")) \
         .mapInArrow(run, "chunk bigint, words array<binary>, trained array<bigint>, doc_ids array<bigint>, named array<boolean>, "
-                         "held array<boolean>, sizes array<bigint>, lengths array<bigint>, tokens binary")
+                         "held array<boolean>, sizes array<bigint>, lengths array<bigint>, tokens binary, "
+                         "openings array<bigint>, times array<bigint>")
 
 
 def vocabulary(chunked: DataFrame) -> DataFrame:
@@ -247,22 +309,34 @@ def vocabulary(chunked: DataFrame) -> DataFrame:
     return pairs.groupBy(F.col("p.words").alias("word")).agg(F.sum("p.trained").alias("c"))
 
 
-def _in_steps(batches: Iterator[pa.RecordBatch], size: int = STEP) -> Iterator[tuple[list[bytes], np.ndarray]]:
+def opening_counts(chunked: DataFrame) -> DataFrame:
+    """``word, c, opening``: every different opening of the training texts with its count; ``word`` is NULL."""
+    pairs = chunked.select(F.explode(F.arrays_zip("openings", "times")).alias("p"))
+    counted = pairs.groupBy(F.col("p.openings").alias("opening")).agg(F.sum("p.times").alias("c"))
+    return counted.select(F.lit(None).cast("binary").alias("word"), "c", "opening")
+
+
+def _in_steps(batches: Iterator[pa.RecordBatch], size: int = STEP) -> Iterator[tuple[list[bytes], np.ndarray, list[bytes | None]]]:
+    """Words, counts and tails (see :class:`Events`) of rows ``word, c, opening``."""
     for batch in batches:
         words, counts = batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(np.float64)
+        tails: list[bytes | None] = [None] * len(words)
+        rows = np.flatnonzero(batch.column(2).is_valid().to_numpy(zero_copy_only=False))
+        for row, head, tail in zip(rows.tolist(), *opened(batch.column(2).drop_null().to_numpy()), strict=True):
+            words[row], tails[row] = head, tail
         for at in range(0, len(words), size):
-            yield words[at:at + size], counts[at:at + size]
+            yield words[at:at + size], counts[at:at + size], tails[at:at + size]
 
 
 def _byte_counts(words: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(256, np.int64)
-        for step, _ in _in_steps(batches):
+        for step, _, _ in _in_steps(batches):
             total += np.bincount(np.frombuffer(b"".join([w + b" " if w else b"\n" for w in step]), np.uint8), minlength=256)
         yield pa.RecordBatch.from_arrays([pa.array(range(256), pa.int32()), pa.array(total)], ["byte", "n"])
 
     out = np.zeros(256, np.int64)
-    for row in words.mapInArrow(run, "byte int, n bigint").groupBy("byte").agg(F.sum("n").alias("n")).collect():
+    for row in words.where("opening IS NULL").mapInArrow(run, "byte int, n bigint").groupBy("byte").agg(F.sum("n").alias("n")).collect():
         out[row.byte] = row.n
     return out
 
@@ -271,8 +345,8 @@ def _count_bits(words: DataFrame, code: tuple, sizes: Sequence[int]) -> list[np.
     """Counts of zeros and ones per slot, summed over the tasks block by block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = [np.zeros(2 << size, np.int64) for size in sizes]
-        for step, counts in _in_steps(batches):
-            events = Events(step, code, sizes)
+        for step, counts, tails in _in_steps(batches):
+            events = Events(step, code, sizes, tails)
             weight = counts.astype(np.int64)[events.word]
             for table, slots in zip(tables, events.slots, strict=True):
                 np.add.at(table, slots * 2 + events.bit, weight)
@@ -280,8 +354,10 @@ def _count_bits(words: DataFrame, code: tuple, sizes: Sequence[int]) -> list[np.
             for at in range(0, len(table), BLOCK):
                 part = table[at:at + BLOCK]
                 if part.any():
+                    # All lowest bytes first: the higher ones are mostly zero and are shuffled as next to nothing.
+                    planes = part.astype("<u4" if part.max() < 1 << 32 else "<i8").view(np.uint8).reshape(len(part), -1).T
                     yield pa.RecordBatch.from_arrays([pa.array([which], pa.int32()), pa.array([at], pa.int32()), pa.array(
-                        [part.astype("<u4" if part.max() < 1 << 32 else "<i8").tobytes()], pa.binary())], ["which", "at", "part"])
+                        [planes.tobytes()], pa.binary())], ["which", "at", "part"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, total = None, None
@@ -294,7 +370,8 @@ def _count_bits(words: DataFrame, code: tuple, sizes: Sequence[int]) -> list[np.
         for batch in batches:
             for which, at, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 length = min(BLOCK, 2 << sizes[which])
-                values = np.frombuffer(part, "<u4" if len(part) == 4 * length else "<i8").astype(np.int64)
+                planes = np.ascontiguousarray(np.frombuffer(part, np.uint8).reshape(-1, length).T)
+                values = planes.view("<u4" if len(part) == 4 * length else "<i8").ravel().astype(np.int64)
                 if (which, at) == key:
                     total += values
                     continue
@@ -319,7 +396,7 @@ def table_sizes(different: int) -> list[int]:
 
 
 def train(words: DataFrame, different: int) -> Model:
-    """The model of the training words ``word, c`` (``different`` rows, ``c > 0``).
+    """The model of the training words and openings ``word, c, opening`` (``different`` rows, ``c > 0``).
 
     The driver holds one model, whose size :data:`MAX_BITS` bounds; counts, weights and refinement come from all rows.
     """
@@ -337,10 +414,10 @@ def train(words: DataFrame, different: int) -> Model:
         few = list(islice(steps, LEAST_STEPS))
         passes = -(-LEAST_STEPS // max(1, len(few)))
         for again in range(passes):
-            for step, counts in few:
-                own.learn(step, counts, pace, evidence, again == passes - 1)
-        for step, counts in steps:
-            own.learn(step, counts, pace, evidence)
+            for step, counts, tails in few:
+                own.learn(step, counts, pace, evidence, again == passes - 1, tails)
+        for step, counts, tails in steps:
+            own.learn(step, counts, pace, evidence, tails=tails)
         values = np.concatenate([(own.weights * evidence[:, None]).ravel(), evidence, (own.seen - start).ravel()])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values)), pa.int32()), pa.array(values)], ["at", "v"])
 
@@ -356,19 +433,25 @@ def train(words: DataFrame, different: int) -> Model:
     return model
 
 
-def score_words(words: DataFrame, model: Model) -> DataFrame:
-    """``word, c, said``: log10 of each word's probability; a table of its own."""
-    shared = words.sparkSession.sparkContext.broadcast(model)
-
+def score_words(words: DataFrame, shared: Broadcast[Model]) -> DataFrame:
+    """``word, c, said, head, tail``: log10 of the probability of what follows a word's first bytes, which is the same
+    in every text, and the word's :func:`ends`; a table of its own. :func:`score_openings` adds the first bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
         for batch in batches:
-            said = held.log10(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(said)], ["word", "c", "said"])
+            spelled = batch.column(0).to_pylist()
+            said = held.log10(spelled, [None] * len(spelled))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(said), *(pa.array(e.astype(np.int32)) for e in ends(spelled))],
+                ["word", "c", "said", "head", "tail"])
+
+    return stage(words.mapInArrow(run, "word binary, c bigint, said double, head int, tail int"), "word-scores")
 
-    out = stage(words.mapInArrow(run, "word binary, c bigint, said double"), "word-scores")
-    shared.destroy()
-    return out
+
+def score_openings(model: Model, keys: np.ndarray) -> np.ndarray:
+    """log10 of the probability of each word's first bytes after the text before it."""
+    different, which = np.unique(keys, return_inverse=True)
+    return np.concatenate([model.log10(*opened(different[at:at + STEP])) for at in range(0, len(different), STEP)])[which]
 
 
 def said_before(ids: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -427,26 +510,29 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     vocab = stage(vocabulary(chunked), "words")
     told = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v"),
                      F.count(F.lit(1)).alias("rows")).first()
-    learned = vocab.where("c > 0").select("word", "c")
+    learned = vocab.where("c > 0").select("word", "c", F.lit(None).cast("bigint").alias("opening"))
     tasks = max(1, -(-told.v // SHARE))
-    learned = stage(learned.repartition(tasks, "word"), "learned")
-    model = train(learned, told.v)
-    scored = score_words(vocab.repartition(max(tasks, -(-told.rows // (SHARE // 4))), "word"), model)
+    learned = stage(learned.unionByName(opening_counts(chunked)).repartition(tasks, "word", "opening"), "learned")
+    shared = docs.sparkSession.sparkContext.broadcast(train(learned, learned.count()))
+    discard(learned)
+    scored = score_words(vocab.repartition(max(tasks, -(-told.rows // (SHARE // 4))), "word"), shared)
     floor = np.log10(told.n + 0.5 * (told.v + 1))
     tokens = told.n
 
-    pairs = chunked.select("chunk", F.posexplode("words").alias("at", "word")).join(scored, "word").select("chunk", "at", "c", "said")
+    pairs = chunked.select("chunk", F.posexplode("words").alias("at", "word")).join(scored, "word") \
+        .select("chunk", "at", "c", "said", "head", "tail")
     texts = chunked.select(F.col("chunk").alias("of"), "doc_ids", "named", "held", "sizes", "lengths", "tokens")
 
     def sums(words: pd.DataFrame, chunk: pd.DataFrame) -> pd.DataFrame:
         row = chunk.iloc[0]
         c, said = np.zeros(len(words)), np.zeros(len(words))
-        c[words["at"]], said[words["at"]] = words["c"], words["said"]
+        head, tail = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        c[words["at"]], said[words["at"]], head[words["at"]], tail[words["at"]] = (words[n] for n in ("c", "said", "head", "tail"))
         ids = np.frombuffer(row["tokens"], "<i4")
         length = np.asarray(row["lengths"])
         first = np.cumsum(length) - length  # every text has its end, so no stretch is empty
         base = np.log10(c + 0.5) - floor
-        total = adapted(said[ids], ids, length)
+        total = adapted(said[ids] + score_openings(shared.value, openings(head, tail, ids, length)), ids, length)
         size = np.asarray(row["sizes"], float)
         with np.errstate(divide="ignore", invalid="ignore"):
             bits = np.where(size > 0, -total * np.log2(10) / size, np.nan)
@@ -457,6 +543,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
             "bits_per_byte": pd.Series(bits).astype(object).where(size > 0, None)})
 
     out = stage(pairs.groupBy("chunk").cogroup(texts.groupBy("of")).applyInPandas(sums, SCORES), "scores")
-    for used in (chunked, vocab, learned, scored):
+    shared.destroy()
+    for used in (chunked, vocab, scored):
         discard(used)
     return out

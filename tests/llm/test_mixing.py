@@ -120,3 +120,46 @@ def test_held_out_texts_and_edges(spark, none):
 
 def test_registered_query(spark, small):
     assert QUERIES["op12_context_mixing"](spark, small).count() == spark.read.parquet(f"{small}/documents.parquet").count()
+
+
+def test_openings_name_the_bytes_before_a_word():
+    texts = [["one", "a", "b", "to", "xyz", ""], ["", ], ["q", "longer", ""]]
+    known = sorted({w for t in texts for w in t})
+    ids = np.array([known.index(w) for t in texts for w in t])
+    spelled = [w.encode() for w in known]
+    heads, tails = mixing.opened(mixing.openings(*mixing.ends(spelled), ids, np.array([len(t) for t in texts])))
+    want = []
+    for text in texts:
+        for i, w in enumerate(text):
+            before = "\n\n\n" + " ".join(text[:i])
+            want.append((((w + " ") if w else "\n")[:3].encode(), before[-3:].encode()))
+    assert list(zip(heads, tails, strict=True)) == want
+
+
+def test_the_text_before_a_word_predicts_it(spark):
+    """Words that take turns: held-out texts in turn are likelier than the same words in another order."""
+    rng = random.Random(4)
+    turn = {"red": "kilo", "kilo": "sand", "sand": "moon", "moon": "red"}
+    rows = []
+    for i in range(300):
+        text = [rng.choice(list(turn))]
+        while len(text) < 80:
+            text.append(turn[text[-1]])
+        if i >= 280:
+            text.sort() if i % 2 else None
+        rows.append((i, " ".join(text), "en", "s", 1))
+    got = {r.doc_id: r for r in mixing.score(spark.createDataFrame(rows, SCHEMA), F.col("doc_id") >= 280).collect()}
+    assert got[280].base_score == pytest.approx(got[281].base_score)
+    in_turn, sorted_ones = ([got[i].score for i in range(first, 300, 2)] for first in (280, 281))
+    assert min(in_turn) > max(sorted_ones) and min(in_turn) > 0.5 * got[280].base_score
+
+
+def test_words_after_a_text_sum_to_one():
+    """First bytes after one text, and what follows them, share one distribution."""
+    rng = random.Random(6)
+    spelled = [w.encode() for w in words(rng, 300)] + [b""]
+    model = small_model(collections.Counter(spelled))
+    chance = sum(10 ** model.log10([bytes([a])], [b"abc"])[0] for a in range(256))
+    assert chance == pytest.approx(1, abs=1e-6)
+    rest = model.log10([b"on", b"only"], [None, None])
+    assert rest[0] == 0 > rest[1]
