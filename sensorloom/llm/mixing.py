@@ -21,7 +21,9 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator, Sequence
+from functools import cached_property
 from itertools import islice
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -39,7 +41,7 @@ HEAD, TAIL = 3, 3
 CHUNK_BYTES, CHUNK_DOCS = 24 << 20, 100_000  # texts of one chunk, about
 SLICE = 1 << 20  # words of whole texts whose probabilities are adapted at once
 SHARE = 1_000_000  # different words per task that learns
-STEP, LEARN = 8_000, 4_000  # words whose bits are predicted at once, and learned from at once
+STEP, LEARN = 2_000, 4_000  # words whose bits are predicted at once, and learned from at once
 LEAST_STEPS = 100  # a task with fewer words goes through them several times
 BLOCK = 1 << 16  # slots of a table in one row
 RATE, DELTA = 0.05, 0.1
@@ -106,14 +108,12 @@ def openings(head: np.ndarray, tail: np.ndarray, ids: np.ndarray, length: np.nda
 
 def opened(keys: np.ndarray) -> tuple[list[bytes], list[bytes]]:
     """First bytes of words and the bytes before them, from their numbers."""
-    heads, tails = [], []
-    for key in keys.tolist():
-        raw = key.to_bytes(6, "big")
-        head = raw[3:]
-        # Nothing stands behind the end of a word.
-        tails.append(raw[:3])
-        heads.append(head[:1] if head[0] == END else head[:head.find(b" ") + 1] if b" " in head else head)
-    return heads, tails
+    raw = keys.astype(">i8").tobytes()
+    head = np.frombuffer(raw, np.uint8).reshape(-1, 8)[:, 5:]
+    # Nothing stands behind the end of a word.
+    size = np.where(head[:, 0] == END, 1, np.where((head == CLOSE).any(1), (head == CLOSE).argmax(1) + 1, HEAD)).tolist()
+    at = range(0, len(raw), 8)
+    return [raw[i + 5:i + 5 + n] for i, n in zip(at, size, strict=True)], [raw[i + 2:i + 5] for i in at]
 
 
 class Events:
@@ -172,6 +172,18 @@ class Events:
         return [out[order] for order in ORDERS]
 
 
+def packed(values: np.ndarray) -> tuple[bytes, str, tuple[int, ...]]:
+    """An array as compressed bytes, all lowest bytes first: the higher ones of most numbers are alike."""
+    planes = np.ascontiguousarray(values.reshape(-1, 1).view(np.uint8).T)
+    return pa.compress(planes, "zstd", asbytes=True), values.dtype.str, values.shape
+
+
+def unpacked(data: bytes, kind: str, shape: tuple[int, ...]) -> np.ndarray:
+    size = int(np.prod(shape)) * np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data, size, "zstd"), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(shape)
+
+
 class Model:
     """Counts per context slot, weights per gate and the refinement table."""
 
@@ -183,25 +195,54 @@ class Model:
         #: How often a one followed, and how often either, near each knot; the start says what was predicted.
         self.seen = np.tile(np.stack([20 * knots, np.full(KNOTS, 20.0)], -1), (GATES, 1, 1))
 
+    @cached_property
+    def odds(self) -> list[np.ndarray]:
+        """Log odds of a one per slot."""
+        return [np.log((t[:, 1] + np.float32(DELTA)) / (t[:, 0] + np.float32(DELTA))) for t in self.tables]
+
+    @cached_property
+    def often(self) -> np.ndarray:
+        """The gate's part of the count in each slot of the word so far, which is the last context."""
+        return np.searchsorted(SEEN, self.tables[-1].sum(1), side="right").astype(np.uint8)
+
+    def learned(self) -> Model:
+        """This model with what predicts only: half the memory."""
+        model = Model(self.code, self.sizes, [])
+        model.weights, model.seen, model.odds, model.often = self.weights, self.seen, self.odds, self.often
+        return model
+
+    def __getstate__(self) -> dict[str, Any]:
+        """Tables are packed: every executor keeps what is sent to it on its disk."""
+        return {k: [packed(t) for t in v] if k in ("tables", "odds") else packed(v) if k == "often" else v
+                for k, v in self.__dict__.items()}
+
+    def __setstate__(self, state: dict[str, Any]) -> None:
+        self.__dict__.update({k: [unpacked(*t) for t in v] if k in ("tables", "odds") else unpacked(*v) if k == "often" else v
+                              for k, v in state.items()})
+
     def inputs(self, events: Events, unseen: bool) -> tuple[np.ndarray, np.ndarray]:
         """Log odds of every context and a constant, and the gate, of each bit.
 
         ``unseen``: as if the occurrence at hand were not among the counts.
         """
         x = np.ones((len(ORDERS) + 1, len(events.bit)), np.float32)
-        for i, (slots, table) in enumerate(zip(events.slots, self.tables, strict=True)):
-            counts = table[slots]
-            zero, one = counts[:, 0], counts[:, 1]
-            if unseen:
-                zero = np.maximum(zero - (events.bit == 0), 0)
-                one = np.maximum(one - (events.bit == 1), 0)
-            x[i] = np.log((one + np.float32(DELTA)) / (zero + np.float32(DELTA)))
-        # The last context is the word so far.
-        return x, np.minimum(events.place, PLACES - 1) * (len(SEEN) + 1) + np.searchsorted(SEEN, zero + one, side="right")
+        if unseen:
+            bit = events.bit.astype(np.float32)
+            for i, (slots, table) in enumerate(zip(events.slots, self.tables, strict=True)):
+                counts = np.take(table, slots, 0)
+                zero, one = np.maximum(counts[:, 0] - (1 - bit), 0), np.maximum(counts[:, 1] - bit, 0)
+                np.log((one + np.float32(DELTA)) / (zero + np.float32(DELTA)), out=x[i])
+            often = np.searchsorted(SEEN, zero + one, side="right")
+        else:
+            for row, slots, odds in zip(x, events.slots, self.odds):  # the constant has no slots
+                np.take(odds, slots, out=row, mode="clip")
+            often = self.often[events.slots[-1]]
+        return x, np.minimum(events.place, PLACES - 1) * (len(SEEN) + 1) + often
 
     def mixed(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
         """Log odds of a one."""
-        return np.clip(np.einsum("ij,ji->j", x, self.weights[gate].astype(np.float32)), -SPAN, SPAN).astype(np.float64)
+        weights = np.take(self.weights.astype(np.float32), gate, 0)
+        return np.clip(np.einsum("ij,ji->j", x, weights), -SPAN, SPAN).astype(np.float64)
 
     @staticmethod
     def _knot(odds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -211,9 +252,10 @@ class Model:
 
     def refined(self, odds: np.ndarray, gate: np.ndarray) -> np.ndarray:
         """Probability of a one: the mean of the mixed and the observed one."""
-        share = self.seen[..., 0] / self.seen[..., 1]
+        share = (self.seen[..., 0] / self.seen[..., 1]).ravel()
         low, part = self._knot(odds)
-        observed = share[gate, low] * (1 - part) + share[gate, low + 1] * part
+        low += gate * KNOTS
+        observed = share[low] * (1 - part) + share[low + 1] * part
         return np.clip((1 / (1 + np.exp(-odds)) + observed) / 2, 1e-6, 1 - 1e-6)
 
     def log10(self, words: Sequence[bytes], tails: Sequence[bytes | None] | None = None) -> np.ndarray:
@@ -254,15 +296,23 @@ class Model:
             self.seen[..., 1] += np.bincount(cell, weight * near, GATES * KNOTS).reshape(GATES, KNOTS)
 
 
+class Numbers(dict):
+    """Words to their numbers, in the order they are asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 def chunks(docs: DataFrame, held_out: Column) -> DataFrame:
-    """Texts in chunks: the different words of a chunk, their counts in training texts, and the texts as word numbers;
-    also the different openings of the training texts with their counts.
+    """Texts in chunks: the different words of a chunk, their counts in training texts, their :func:`ends` and the texts
+    as word numbers, both :func:`packed`; also the different openings of the training texts with their counts.
 
     A chunk is some megabytes of texts, or one longer text. The end of a text is the empty word.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
-        known: dict[bytes, int] = {}
+        known = Numbers()
         rows: list[tuple] = []
         size = 0
 
@@ -271,35 +321,36 @@ def chunks(docs: DataFrame, held_out: Column) -> DataFrame:
             trained = np.repeat([not r[1] for r in rows], [len(r[3]) for r in rows])
             counts = np.bincount(ids[trained], minlength=len(known))
             lengths = np.array([len(r[3]) for r in rows])
-            opening, times = np.unique(openings(*ends(list(known)), ids, lengths)[trained], return_counts=True)
+            outer = np.stack(ends(list(known)))
+            opening, times = np.unique(openings(*outer, ids, lengths)[trained], return_counts=True)
             listed = lambda values, kind: pa.array([values], pa.list_(kind))
             return pa.RecordBatch.from_arrays(
                 [pa.array([part << 32 | number], pa.int64()), listed(list(known), pa.binary()), listed(counts, pa.int64()),
                  listed([r[0] or 0 for r in rows], pa.int64()), listed([r[0] is not None for r in rows], pa.bool_()),
                  listed([r[1] for r in rows], pa.bool_()),
                  listed([r[2] for r in rows], pa.int64()), listed([len(r[3]) for r in rows], pa.int64()),
-                 pa.array([ids.astype("<i4").tobytes()], pa.large_binary()).cast(pa.binary()),
+                 pa.array([packed(ids.astype("<i4"))[0]], pa.binary()), pa.array([packed(outer.astype("<i4"))[0]], pa.binary()),
                  listed(opening, pa.int64()), listed(times, pa.int64())],
-                ["chunk", "words", "trained", "doc_ids", "named", "held", "sizes", "lengths", "tokens", "openings", "times"])
+                ["chunk", "words", "trained", "doc_ids", "named", "held", "sizes", "lengths", "tokens", "ends", "openings", "times"])
 
         for batch in batches:
             for doc_id, held, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 raw = (text.as_buffer().to_pybytes() if text.is_valid else b"")
                 words = raw.translate(LOWER).split()
                 words.append(b"")
-                ids = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int32, len(words))
+                ids = np.fromiter(map(known.__getitem__, words), np.int32, len(words))
                 rows.append((doc_id, held, len(raw), ids))
                 size += len(raw)
                 if size >= CHUNK_BYTES or len(rows) >= CHUNK_DOCS:
                     yield chunk()
-                    known, rows, size, number = {}, [], 0, number + 1
+                    known, rows, size, number = Numbers(), [], 0, number + 1
         if rows:
             yield chunk()
 
     held = F.coalesce(held_out, F.lit(False))
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held.alias("held"), F.col("text").cast("string").alias("text")) \
         .mapInArrow(run, "chunk bigint, words array<binary>, trained array<bigint>, doc_ids array<bigint>, named array<boolean>, "
-                         "held array<boolean>, sizes array<bigint>, lengths array<bigint>, tokens binary, "
+                         "held array<boolean>, sizes array<bigint>, lengths array<bigint>, tokens binary, ends binary, "
                          "openings array<bigint>, times array<bigint>")
 
 
@@ -434,18 +485,16 @@ def train(words: DataFrame, different: int) -> Model:
 
 
 def score_words(words: DataFrame, shared: Broadcast[Model]) -> DataFrame:
-    """``word, c, said, head, tail``: log10 of the probability of what follows a word's first bytes, which is the same
-    in every text, and the word's :func:`ends`; a table of its own. :func:`score_openings` adds the first bytes."""
+    """``word, c, said``: log10 of the probability of what follows a word's first bytes, which is the same in every text;
+    a table of its own. :func:`score_openings` adds the first bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
         for batch in batches:
             spelled = batch.column(0).to_pylist()
             said = held.log10(spelled, [None] * len(spelled))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(said), *(pa.array(e.astype(np.int32)) for e in ends(spelled))],
-                ["word", "c", "said", "head", "tail"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(said)], ["word", "c", "said"])
 
-    return stage(words.mapInArrow(run, "word binary, c bigint, said double, head int, tail int"), "word-scores")
+    return stage(words.mapInArrow(run, "word binary, c bigint, said double"), "word-scores")
 
 
 def score_openings(model: Model, keys: np.ndarray) -> np.ndarray:
@@ -483,12 +532,13 @@ def adapted(said: np.ndarray, ids: np.ndarray, length: np.ndarray) -> np.ndarray
     place, before = said_before(ids, length)
     again = before > 0
     share = np.log(before[again] / place[again])
+    places, known = np.arange(length.max()), place[again]
     totals = []
     for most, half in RECENT:
-        trust = most * place / (place + half)
-        now = said + np.log10(1 - trust)
+        trust = most * places / (places + half)
+        now = said + np.log10(1 - trust)[place]
         if most:
-            now[again] = np.logaddexp(now[again] * np.log(10), np.log(trust[again]) + share) / np.log(10)
+            now[again] = np.logaddexp(now[again] * np.log(10), np.log(trust[1:])[known - 1] + share) / np.log(10)
         totals.append(np.add.reduceat(now, first))
     top = np.max(totals, 0)
     return top + np.log10(np.mean([10 ** (t - top) for t in totals], 0))
@@ -513,23 +563,22 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     learned = vocab.where("c > 0").select("word", "c", F.lit(None).cast("bigint").alias("opening"))
     tasks = max(1, -(-told.v // SHARE))
     learned = stage(learned.unionByName(opening_counts(chunked)).repartition(tasks, "word", "opening"), "learned")
-    shared = docs.sparkSession.sparkContext.broadcast(train(learned, learned.count()))
+    shared = docs.sparkSession.sparkContext.broadcast(train(learned, learned.count()).learned())
     discard(learned)
     scored = score_words(vocab.repartition(max(tasks, -(-told.rows // (SHARE // 4))), "word"), shared)
     floor = np.log10(told.n + 0.5 * (told.v + 1))
     tokens = told.n
 
-    pairs = chunked.select("chunk", F.posexplode("words").alias("at", "word")).join(scored, "word") \
-        .select("chunk", "at", "c", "said", "head", "tail")
-    texts = chunked.select(F.col("chunk").alias("of"), "doc_ids", "named", "held", "sizes", "lengths", "tokens")
+    pairs = chunked.select("chunk", F.posexplode("words").alias("at", "word")).join(scored, "word").select("chunk", "at", "c", "said")
+    texts = chunked.select(F.col("chunk").alias("of"), "doc_ids", "named", "held", "sizes", "lengths", "tokens", "ends")
 
     def sums(words: pd.DataFrame, chunk: pd.DataFrame) -> pd.DataFrame:
         row = chunk.iloc[0]
         c, said = np.zeros(len(words)), np.zeros(len(words))
-        head, tail = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-        c[words["at"]], said[words["at"]], head[words["at"]], tail[words["at"]] = (words[n] for n in ("c", "said", "head", "tail"))
-        ids = np.frombuffer(row["tokens"], "<i4")
+        c[words["at"]], said[words["at"]] = words["c"], words["said"]
         length = np.asarray(row["lengths"])
+        ids = unpacked(row["tokens"], "<i4", (length.sum(),))
+        head, tail = unpacked(row["ends"], "<i4", (2, len(words))).astype(np.int64)
         first = np.cumsum(length) - length  # every text has its end, so no stretch is empty
         base = np.log10(c + 0.5) - floor
         total = adapted(said[ids] + score_openings(shared.value, openings(head, tail, ids, length)), ids, length)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import math
+import pickle
 import random
 import zlib
 
@@ -163,3 +164,24 @@ def test_words_after_a_text_sum_to_one():
     assert chance == pytest.approx(1, abs=1e-6)
     rest = model.log10([b"on", b"only"], [None, None])
     assert rest[0] == 0 > rest[1]
+
+
+def test_a_model_travels_packed():
+    """What is sent is small beside the tables, and a model that only predicts says the same without its counts."""
+    rng = random.Random(8)
+    spelled = [w.encode() for w in words(rng, 2000)] + [b""]
+    tails = [None if i % 3 else b"a b" for i in range(len(spelled))]
+    model = small_model(collections.Counter(spelled))
+    sent = pickle.dumps(model)
+    assert len(sent) - model.seen.nbytes - model.weights.nbytes < sum(t.nbytes for t in model.tables) / 2
+    back, lean = pickle.loads(sent), pickle.loads(pickle.dumps(model.learned()))
+    assert all(np.array_equal(a, b) for a, b in zip(back.tables, model.tables, strict=True))
+    assert not lean.tables and 2 * sum(t.nbytes for t in lean.odds) == sum(t.nbytes for t in model.tables)
+    for other in (back, lean):
+        assert np.array_equal(other.log10(spelled, tails), model.log10(spelled, tails))
+
+
+def test_packed_arrays_come_back():
+    for values in (np.array([], "<i4"), np.array([0, -1, 1 << 30], "<i4"), np.arange(12, dtype=np.float32).reshape(3, 4),
+                   np.array([3, 200], np.uint8)):
+        assert np.array_equal(mixing.unpacked(*mixing.packed(values)), values)
