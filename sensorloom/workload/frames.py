@@ -39,12 +39,13 @@ def land_files(rows: DataFrame, path: str, least: int, take: int = 2, files: int
 
     A file holds ``least`` rows, or more where that makes over ``files`` files (and a last one per writing task): a file
     and a micro-batch have their cost in listings and log entries whatever they hold, so they grow with the table
-    and their numbers do not.
+    and their numbers do not. Where many tasks write, a micro-batch takes more of their files.
     """
     count = rows.count()
     size = max(least, -(-count // files))
     rows.write.option("maxRecordsPerFile", size).parquet(path)
-    return max(take, -(-count // (size * batches)))
+    landed = len(rows.sparkSession.read.schema(rows.schema).parquet(path).inputFiles())
+    return max(take, -(-count // (size * batches)), landed // batches)
 
 
 def readings(events: DataFrame) -> DataFrame:

@@ -219,3 +219,10 @@ def test_landed_files_grow_and_their_number_does_not(spark):
         assert frames.land_files(spark.range(n), path, 100) == take
         assert len(list(pathlib.Path(path).glob("*.parquet"))) <= most
         assert spark.read.schema("id BIGINT").parquet(path).distinct().count() == n
+
+
+def test_files_of_many_tasks_are_taken_together(spark):
+    path = scratch(spark, "landed")
+    take = frames.land_files(spark.range(0, 4000, 1, 200), path, 100)
+    landed = len(list(pathlib.Path(path).glob("*.parquet")))
+    assert landed == 200 and landed / take < 32
